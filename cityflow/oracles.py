@@ -138,14 +138,14 @@ ORACLES["q_revenue_grand_total"] = f"{_revenue([])} SELECT * FROM revenue"
 ORACLES["q_trip_averages"] = f"{_TRIP_AVERAGES} SELECT * FROM averages"
 
 ORACLES["q_implicit_aggs"] = f"""WITH {_TRIPS}, {_FACT}
-SELECT PUBoroughID,
+SELECT r_name AS BoroughName,
   CAST(sum(trip_duration_minutes) AS DOUBLE) AS trip_duration_minutes,
   sum(trip_distance) AS trip_distance,
   CAST(sum(fare_amount) AS DOUBLE) AS fare_amount,
   CAST(sum(tip_amount) AS DOUBLE) AS tip_amount,
   CAST(sum(total_amount) AS DOUBLE) AS total_amount,
   count(DOBoroughID) AS DOBoroughID, count(DropoffDateKey) AS DropoffDateKey
-FROM fact GROUP BY PUBoroughID"""
+FROM fact JOIN region ON PUBoroughID = r_regionkey GROUP BY r_name"""
 
 ORACLES["q_implicit_date_aggs"] = f"""WITH {_ORDER_CALENDAR}
 SELECT MonthShort, CAST(sum("Year") AS BIGINT) AS "Year",
@@ -183,6 +183,10 @@ SELECT o_custkey,
   CASE WHEN count(DISTINCT o_orderstatus) = 1 THEN nullif(max(o_orderstatus), 'P') END AS selected
 FROM orders GROUP BY o_custkey"""
 
+ORACLES["q_members"] = """
+SELECT CAST(range AS INTEGER) AS "Year" FROM range(1995, 2001) UNION
+SELECT NULL FROM orders WHERE o_orderdate > TIMESTAMP '2000-12-31'"""
+
 
 def _titles(year: str) -> str:
     return f"""'Financial Data – Year ' || {year} AS "Financial Title",
@@ -357,7 +361,7 @@ SELECT * FROM new n WHERE NOT EXISTS (
 ORACLES["q_air_quality_summary"] = f"""WITH {_READINGS}, {_latest('fact', 'TRUE')}
 SELECT r_name AS BoroughName, parameter, unit,
   CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS value
-FROM fact JOIN region ON BoroughID = r_regionkey GROUP BY ALL"""
+FROM fact JOIN region ON BoroughID = r_regionkey WHERE HourKey >= 6 GROUP BY ALL"""
 
 ORACLES["q_drill_across"] = f"""WITH {_EVENT_TRIPS}, {_FACT}, {_READINGS},
 {_latest('air_fact', 'TRUE')},

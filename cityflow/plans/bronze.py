@@ -59,8 +59,9 @@ def load_reference_data(
     gdp: str,
     locations: str,
 ) -> None:
-    """Full reload of zones, exchange rates, GDP records and location records."""
-    tables.replace(files.scan_zones(spark, zones), ZONES)
+    """Full reload of zones, exchange rates, GDP records and location records. Zones
+    keep one row per LocationID, as later lookups would multiply rows otherwise."""
+    tables.replace(dedupe(files.scan_zones(spark, zones), ["LocationID"]), ZONES)
     tables.replace(files.scan_exchange_rates(spark, exchange_rates), EXCHANGE_RATES)
     gdp_docs = files.scan_documents(spark, gdp)
     tables.replace(files.record_rows(gdp_docs, files.records_of_element("body", 1)), GDP)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cityflow import schemas
 from cityflow.functions import columns as c
-from cityflow.operators.dedupe import dedupe, latest_per_key
+from cityflow.operators.dedupe import latest_per_key
 from cityflow.operators.joins import lookup, role_lookups
 from cityflow.plans import bronze, dims, silver
 from cityflow.sources import tables
@@ -21,11 +21,9 @@ AIR_QUALITY_KEYS = ["BoroughID", "DateKey", "HourKey", "parameter"]
 
 
 def zone_boroughs(zones: DataFrame, dim_borough: DataFrame) -> DataFrame:
-    """(LocationID, BoroughID), one row per zone."""
-    per_zone = dedupe(zones.select("LocationID", "Borough"), ["LocationID"])
-    return lookup(per_zone, dim_borough, "Borough", "BoroughName", {"BoroughID": "BoroughID"}).select(
-        F.col("LocationID").cast("int").alias("LocationID"), "BoroughID"
-    )
+    """(LocationID, BoroughID); zones hold one row per LocationID since their load."""
+    named = lookup(zones, dim_borough, "Borough", "BoroughName", {"BoroughID": "BoroughID"})
+    return named.select(F.col("LocationID").cast("int").alias("LocationID"), "BoroughID")
 
 
 def fact_taxi(trips: DataFrame, zones: DataFrame, dim_borough: DataFrame) -> DataFrame:
@@ -133,9 +131,9 @@ def load_dims(spark: SparkSession, start: str, end: str) -> None:
 
 
 def load_fact_taxi(spark: SparkSession) -> None:
-    """Full reload of the trip fact."""
+    """Full reload of the trip fact, laid out by pickup date so that date filters prune."""
     scan = [tables.scan(spark, t) for t in (silver.TRIPS, bronze.ZONES, DIM_BOROUGH)]
-    tables.replace(fact_taxi(*scan), FACT_TAXI)
+    tables.replace(fact_taxi(*scan), FACT_TAXI, ["PickupDateKey"])
 
 
 def merge_air_quality(spark: SparkSession, as_of: Column, hours: int = 24) -> None:

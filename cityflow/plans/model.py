@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cityflow.functions import columns as c
-from cityflow.operators.joins import lookup
+from cityflow.operators.joins import lookup, unmatched
 
 # fact -> dimension -> (fact key, dimension key)
 RELATIONSHIPS: dict[str, dict[str, tuple[str, str]]] = {
@@ -33,8 +35,8 @@ RELATIONSHIPS: dict[str, dict[str, tuple[str, str]]] = {
 
 @dataclass(frozen=True)
 class Measure:
-    """`how` is sum or avg of `column`; `over` names the dimension column whose
-    non-blank member totals are averaged."""
+    """`how` is sum, avg or count of `column`; `over` names the dimension column whose
+    non-blank member sums are averaged."""
 
     column: str
     how: str
@@ -148,9 +150,21 @@ def _attach(star: Star, df: DataFrame, refs: Iterable[str]) -> DataFrame:
     return df
 
 
+def members(star: Star, ref: str) -> DataFrame:
+    """The distinct values of a dimension column, with a blank one if the fact holds keys
+    the dimension lacks."""
+    dim, column = _split(ref)
+    key, dim_key = star.keys(dim)
+    table = star.dims[dim]
+    orphans = star.fact.select(F.col(key).alias(dim_key)).distinct()
+    orphans = unmatched(orphans, table, [dim_key]).limit(1)
+    blank = orphans.select(F.lit(None).cast(table.schema[column].dataType).alias(column))
+    return table.select(column).unionByName(blank).distinct()
+
+
 def evaluate(
     star: Star,
-    measures: Sequence[str],
+    measures: Sequence[str] | Mapping[str, Measure],
     by: Sequence[str] = (),
     where: Mapping[str, Condition] | None = None,
     names: Mapping[str, str] | None = None,
@@ -159,68 +173,80 @@ def evaluate(
     facts without a partner form the blank member of a dimension. `names` renames
     slice columns in the result."""
     star = restrict(star, where) if where else star
-    specs = {m: MEASURES[m] for m in measures}
+    specs = dict(measures) if isinstance(measures, Mapping) else {m: MEASURES[m] for m in measures}
     overs = list(dict.fromkeys(s.over for s in specs.values() if s.over))
-    refs = [*by, *overs]
+    slots = {ref: F.col(_slot(ref)) for ref in by}
 
-    # 1. reduce the fact on its own keys
+    # The fact is reduced on its own keys first; only that result meets the dimensions.
+    refs = [*by, *overs]
     grain = dict.fromkeys(star.keys(d)[0] if d else col for d, col in map(_split, refs))
-    sums = list(dict.fromkeys(s.column for s in specs.values()))
-    counts = list(dict.fromkeys(s.column for s in specs.values() if s.how == "avg"))
-    partial = star.fact.groupBy(*grain).agg(
-        *[F.sum(col).alias(f"_sum_{col}") for col in sums],
-        *[F.count(col).alias(f"_n_{col}") for col in counts],
-    )
-
-    # 2. name the members, 3. total per slice and, for each averaged column, per member
-    placed = _attach(star, partial, refs)
-    out = {ref: (names or {}).get(ref, _split(ref)[1]) for ref in by}
-    slices = [F.col(_slot(ref)) for ref in by]
-    totals = [F.sum(f"_sum_{col}").alias(f"_sum_{col}") for col in sums] + [
-        F.sum(f"_n_{col}").alias(f"_n_{col}") for col in counts
-    ]
-    if not overs:
-        total = placed.groupBy(*slices).agg(*totals)
-        values = {m: _plain_value(s) for m, s in specs.items()}
-        return total.select(
-            *[F.col(_slot(ref)).alias(out[ref]) for ref in by],
-            *[v.alias(m) for m, v in values.items()],
+    reduced = star.fact.groupBy(*grain).agg(*_partials(specs.values()))
+    placed = _attach(star, reduced, refs)
+
+    values = (
+        _over_members(placed, specs, overs, list(slots.values()))
+        if overs
+        else placed.groupBy(*slots.values()).agg(*_combined(specs.values())).withColumns(
+            {name: _value(spec) for name, spec in specs.items()}
         )
-
-    members = {over: f"_member_{i}" for i, over in enumerate(overs)}
-    placed = placed.withColumns({m: F.col(_slot(over)) for over, m in members.items()})
-    sets = [slices, *[[*slices, F.col(m)] for m in members.values()]]
-    per_member = placed.groupingSets(sets, *slices, *[F.col(m) for m in members.values()]).agg(
-        *totals, *[F.grouping(m).alias(f"_is_not{m}") for m in members.values()]
     )
-    outer = F.lit(True)
-    for m in members.values():
-        outer = outer & (F.col(f"_is_not{m}") == 1)
-    values = {}
-    for name, spec in specs.items():
-        if spec.over is None:
-            # one row per slice is the overall total; max only picks it out
-            values[name] = F.max(F.when(outer, _plain_value(spec)))
-        else:
-            member_total = F.when(
-                F.col(f"_is_not{members[spec.over]}") == 0, F.col(f"_sum_{spec.column}")
-            )
-            values[name] = _ratio(F.sum(member_total), F.count(member_total))
-    return (
-        per_member.groupBy(*slices)
-        .agg(*[v.alias(n) for n, v in values.items()])
-        .select(*[F.col(_slot(ref)).alias(out[ref]) for ref in by], *[f"`{n}`" for n in values])
+    rename = names or {}
+    return values.select(
+        *[slot.alias(rename.get(ref, _split(ref)[1])) for ref, slot in slots.items()],
+        *[F.col(f"`{name}`") for name in specs],
     )
 
 
+def _states(specs: Iterable[Measure]) -> dict[str, tuple[str, str]]:
+    """The additive parts the measures are made of: name -> (aggregate, column)."""
+    parts = {"sum": ["sum"], "avg": ["sum", "count"], "count": ["count"]}
+    return {f"_{how}_{s.column}": (how, s.column) for s in specs for how in parts[s.how]}
+
+
+_AGGREGATES = {"sum": F.sum, "count": F.count}
+
+
+def _partials(specs: Iterable[Measure]) -> list[Column]:
+    return [_AGGREGATES[how](col).alias(name) for name, (how, col) in _states(specs).items()]
+
+
+def _combined(specs: Iterable[Measure]) -> list[Column]:
+    return [F.sum(name).alias(name) for name in _states(specs)]
+
+
 def _ratio(total: Column, n: Column) -> Column:
     """Exact total over count, blank for an empty set."""
     return F.when(n > 0, total.cast("double") / n)
 
 
-def _plain_value(spec: Measure) -> Column:
-    total = F.col(f"_sum_{spec.column}")
-    return total if spec.how == "sum" else _ratio(total, F.col(f"_n_{spec.column}"))
+def _value(spec: Measure) -> Column:
+    if spec.how == "avg":
+        return _ratio(F.col(f"_sum_{spec.column}"), F.col(f"_count_{spec.column}"))
+    return F.col(f"_{spec.how}_{spec.column}")
+
+
+def _over_members(
+    placed: DataFrame, specs: Mapping[str, Measure], overs: Sequence[str], slices: list[Column]
+) -> DataFrame:
+    """Totals per slice and per slice and member in one pass of grouping sets, then the
+    averages of the member totals."""
+    member = {over: f"_member_{i}" for i, over in enumerate(overs)}
+    placed = placed.withColumns({m: F.col(_slot(over)) for over, m in member.items()})
+    columns = [F.col(m) for m in member.values()]
+    sets = [slices, *[[*slices, m] for m in columns]]
+    totals = placed.groupingSets(sets, *slices, *columns).agg(
+        *_combined(specs.values()), *[F.grouping(m).alias(f"_total{m}") for m in member.values()]
+    )
+    is_slice = reduce(and_, [F.col(f"_total{m}") == 1 for m in member.values()])
+
+    def value(spec: Measure) -> Column:
+        if spec.over is None:
+            # a slice has one such row; max only picks it out
+            return F.max(F.when(is_slice, _value(spec)))
+        per_member = F.when(F.col(f"_total{member[spec.over]}") == 0, _value(spec))
+        return _ratio(F.sum(per_member), F.count(per_member))
+
+    return totals.groupBy(*slices).agg(*[value(s).alias(n) for n, s in specs.items()])
 
 
 # --- metric selectors ---
@@ -280,18 +306,21 @@ def titles(
 
 # --- implicit aggregates ---
 
-_AGGREGATES = {"sum": F.sum, "count": F.count}
-
-
 def summarize(
     df: DataFrame, table: str, columns: Sequence[str] | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Columns of a table under their default aggregate."""
+    """Columns of a single table under their default aggregate."""
     defaults = DEFAULT_AGGREGATES[table]
     chosen = columns or list(defaults)
     return df.groupBy(*by).agg(*[_AGGREGATES[defaults[col]](col).alias(col) for col in chosen])
 
 
+def implicit_measures(table: str, columns: Sequence[str] | None = None) -> dict[str, Measure]:
+    """The default aggregates of a fact's columns as measures, for `evaluate`."""
+    defaults = DEFAULT_AGGREGATES[table]
+    return {col: Measure(col, defaults[col], c.PLAIN) for col in columns or defaults}
+
+
 def with_formats(df: DataFrame, measures: Sequence[str], suffix: str = " Text") -> DataFrame:
     """Add report text next to each measure."""
     return df.withColumns(

@@ -7,6 +7,7 @@ can compare the results.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -43,9 +44,9 @@ def _text(df: DataFrame, *names: str) -> DataFrame:
 # --- the star over order lines ---
 
 
-def _star(spark: SparkSession, sf_dir: str) -> model.Star:
+def _star(spark: SparkSession, sf_dir: str, dropoff_zone: bool = False) -> model.Star:
     boroughs = b.dim_borough(spark, sf_dir)
-    trips = b.trips(spark, sf_dir, dropoff_zone=False)
+    trips = b.trips(spark, sf_dir, dropoff_zone)
     return model.Star(
         gold.FACT_TAXI,
         gold.fact_taxi(trips, b.zones(spark, sf_dir), boroughs),
@@ -95,10 +96,10 @@ def q_trip_averages(spark, sf_dir):
 @query
 def q_implicit_aggs(spark, sf_dir):
     """Bare fact columns under their default aggregates, by pickup borough."""
-    boroughs = b.dim_borough(spark, sf_dir)
-    fact = gold.fact_taxi(b.trips(spark, sf_dir), b.zones(spark, sf_dir), boroughs)
+    star = _star(spark, sf_dir, dropoff_zone=True)
+    out = model.evaluate(star, model.implicit_measures(gold.FACT_TAXI), ["DimBorough.BoroughName"])
     sums = [k for k, how in model.DEFAULT_AGGREGATES[gold.FACT_TAXI].items() if how == "sum"]
-    return _doubles(model.summarize(fact, gold.FACT_TAXI, by=["PUBoroughID"]), *sums)
+    return _doubles(out, *sums)
 
 
 @query
@@ -152,6 +153,12 @@ def q_selected_value(spark, sf_dir):
     return orders.groupBy("o_custkey").agg(model.selected_value("status").alias("selected"))
 
 
+@query
+def q_members(spark, sf_dir):
+    """The years of the calendar, and the blank one of trips after its end."""
+    return model.members(_star(spark, sf_dir), "DimDate.Year")
+
+
 @query
 def q_titles(spark, sf_dir):
     """Report titles per year: the year is the selected value."""
@@ -384,14 +391,15 @@ def _air_star(spark: SparkSession, sf_dir: str) -> model.Star:
 
 @query
 def q_air_quality_summary(spark, sf_dir):
-    """The implicit sum of air quality values by borough, parameter and unit."""
+    """The implicit sum of air quality values from six in the morning on, by borough,
+    parameter and unit."""
     star = _air_star(spark, sf_dir)
     exact = star.fact.withColumn("value", F.col("value").cast("decimal(12,2)"))
-    named = joins.lookup(
-        exact, star.dims["DimBorough"], "BoroughID", "BoroughID", {"BoroughName": "BoroughName"}
-    )
-    out = model.summarize(
-        named, gold.FACT_AIR_QUALITY, by=["BoroughName", "parameter", "unit"]
+    out = model.evaluate(
+        replace(star, fact=exact),
+        model.implicit_measures(gold.FACT_AIR_QUALITY),
+        ["DimBorough.BoroughName", "parameter", "unit"],
+        {"HourKey.Value": lambda hour: hour >= 6},
     )
     return _doubles(out, "value")
 
@@ -636,12 +644,10 @@ def q_csv_exchange_rates(spark, sf_dir):
 
 # --- streams ---
 
-_EVENT_COLUMNS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
-
-
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a pattern instead of a plain name lets the source be one file or a folder of parts
-    landed = feed.land(spark, f"{sf_dir}/events.parque[t]", _EVENT_COLUMNS, fmt="parquet")
+    path = b.table_path(sf_dir, "events").removesuffix("t") + "[t]"
+    landed = feed.land(spark, path, b.TABLES["events"], fmt="parquet")
     instant = F.col("ts").cast("timestamp")
     return landed.select(
         "event_id",

@@ -30,25 +30,27 @@ def scan(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 
 
+def _spread(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rebalance a write on the partition columns: AQE merges small pieces into full
+    files and splits a partition that holds too many rows, so a hot date makes neither
+    one huge task nor thousands of small files."""
+    return df.hint("rebalance", *[df[c] for c in by]) if by else df
+
+
 def append(
     df: DataFrame, name: str, spread_by: Sequence[str] = (), skip_empty: bool = False
 ) -> None:
-    """Append by column name.
-
-    `spread_by` rebalances the write on the partition columns: AQE merges small
-    pieces into full files and splits a partition that holds too many rows, so a
-    hot date neither makes one huge task nor thousands of small files.
-    `skip_empty` costs an extra job; an empty append is harmless without it.
-    """
+    """Append by column name. `spread_by` names the partition columns of the table.
+    `skip_empty` costs an extra job; an empty append is harmless without it."""
     if skip_empty and df.isEmpty():
         return
-    if spread_by:
-        df = df.hint("rebalance", *[df[c] for c in spread_by])
-    df.select(*df.sparkSession.table(name).columns).write.insertInto(name)
+    columns = df.sparkSession.table(name).columns
+    _spread(df, spread_by).select(*columns).write.insertInto(name)
 
 
-def replace(df: DataFrame, name: str) -> None:
-    df.write.mode("overwrite").saveAsTable(name)
+def replace(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
+    """Full reload."""
+    _spread(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
 
 
 def _overlapping(existing: DataFrame, incoming: DataFrame, column: str) -> DataFrame:
@@ -88,11 +90,12 @@ def insert_only_merge(
     name: str,
     keys: Sequence[str],
     since: Column | None = None,
+    range_key: str | None = None,
     spread_by: Sequence[str] = (),
 ) -> None:
     """`MERGE ... WHEN NOT MATCHED THEN INSERT`: rows already there are never changed,
     and a null key matches nothing. Keys must be unique in `source`."""
-    append_new(source, name, keys, since, spread_by=spread_by, null_safe=False)
+    append_new(source, name, keys, since, range_key, spread_by, null_safe=False)
 
 
 def copy_layer(

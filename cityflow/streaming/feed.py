@@ -68,23 +68,25 @@ def fact_rows(placed: DataFrame) -> DataFrame:
 
 
 def merge_stream(
-    placed: DataFrame,
-    target: str,
-    checkpoint: str,
-    as_of: Column | None = None,
-    since: Column | None = None,
+    placed: DataFrame, target: str, checkpoint: str, as_of: Column | None = None
 ) -> DataStreamWriter:
     """Insert-only merge of every micro-batch into the air quality fact.
 
     A batch that is replayed after a failure finds its rows in the target and adds
     nothing. `as_of` also enforces the lookback inside the first batch, which the
-    watermark does not reach.
+    watermark does not reach. Only the target's dates that occur in the batch are read.
     """
 
     def insert(batch: DataFrame, _batch_id: int) -> None:
         # the batch belongs to a cloned session; the target is read through that one
         rows = batch if as_of is None else batch.where(c.within_lookback("datetime_utc", as_of))
-        tables.insert_only_merge(fact_rows(rows), target, gold.AIR_QUALITY_KEYS, since)
+        rows = fact_rows(rows).persist()
+        try:
+            tables.insert_only_merge(
+                rows, target, gold.AIR_QUALITY_KEYS, range_key="DateKey", spread_by=["DateKey"]
+            )
+        finally:
+            rows.unpersist()
 
     return placed.writeStream.foreachBatch(insert).option("checkpointLocation", checkpoint)
 
