@@ -113,8 +113,7 @@ def scan_exchange_rates(spark: SparkSession, path: str) -> DataFrame:
 def scan_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file with its whole text in `body`, and its file name."""
     return (
-        spark.read.option("wholetext", "true")
-        .text(path)
+        spark.read.text(path, wholetext=True)
         .select(F.col("value").alias("body"), F.col("_metadata.file_name").alias("file_name"))
     )
 

@@ -34,7 +34,7 @@ def _spread(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rebalance a write on the partition columns: AQE merges small pieces into full
     files and splits a partition that holds too many rows, so a hot date makes neither
     one huge task nor thousands of small files."""
-    return df.hint("rebalance", *[df[c] for c in by]) if by else df
+    return df.hint("rebalance", *[F.col(c) for c in by]) if by else df
 
 
 def append(
