@@ -45,7 +45,9 @@ def build(
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {**RUNTIME_CONF, **extra}.items():
+    # recording the Python call site of every column costs more than building the plan
+    defaults = {**RUNTIME_CONF, "spark.python.sql.dataFrameDebugging.enabled": "false"}
+    for key, value in {**defaults, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
