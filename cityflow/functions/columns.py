@@ -64,7 +64,8 @@ def within_lookback(ts: Column | str, as_of: Column, hours: int = 24) -> Column:
 
 def to_whole_second(ts: Column | str) -> Column:
     """Round half up to seconds, the way a zero-precision timestamp column stores it."""
-    return F.date_trunc("second", _col(ts) + F.expr("INTERVAL '0.5' SECOND"))
+    micros = F.unix_micros(_col(ts)) + 500_000
+    return F.timestamp_micros(micros - F.pmod(micros, F.lit(1_000_000)))
 
 
 # --- text ---

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _RANK = "_rank"
+_NEW = "_new"
 
 
 def first_per_key(
@@ -29,6 +30,18 @@ def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return first_per_key(df, keys, rest) if rest else df.distinct()
 
 
+def first_unseen(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key that `existing` lacks; null keys are equal to each other.
+
+    Known keys are ranked together with the incoming rows and come first, so that
+    deduplication and the comparison with the table share a single shuffle.
+    """
+    rest = [F.col(c).asc_nulls_last() for c in incoming.columns if c not in keys]
+    known = existing.select(*keys, F.lit(0).alias(_NEW))
+    rows = incoming.withColumn(_NEW, F.lit(1)).unionByName(known, allowMissingColumns=True)
+    return first_per_key(rows, keys, [F.col(_NEW), *rest]).where(F.col(_NEW) == 1).drop(_NEW)
+
+
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], time: str, tie: Sequence[str]
 ) -> DataFrame:

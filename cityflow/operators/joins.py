@@ -15,19 +15,9 @@ from operator import and_
 from pyspark.sql import DataFrame, functions as F
 
 
-def unmatched(
-    incoming: DataFrame, existing: DataFrame, keys: Sequence[str], null_safe: bool = False
-) -> DataFrame:
-    """Rows of `incoming` whose keys `existing` lacks.
-
-    A null key is never matched, as in a SQL join; `null_safe` lets nulls match nulls.
-    """
-    known = existing.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
-    same = [
-        F.col(k).eqNullSafe(F.col(f"_known_{k}")) if null_safe else F.col(k) == F.col(f"_known_{k}")
-        for k in keys
-    ]
-    return incoming.join(known, reduce(and_, same), "left_anti")
+def unmatched(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of `incoming` whose keys `existing` lacks. A null key is never matched."""
+    return incoming.join(existing.select(*keys), list(keys), "left_anti")
 
 
 def attach_geocodes(

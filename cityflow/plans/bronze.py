@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cityflow import schemas
 from cityflow.functions.columns import ingestion_hour
-from cityflow.operators.dedupe import dedupe
-from cityflow.operators.joins import unmatched
+from cityflow.operators.dedupe import dedupe, first_unseen
 from cityflow.sources import files, tables
 
 YELLOW = "nyc_yellow_taxi_trips_raw"
@@ -74,7 +73,7 @@ def load_geocodes(spark: SparkSession, path: str) -> None:
     tables.create_if_missing(spark, GEOCODES, schemas.RAW_GEOCODES)
     landed = files.scan_envelopes(spark, path, {"lat": "double", "lon": "double"})
     rows = landed.withColumnRenamed("body", "json_raw")
-    tables.append_new(dedupe(rows, ["lat", "lon"]), GEOCODES, ["lat", "lon"])
+    tables.append_new(rows, GEOCODES, ["lat", "lon"])
 
 
 def load_history(spark: SparkSession, path: str) -> None:
@@ -86,40 +85,38 @@ def load_history(spark: SparkSession, path: str) -> None:
     )
 
 
-def latest_rows(landed: DataFrame, as_of: Column, per_sensor: bool = True) -> DataFrame:
-    """Latest-feed responses to keyed raw rows, stamped with the hour of the load.
+def sensor_of(raw: str) -> Column:
+    return F.from_json(raw, "sensorsId bigint")["sensorsId"]
 
-    One location returns a result per sensor, so the key holds the sensor too;
-    `per_sensor=False` keeps a single row per location and hour.
-    """
+
+def latest_rows(landed: DataFrame, as_of: Column) -> DataFrame:
+    """Latest-feed responses to keyed raw rows, stamped with the hour of the load."""
     rows = files.record_rows(landed, files.records_of_field("body"), ["location_id"])
-    keys = ["location_id", "ingestion_hour"]
-    stamped = rows.select(
+    return rows.select(
         F.col("location_id").cast("int").alias("location_id"),
         ingestion_hour(as_of).alias("ingestion_hour"),
         "raw_json",
-        sensor_of("raw_json").alias("_sensor"),
     )
-    if per_sensor:
-        keys.append("_sensor")
-    return dedupe(stamped, keys)
-
-
-def sensor_of(raw: str) -> Column:
-    return F.from_json(raw, "sensorsId bigint")["sensorsId"]
 
 
 def load_latest(
     spark: SparkSession, path: str, as_of: Column, per_sensor: bool = True
 ) -> None:
-    """Append one hour of the latest feed; a second load of the same hour adds nothing."""
+    """Append one hour of the latest feed; a second load of the same hour adds nothing.
+
+    One location returns a result per sensor, so the key holds the sensor too;
+    `per_sensor=False` keeps a single row per location and hour.
+    """
     tables.create_if_missing(spark, LATEST, schemas.RAW_LATEST, ["ingestion_hour"])
-    landed = files.scan_envelopes(spark, path, {"location_id": "int"})
-    incoming = latest_rows(landed, as_of, per_sensor)
+    incoming = latest_rows(files.scan_envelopes(spark, path, {"location_id": "int"}), as_of)
     this_hour = tables.scan(spark, LATEST).where(F.col("ingestion_hour") == ingestion_hour(as_of))
-    known = this_hour.withColumn("_sensor", sensor_of("raw_json"))
-    keys = ["location_id", "ingestion_hour"] + (["_sensor"] if per_sensor else [])
-    tables.append(unmatched(incoming, known, keys, null_safe=True), LATEST)
+    keys = ["location_id", "ingestion_hour"]
+    if per_sensor:
+        keys.append("sensor")
+        incoming, this_hour = (
+            df.withColumn("sensor", sensor_of("raw_json")) for df in (incoming, this_hour)
+        )
+    tables.append(first_unseen(incoming, this_hour, keys), LATEST)
 
 
 def load_weather(spark: SparkSession, path: str, as_of: Column) -> None:
@@ -128,9 +125,5 @@ def load_weather(spark: SparkSession, path: str, as_of: Column) -> None:
     docs = files.scan_documents(spark, path).select(
         ingestion_hour(as_of).alias("ingestion_hour"), F.col("body").alias("raw_json")
     )
-    tables.append_new(
-        dedupe(docs, ["ingestion_hour"]),
-        WEATHER,
-        ["ingestion_hour"],
-        since=F.col("ingestion_hour") == ingestion_hour(as_of),
-    )
+    this_hour = F.col("ingestion_hour") == ingestion_hour(as_of)
+    tables.append_new(docs, WEATHER, ["ingestion_hour"], since=this_hour)

@@ -171,7 +171,7 @@ def weather(raw: DataFrame) -> DataFrame:
 
 def load_trips(spark: SparkSession) -> None:
     tables.create_if_missing(spark, TRIPS, schemas.TRIPS)
-    trips = taxi_trips(tables.scan(spark, bronze.GREEN), tables.scan(spark, bronze.YELLOW))
+    trips = all_trips(tables.scan(spark, bronze.GREEN), tables.scan(spark, bronze.YELLOW))
     tables.append_new(trips, TRIPS, TRIP_KEYS)
 
 
@@ -201,11 +201,11 @@ def load_latest(spark: SparkSession, as_of: Column | None = None, hours: int = 2
     if as_of is not None:
         oldest = c.ingestion_hour(as_of - F.expr(f"INTERVAL {int(hours)} HOURS"))
         raw = raw.where(F.col("ingestion_hour") >= oldest)
-    tables.append_new(
-        measurements_from_latest(raw), MEASUREMENTS, MEASUREMENT_KEYS, range_key="datetime_utc"
-    )
+    readings = parse.latest_measurements(raw)
+    tables.append_new(readings, MEASUREMENTS, MEASUREMENT_KEYS, range_key="datetime_utc")
 
 
 def load_weather(spark: SparkSession) -> None:
     tables.create_if_missing(spark, WEATHER, schemas.WEATHER)
-    tables.append_new(weather(tables.scan(spark, bronze.WEATHER)), WEATHER, ["ingestion_hour"])
+    hours = parse.first_weather_hour(tables.scan(spark, bronze.WEATHER))
+    tables.append_new(hours, WEATHER, ["ingestion_hour"])

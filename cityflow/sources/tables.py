@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cityflow import schemas
+from cityflow.operators.dedupe import first_unseen
 from cityflow.operators.joins import unmatched
 
 
@@ -53,11 +54,18 @@ def replace(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
     _spread(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
 
 
-def _overlapping(existing: DataFrame, incoming: DataFrame, column: str) -> DataFrame:
-    """Existing rows that could match: those inside the incoming range of one key
-    column, or blank in it. The range is a subquery, so it reaches the file scan."""
-    low, high = (incoming.agg(f(column)).scalar() for f in (F.min, F.max))
-    return existing.where(F.col(column).between(low, high) | F.col(column).isNull())
+def _existing(
+    incoming: DataFrame, name: str, since: Column | None, range_key: str | None
+) -> DataFrame:
+    """The rows of a table that could match incoming keys."""
+    rows = scan(incoming.sparkSession, name)
+    if since is not None:
+        rows = rows.where(since)
+    if range_key is not None:
+        # subqueries, so the bounds reach the file scan
+        low, high = (incoming.agg(f(range_key)).scalar() for f in (F.min, F.max))
+        rows = rows.where(F.col(range_key).between(low, high) | F.col(range_key).isNull())
+    return rows
 
 
 def append_new(
@@ -67,9 +75,8 @@ def append_new(
     since: Column | None = None,
     range_key: str | None = None,
     spread_by: Sequence[str] = (),
-    null_safe: bool = True,
 ) -> None:
-    """Append the rows whose keys the table does not hold yet; a second run adds none.
+    """Append one row per key that the table does not hold yet; a second run adds none.
 
     Two ways keep the read of the existing rows small without changing the outcome.
     `since` is a condition that every key of `df` satisfies as well, to select
@@ -77,12 +84,8 @@ def append_new(
     incoming minimum and maximum bound the row groups that are read; it computes
     `df` one more time, so it suits small additions to a large table.
     """
-    existing = scan(df.sparkSession, name)
-    if since is not None:
-        existing = existing.where(since)
-    if range_key is not None:
-        existing = _overlapping(existing, df, range_key)
-    append(unmatched(df, existing, keys, null_safe), name, spread_by)
+    existing = _existing(df, name, since, range_key)
+    append(first_unseen(df, existing, keys), name, spread_by)
 
 
 def insert_only_merge(
@@ -94,8 +97,10 @@ def insert_only_merge(
     spread_by: Sequence[str] = (),
 ) -> None:
     """`MERGE ... WHEN NOT MATCHED THEN INSERT`: rows already there are never changed,
-    and a null key matches nothing. Keys must be unique in `source`."""
-    append_new(source, name, keys, since, range_key, spread_by, null_safe=False)
+    and a null key matches nothing. Keys must be unique in `source`; `since` and
+    `range_key` are those of `append_new`."""
+    existing = _existing(source, name, since, range_key)
+    append(unmatched(source, existing, keys), name, spread_by)
 
 
 def copy_layer(

@@ -54,7 +54,18 @@ def test_unmatched_and_null_keys(frame):
     incoming = frame([(1, "x"), (2, "x"), (3, None)], "a int, b string")
     existing = frame([(1, "x"), (3, None), (9, "x")], "a int, b string")
     assert tuples(joins.unmatched(incoming, existing, ["a", "b"])) == [(2, "x"), (3, None)]
-    assert tuples(joins.unmatched(incoming, existing, ["a", "b"], null_safe=True)) == [(2, "x")]
+
+
+def test_first_unseen_dedupes_and_matches_nulls(frame):
+    incoming = frame(
+        [(1, "x", 5), (2, "x", 7), (2, "x", 6), (3, None, 1), (4, None, 2), (4, None, 2)],
+        "a int, b string, v int",
+    )
+    existing = frame([(0, "x", 1), (9, "x", 3), (0, None, 3)], "v int, b string, a int")
+    assert tuples(keep.first_unseen(incoming, existing, ["a", "b"])) == [
+        (2, "x", 6),
+        (4, None, 2),
+    ]
 
 
 def test_geocodes_match_exact_coordinates(frame):
