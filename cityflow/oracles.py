@@ -310,6 +310,15 @@ SELECT * FROM hours h WHERE NOT EXISTS (
   SELECT 1 FROM hours k WHERE k.ingestion_hour < 2024012012
     AND k.user_id = h.user_id AND k.ingestion_hour = h.ingestion_hour)"""
 
+ORACLES["q_first_unseen"] = """
+WITH hours AS (
+  SELECT user_id, CAST(strftime(ts, '%Y%m%d%H') AS INTEGER) AS ingestion_hour, event_id, value
+  FROM events
+)
+SELECT * FROM hours WHERE (user_id, ingestion_hour) NOT IN (
+  SELECT (user_id, ingestion_hour) FROM hours WHERE ingestion_hour < 2024012012)
+QUALIFY row_number() OVER (PARTITION BY user_id, ingestion_hour ORDER BY event_id, value) = 1"""
+
 # --- air quality ---
 
 _SENSOR = (
@@ -358,6 +367,14 @@ SELECT * FROM new n WHERE NOT EXISTS (
   SELECT 1 FROM old o WHERE o.BoroughID = n.BoroughID AND o.DateKey = n.DateKey
     AND o.HourKey = n.HourKey AND o.parameter = n.parameter)"""
 
+ORACLES["q_table_merge"] = ORACLES["q_air_quality_merge"]
+
+ORACLES["q_copy_layer"] = f"""
+SELECT {_SENSOR} AS sensor_id, ts AS datetime_utc,
+  timezone('America/New_York', timezone('UTC', ts)) AS datetime_local, value
+FROM events
+QUALIFY row_number() OVER (PARTITION BY sensor_id, ts ORDER BY value) = 1"""
+
 ORACLES["q_air_quality_summary"] = f"""WITH {_READINGS}, {_latest('fact', 'TRUE')}
 SELECT r_name AS BoroughName, parameter, unit,
   CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS value

@@ -329,6 +329,60 @@ def q_new_keys_composite(spark, sf_dir):
     return joins.unmatched(events, known, ["user_id", "ingestion_hour"])
 
 
+@query
+def q_first_unseen(spark, sf_dir):
+    """One event per (user, hour) that does not occur before the cutoff, in one shuffle."""
+    events = b.table(spark, sf_dir, "events").select(
+        "user_id",
+        c.ingestion_hour(F.col("ts").cast("timestamp")).alias("ingestion_hour"),
+        "event_id",
+        "value",
+    )
+    known = events.where(F.col("ingestion_hour") < 2024012012)
+    return keep.first_unseen(events, known, ["user_id", "ingestion_hour"])
+
+
+def _new_table(spark: SparkSession, columns: dict[str, str], partition_by=()) -> str:
+    """An empty table of a unique name with its files in the shared folder."""
+    folder = shared_folder(spark, "tables")
+    name = "t_" + folder.rsplit("-", 1)[-1]
+    tables.create_if_missing(spark, name, columns, partition_by, location=folder)
+    return name
+
+
+@query
+def q_copy_layer(spark, sf_dir):
+    """Copy readings into the next layer as they arrive: half a month, all, all again."""
+    columns = {**schemas.MEASUREMENTS, "sensor_id": "bigint"}
+    silver_table, gold_table = (_new_table(spark, columns) for _ in range(2))
+    readings = b.measurements(spark, sf_dir)
+    early = F.col("datetime_utc") < F.lit("2024-01-16").cast("timestamp")
+    for arrived in (readings.where(early), readings, readings):
+        keys = silver.MEASUREMENT_KEYS
+        tables.append_new(arrived, silver_table, keys, range_key="datetime_utc")
+        tables.copy_layer(spark, silver_table, gold_table, keys)
+    return tables.scan(spark, gold_table)
+
+
+@query
+def q_table_merge(spark, sf_dir):
+    """The hourly merge into a managed table, run for two hours and repeated."""
+    target = _new_table(spark, schemas.FACT_AIR_QUALITY, ["DateKey"])
+    inputs = _air_inputs(spark, sf_dir)
+    newest = b.newest_event(spark, sf_dir)
+    for hours_before in (12, 12, 0, 0):
+        as_of = newest - F.expr(f"INTERVAL {hours_before} HOURS")
+        arrived = inputs[0].where(F.col("datetime_utc") <= as_of)
+        tables.insert_only_merge(
+            gold.recent_air_quality(arrived, *inputs[1:], as_of),
+            target,
+            gold.AIR_QUALITY_KEYS,
+            since=gold.recent_date_keys(as_of),
+            spread_by=["DateKey"],
+        )
+    return tables.scan(spark, target)
+
+
 # --- air quality ---
 
 
@@ -707,15 +761,10 @@ def q_stream_latest(spark, sf_dir):
 @query
 def q_stream_merge(spark, sf_dir):
     """The last 24 hours merged into a new fact table by the stream."""
-    folder = shared_folder(spark, "merged")
-    target = "air_quality_" + folder.rsplit("-", 1)[-1]
-    tables.create_if_missing(
-        spark, target, schemas.FACT_AIR_QUALITY, ["DateKey"], location=f"{folder}/data"
-    )
+    target = _new_table(spark, schemas.FACT_AIR_QUALITY, ["DateKey"])
+    checkpoint = shared_folder(spark, "merged")
     newest = b.table(spark, sf_dir, "events").agg(F.max("ts").cast("timestamp")).first()[0]
     placed = _placed_stream(spark, sf_dir)
-    feed.run_available(
-        feed.merge_stream(placed, target, f"{folder}/checkpoint", as_of=F.lit(newest))
-    )
+    feed.run_available(feed.merge_stream(placed, target, checkpoint, as_of=F.lit(newest)))
     spark.catalog.refreshTable(target)
     return tables.scan(spark, target)
