@@ -19,6 +19,15 @@ def document(raw: Column | str, schema: str) -> Column:
     )
 
 
+def once(value: Column) -> Column:
+    """The value as the output of a generator, one per `select`.
+
+    Filters on parsed fields are pushed below a projection, parsing the text again for
+    every field they mention; they stay above a generator, so the text is parsed once.
+    """
+    return F.explode_outer(F.array(value))
+
+
 def is_json(raw: Column | str) -> Column:
     """True for well-formed JSON text, whatever its shape."""
     return F.try_parse_json(raw).isNotNull()

@@ -70,7 +70,8 @@ def _required_fields(doc: Column) -> dict[str, Column]:
 
 def parsed_locations(raw: DataFrame, raw_json: str = "raw_json") -> DataFrame:
     """Parse every location document once; `reject_reason` is null for usable ones."""
-    parsed = raw.select(parse.document(raw_json, schemas.LOCATION_DOC).alias("doc"), raw_json)
+    document = parse.document(raw_json, schemas.LOCATION_DOC)
+    parsed = raw.select(parse.once(document).alias("doc"), raw_json)
     doc = F.col("doc")
     lat, lon = doc["coordinates"]["latitude"], doc["coordinates"]["longitude"]
     missing = F.greatest(*[v.isNull() for v in _required_fields(doc).values()])
@@ -95,8 +96,9 @@ def rejected_locations(parsed: DataFrame) -> DataFrame:
 
 def geocode_per_point(geocodes: DataFrame) -> DataFrame:
     """One parsed address per coordinate pair."""
+    address = F.from_json("json_raw", schemas.GEOCODE_DOC)["address"]
     return dedupe(geocodes.select("lat", "lon", "json_raw"), ["lat", "lon"]).select(
-        "lat", "lon", F.from_json("json_raw", schemas.GEOCODE_DOC)["address"].alias("address")
+        "lat", "lon", parse.once(address).alias("address")
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cityflow import schemas
+from cityflow.functions import parse
 from cityflow.functions.columns import tolerant
 
 # The last path part that looks like a trip file: a single file or a folder of parts.
@@ -133,7 +134,8 @@ def record_rows(
     docs: DataFrame, records: Column, keys: Sequence[Column | str] = (), name: str = "raw_json"
 ) -> DataFrame:
     """One row per record, with the request keys of its document."""
-    return docs.select(*keys, F.explode(records).alias(name))
+    lists = docs.select(*keys, parse.once(records).alias("_records"))
+    return lists.select(*[k for k in lists.columns if k != "_records"], F.explode("_records").alias(name))
 
 
 def keys_from_name(pattern: str, columns: Mapping[str, str]) -> list[Column]:
@@ -149,6 +151,6 @@ def scan_envelopes(spark: SparkSession, path: str, keys: Mapping[str, str]) -> D
     schema = f"{schemas.ddl(dict(keys))}, body string"
     return (
         spark.read.text(path)
-        .select(F.from_json("value", schema).alias("e"))
+        .select(parse.once(F.from_json("value", schema)).alias("e"))
         .select(*[f"e.{k}" for k in keys], "e.body")
     )

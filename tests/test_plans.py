@@ -55,12 +55,29 @@ def test_filters_reach_the_scan(spark):
     assert re.search(r"DataFilters: \[[^\]]*ts#", recent) or "PushedFilters: [IsNotNull(ts)" in recent
 
 
-@pytest.mark.parametrize("name", ["q_dedupe_trips", "q_latest_per_group", "q_air_quality_summary"])
+@pytest.mark.parametrize("name", ["q_dedupe_trips", "q_latest_per_group", "q_air_quality_summary", "q_first_unseen"])
 def test_groups_are_cut_before_the_shuffle(spark, name):
     text = physical(registry.QUERIES[name](spark, SF))
     assert re.search(r"WindowGroupLimit .*row_number\(\), 1, Partial", text)
 
 
+@pytest.mark.parametrize("name", ["q_geocode_attach", "q_explode_children", "q_json_records"])
+def test_documents_are_parsed_once(spark, name):
+    for line in physical(registry.QUERIES[name](spark, SF)).splitlines():
+        assert line.count("from_json(") <= 1
+
+
+def test_existing_rows_are_read_by_incoming_range(spark, database, frame):
+    columns = {"k": "int", "t": "timestamp"}
+    tables.create_if_missing(spark, "readings", columns)
+    rows = frame([(1, "2024-07-02 12:00:00"), (2, "2024-07-02 13:00:00")], "k int, t timestamp")
+    existing = tables._existing(rows, "readings", None, "t")
+    text = physical(existing)
+    assert "Subquery" in text and re.search(r"(DataFilters|PushedFilters): \[[^\]]*t#?", text)
+    fresh = keep.first_unseen(rows, existing, ["k", "t"])
+    assert re.search(r"WindowGroupLimit .*row_number\(\), 1, Partial", physical(fresh))
+
+
 def test_a_hot_key_sends_one_row_per_task(spark):
     hot = spark.range(0, 40_000, numPartitions=4).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id"
