@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def unmatched(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of `incoming` whose keys `existing` lacks. A null key is never matched."""
-    return incoming.join(existing.select(*keys), list(keys), "left_anti")
+    """Rows of `incoming` whose keys `existing` lacks. A null key is never matched.
+    Existing keys are reduced to distinct ones on their way to the join."""
+    return incoming.join(existing.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def attach_geocodes(

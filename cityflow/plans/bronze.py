@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -45,8 +46,9 @@ def load_trip_files(spark: SparkSession, root: str, items: Iterable[tuple[str, s
         if not mine:
             continue
         tables.create_if_missing(spark, name, columns)
-        trips = files.scan_trip_files(spark, [row.path for row in mine])
-        tables.append(files.conform(trips, columns), name)
+        # months differ in column types, so each file is converted by its own schema
+        months = [files.conform(files.scan_trip_files(spark, row.path), columns) for row in mine]
+        tables.append(reduce(DataFrame.unionByName, months), name)
         done = [(row.file_name, row.bytes) for row in mine]
         tables.append(spark.createDataFrame(done, "file_name string, bytes bigint"), TRIP_LEDGER)
 

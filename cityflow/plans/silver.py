@@ -182,9 +182,12 @@ def load_locations(spark: SparkSession, strict: bool = False) -> None:
     tables.create_if_missing(spark, SENSORS, schemas.SENSORS)
     documents = city_documents(
         tables.scan(spark, bronze.LOCATIONS), tables.scan(spark, bronze.GEOCODES), strict
-    )
-    tables.append_new(locations(documents, strict), LOCATIONS, ["location_id"])
-    tables.append_new(sensors(documents, strict), SENSORS, ["sensor_id"])
+    ).persist()
+    try:
+        tables.append_new(locations(documents, strict), LOCATIONS, ["location_id"])
+        tables.append_new(sensors(documents, strict), SENSORS, ["sensor_id"])
+    finally:
+        documents.unpersist()
 
 
 def load_history(spark: SparkSession) -> None:

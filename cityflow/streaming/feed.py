@@ -34,9 +34,18 @@ def dedupe_stream(
     keys: Sequence[str] = ("sensor_id", "datetime_utc"),
     time: str = "datetime_utc",
     late: str = LATE_BOUND,
+    salts: int = 1,
 ) -> DataFrame:
-    """First arrival per key. State is kept for the late bound only."""
-    return readings.withWatermark(time, late).dropDuplicatesWithinWatermark(list(keys))
+    """First arrival per key. State is kept for the late bound only.
+
+    With `salts` > 1 a key that arrives extremely often is first reduced in that many
+    separate tasks, by the task that read the row, and then once more over all of them.
+    """
+    bounded = readings.withWatermark(time, late)
+    if salts > 1:
+        salted = bounded.withColumn("_salt", F.spark_partition_id() % salts)
+        bounded = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+    return bounded.dropDuplicatesWithinWatermark(list(keys))
 
 
 def place(readings: DataFrame, sensor_boroughs: DataFrame) -> DataFrame:

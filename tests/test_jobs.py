@@ -2,6 +2,7 @@
 
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,11 +32,10 @@ def test_taxi_batch(spark, database, tmp_path):
         silver.load_trips(spark)
     assert count(spark, bronze.YELLOW) == 4 and count(spark, bronze.GREEN) == 3
     assert count(spark, silver.TRIPS) == 7
-    # the next month lands with another type for one column
-    import pyarrow as pa
-
-    write_trips(landing / "green_tripdata_2024-02.parquet", "green", 2, payment=pa.float64())
-    bronze.load_trip_files(spark, str(landing), wanted)
+    # later months land, one with another type for a column
+    write_trips(landing / "green_tripdata_2024-02.parquet", "green", 1, payment=pa.float64())
+    write_trips(landing / "green_tripdata_2024-03.parquet", "green", 1)
+    bronze.load_trip_files(spark, str(landing), [*wanted, ("2024-03", "green")])
     assert count(spark, bronze.GREEN) == 5
     assert dict(tables.scan(spark, bronze.GREEN).dtypes)["payment_type"] == "bigint"
 

@@ -50,11 +50,12 @@ def test_landing_reads_each_file_once(spark, tmp_path):
     assert spark.read.parquet(out).count() == 3
 
 
-def test_dedupe_across_batches_and_restarts(spark, tmp_path):
+@pytest.mark.parametrize("salts", [1, 3])
+def test_dedupe_across_batches_and_restarts(spark, tmp_path, salts):
     source, out = tmp_path / "in", str(tmp_path / "out")
 
     def run():
-        unique = feed.dedupe_stream(readings(spark, source))
+        unique = feed.dedupe_stream(readings(spark, source), salts=salts)
         feed.run_available(feed.append_stream(unique, out, str(tmp_path / "checkpoint")))
 
     row = (1, "2024-07-02T10:00:00Z", 1.0)
