@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityflow.llm import ngram_join
+from cityflow.llm import ngram_join, quality
 from cityflow.llm.common import held_out, table
 
 
@@ -13,5 +13,22 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels that may be learned from."""
+    return (
+        table(spark, sf_dir, "labels")
+        .where(~held_out())
+        .select("doc_id", F.col("quality").alias("label"))
+    )
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = quality.measure(table(spark, sf_dir, "documents"))
+    score = quality.fit(measured, quality_labels(spark, sf_dir)).score()
+    return measured.select(
+        "doc_id", held_out().alias("held_out"), F.round(score, 9).alias("score")
+    ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {}
