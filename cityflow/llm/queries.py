@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityflow.llm import ngram_join, quality
+from cityflow.llm import decontaminate, ngram_join, quality
 from cityflow.llm.common import held_out, table
 
 
@@ -30,5 +30,14 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = decontaminate.removal_spans(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return decontaminate.report(spans).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
+    )
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {}
