@@ -38,6 +38,7 @@ from cityflow.llm.shingles import WordHashes, shingle_set
 OFTEN, MOST = 32, 100_000
 LOCAL_ROWS, LOCAL_OFTEN = 4_000_000, 4
 COLUMN_BLOCK = 4_096
+PARITY_BITS = 1_024
 
 
 def jaccard_components(
@@ -61,7 +62,7 @@ def jaccard_components(
         "op1-classes",
     )
     blocks = saved(_blocks(heads, classes), "op1-blocks")
-    links = _links(docs, blocks, n, percent)
+    links = _links(docs, blocks, heads.select("id", "size", "parity"), n, percent)
     comps = components(links).withColumnRenamed("node", "rep")
     named = classes.join(comps, "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id")
@@ -121,12 +122,13 @@ def _heads(docs: DataFrame, n: int, percent: int, heavy: np.ndarray) -> DataFram
         seen = WordHashes()
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sizes, digests, heads = [], [], []
+            sizes, digests, heads, parities = [], [], [], []
             for text in texts(batch):
                 columns = shingle_set(text, n, seen)
                 size = len(columns)
                 sizes.append(size)
-                digests.append(_digest(columns))
+                digests.append(xxhash.xxh3_128_digest(columns.tobytes()))
+                parities.append(_parity(columns))
                 if len(known):
                     at = np.minimum(np.searchsorted(known, columns), len(known) - 1)
                     place = np.where(known[at] == columns, rank[at], 0)
@@ -139,17 +141,24 @@ def _heads(docs: DataFrame, n: int, percent: int, heavy: np.ndarray) -> DataFram
                     pa.array(sizes, pa.int32()),
                     pa.array(digests, pa.binary()),
                     pa.array(heads, pa.list_(pa.int64())),
+                    pa.array(parities, pa.list_(pa.int64())),
                 ],
-                ["id", "size", "digest", "head"],
+                ["id", "size", "digest", "head", "parity"],
             )
 
         return step
 
-    return map_batches(docs, make, "id bigint, size int, digest binary, head array<bigint>")
+    return map_batches(
+        docs, make,
+        "id bigint, size int, digest binary, head array<bigint>, parity array<bigint>",
+    )
 
 
-def _digest(columns: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(columns.tobytes())
+def _parity(columns: np.ndarray) -> np.ndarray:
+    """PARITY_BITS bits; each tells whether an odd number of columns falls on it. Two sets
+    differ in at least as many columns as their bits do."""
+    odd = np.bincount((columns % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits(odd.astype(np.uint8) & 1).view(np.int64)
 
 
 def _blocks(heads: DataFrame, classes: DataFrame) -> DataFrame:
@@ -182,7 +191,9 @@ def _room(percent: int, a: str, b: str):
     return ((100 + percent) * left >= need) & sizes
 
 
-def _links(docs: DataFrame, blocks: DataFrame, n: int, percent: int) -> DataFrame:
+def _links(
+    docs: DataFrame, blocks: DataFrame, parities: DataFrame, n: int, percent: int
+) -> DataFrame:
     """Links (a, b) that give the same components as all links."""
     spark = docs.sparkSession
     # A row is the smaller partner only with place <= size * (1 - t) / (1 + t); without such a
@@ -198,9 +209,8 @@ def _links(docs: DataFrame, blocks: DataFrame, n: int, percent: int) -> DataFram
         .drop("low", "rows", "least"),
         "op1-alive",
     )
-    ids = broadcast_small(blocks.select("id").distinct(), "op1-ids")
-    sets = saved(_sets(docs.join(ids, "id", "left_semi"), n), "op1-sets")
-    links = tested = spark.createDataFrame([], "a bigint, b bigint")
+    test = _Tests(docs, parities, n, percent)
+    links = spark.createDataFrame([], "a bigint, b bigint")
     comps = blocks.select("id", F.col("id").alias("comp")).distinct()
     whole_block = True
     while True:
@@ -213,14 +223,12 @@ def _links(docs: DataFrame, blocks: DataFrame, n: int, percent: int) -> DataFram
             "col", F.col("l.place").alias("l_place"), F.col("l.id").alias("l_id"),
             F.col("l.size").alias("l_size"), F.col("l.comp").alias("l_comp"),
         )
-        new = _test(_candidates(rows, firsts, percent), tested, sets, percent)
-        tested, links = tested.union(new.select("a", "b")), links.union(
-            new.where("linked").select("a", "b")
-        )
-        found = new.where("linked").limit(1).count()
+        new = test.linked(_candidates(rows, firsts, percent))
+        found = new.limit(1).count()
         if not found and not whole_block:
             break
         if found:
+            links = links.union(new)
             grown = components(links).withColumnRenamed("node", "id")
             comps = (
                 blocks.select("id").distinct().join(grown, "id", "left")
@@ -229,8 +237,7 @@ def _links(docs: DataFrame, blocks: DataFrame, n: int, percent: int) -> DataFram
         whole_block = False
     # what is left between components, row by row
     others = rows.select(*[F.col(c).alias(f"l_{c}" if c != "col" else c) for c in rows.columns])
-    rest = _test(_candidates(rows, others, percent), tested, sets, percent)
-    return links.union(rest.where("linked").select("a", "b"))
+    return links.union(test.linked(_candidates(rows, others, percent)))
 
 
 def _candidates(rows: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
@@ -243,28 +250,67 @@ def _candidates(rows: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
     ).distinct()
 
 
-def _test(pairs: DataFrame, tested: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked) of the pairs not tested yet: overlap counts accumulate over blocks of
-    columns, and a pair is given up once its bound cannot be reached any more."""
-    pairs = pairs.join(tested, ["a", "b"], "left_anti")
-    left = sets.select(F.col("id").alias("a"), F.col("columns").alias("left"))
-    right = sets.select(F.col("id").alias("b"), F.col("columns").alias("right"))
-
-    def make():
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            linked = []
-            for x, y in zip(batch.column("left"), batch.column("right")):
-                x = np.frombuffer(x.as_buffer(), np.uint64)
-                y = np.frombuffer(y.as_buffer(), np.uint64)
-                linked.append(_linked(x, y, percent))
-            return pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(linked)], ["a", "b", "linked"]
+class _Tests:
+    """Tests pairs once each: first by the parity bits of both sets, which bound the overlap
+    from above, then by the product of their rows of the matrix."""
+
+    def __init__(self, docs: DataFrame, parities: DataFrame, n: int, percent: int):
+        self.docs, self.parities, self.n, self.percent = docs, parities, n, percent
+        self.tested = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
+        self.sets = docs.sparkSession.createDataFrame([], "id bigint, columns binary")
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) not seen before that link."""
+        pairs = saved(pairs.join(self.tested, ["a", "b"], "left_anti"), "op1-pairs")
+        self.tested = self.tested.union(pairs)
+        close = saved(self._close(pairs), "op1-close")
+        self._read_sets(close)
+        left = self.sets.select(F.col("id").alias("a"), F.col("columns").alias("left"))
+        right = self.sets.select(F.col("id").alias("b"), F.col("columns").alias("right"))
+        percent = self.percent
+
+        def make():
+            def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+                both = zip(batch.column("left").to_pylist(), batch.column("right").to_pylist())
+                linked = [
+                    _linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
+                    for x, y in both
+                ]
+                return pa.RecordBatch.from_arrays(
+                    [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())],
+                    ["a", "b", "linked"],
+                )
+
+            return step
+
+        both = close.join(left, "a").join(right, "b")
+        done = map_batches(both, make, "a bigint, b bigint, linked boolean")
+        return saved(done.where("linked").select("a", "b"), "op1-links")
+
+    def _close(self, pairs: DataFrame) -> DataFrame:
+        """Linked sets differ in (1 - t) / (1 + t) of the sum of their sizes at most."""
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        few = self.parities.join(broadcast_small(ids, "op1-ids"), "id", "left_semi")
+        joined = pairs
+        for x in ("a", "b"):
+            side = few.select(
+                F.col("id").alias(x), F.col("size").alias(f"{x}_size"),
+                F.col("parity").alias(f"{x}_bits"),
             )
-
-        return step
-
-    both = pairs.join(left, "a").join(right, "b")
-    return saved(map_batches(both, make, "a bigint, b bigint, linked boolean"), "op1-tested")
+            joined = joined.join(side, x)
+        differ = F.expr(
+            "aggregate(zip_with(a_bits, b_bits, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x)"
+        )
+        most = (100 - self.percent) * (F.col("a_size") + F.col("b_size"))
+        return joined.where(differ * (100 + self.percent) <= most).select("a", "b").distinct()
+
+    def _read_sets(self, pairs: DataFrame) -> None:
+        """Whole sets of the rows that are still needed, from the texts once more."""
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        new = broadcast_small(ids.join(self.sets.select("id"), "id", "left_anti"), "op1-ids")
+        if new.limit(1).count():
+            found = saved(_sets(self.docs.join(new, "id", "left_semi"), self.n), "op1-sets")
+            self.sets = self.sets.union(found)
 
 
 def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
