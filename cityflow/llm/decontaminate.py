@@ -179,17 +179,13 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-SCHEMA = (
-    "id bigint, text string, n_words bigint, spans array<struct<start: bigint, end: bigint>>, "
-    "items array<bigint>"
-)
 
 
 def removal_spans(
     docs: DataFrame, benchmark: DataFrame, width: int = WINDOW,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", keep: str | None = None,
 ) -> DataFrame:
-    """(id, text, n_words, spans, items) for every row of `docs`.
+    """(id, text, n_words, spans, items) for every row of `docs`, and its column `keep`.
 
     A phrase is `width` consecutive words of an item, or all words of a shorter one. Spans are
     the merged places [start, end), in words, where phrases occur; items are the sorted ids of
@@ -206,6 +202,7 @@ def removal_spans(
         F.lit(0).cast("bigint").alias("n_words"),
         F.expr("cast(array() as array<struct<start: bigint, end: bigint>>)").alias("spans"),
         F.expr("cast(array() as array<bigint>)").alias("items"),
+        *([F.col(keep)] if keep else []),
     )
     for k in range(passes):
         part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k).collect()
@@ -231,15 +228,14 @@ def _scan(docs: DataFrame, items: list[tuple[int, bytes]], width: int) -> DataFr
                     before = [(s["start"], s["end"]) for s in spans_before]
                     spans.append([{"start": a, "end": b} for a, b in _merge(before + new)])
                     ids.append(sorted({*new_items, *items_before}))
+                own = {
+                    "n_words": pa.array([next(lengths) for _ in range(rows)], pa.int64()),
+                    "spans": pa.array(spans, pa.list_(SPAN)),
+                    "items": pa.array(ids, pa.list_(pa.int64())),
+                }
+                names = batch.schema.names
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("id"),
-                        batch.column("text"),
-                        pa.array([next(lengths) for _ in range(rows)], pa.int64()),
-                        pa.array(spans, pa.list_(SPAN)),
-                        pa.array(ids, pa.list_(pa.int64())),
-                    ],
-                    ["id", "text", "n_words", "spans", "items"],
+                    [own.get(n, batch.column(n)) for n in names], names
                 )
 
         for batch in batches:
@@ -253,7 +249,7 @@ def _scan(docs: DataFrame, items: list[tuple[int, bytes]], width: int) -> DataFr
         if held:
             yield from flush()
 
-    return small_batches(docs).mapInArrow(run, SCHEMA)
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def report(spans: DataFrame) -> DataFrame:

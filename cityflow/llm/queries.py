@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityflow.llm import decontaminate, ngram_join, packing, quality, token_files
+from cityflow.llm import decontaminate, ngram_join, packing, pii, quality, token_files
 from cityflow.llm.common import held_out, table
 
 
@@ -36,6 +36,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.redact(docs, count_col="n_mentions")
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = decontaminate.removal_spans(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
