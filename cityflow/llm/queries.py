@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityflow.llm import decontaminate, ngram_join, packing, pii, quality, token_files
+from cityflow.llm import (
+    decontaminate,
+    fingerprint,
+    langid,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    token_files,
+    url_rules,
+)
 from cityflow.llm.common import held_out, table
 
 
@@ -41,6 +51,26 @@ def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.redact(docs, count_col="n_mentions")
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+# Fixed by the contract of the query.
+HOST_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [url_rules.host_rule(*r) for r in HOST_RULES] + list(url_rules.WORD_RULES)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = decontaminate.removal_spans(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -50,6 +80,13 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~held_out()))
+    found = langid.predict(docs, model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -58,4 +95,39 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
-ORACLES: dict[str, str] = {}
+
+_FITS = " OR ".join(
+    f"rule = '{(h + p).removesuffix('/')}/' AND (host = '{h}' OR ends_with(host, '.{h}')) "
+    f"AND starts_with(path, '{p}')"
+    for h, p, _ in HOST_RULES
+)
+_RULES = ", ".join(f"('{(h + p).removesuffix('/')}/', '{v}')" for h, p, v in HOST_RULES)
+_WORDS = "|".join(url_rules.BLOCKED_WORDS)
+
+ORACLES: dict[str, str] = {
+    "op7_url_filters": f"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN position('://' IN url) > 0
+    THEN substr(url, position('://' IN url) + 3) END AS rest
+  FROM pages
+), parts AS (
+  SELECT page_id,
+    coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+  FROM rest
+), rules(rule, verdict) AS (VALUES {_RULES}),
+best AS (
+  SELECT page_id, arg_max(rule, length(rule)) AS rule,
+    arg_max(verdict, length(rule)) AS verdict
+  FROM parts JOIN rules ON {_FITS}
+  GROUP BY page_id
+)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IS NOT NULL THEN verdict
+    WHEN regexp_matches(host || path, '(^|[^A-Za-z0-9])(?i:{_WORDS})([^A-Za-z0-9]|$)')
+      THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM parts LEFT JOIN best USING (page_id)
+""",
+}
