@@ -15,6 +15,7 @@ from cityflow.llm import (
     quality,
     token_files,
     url_rules,
+    warc,
 )
 from cityflow.llm.common import held_out, table
 
@@ -40,6 +41,13 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key",
+        "captured", "range", "position",
+    )
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
