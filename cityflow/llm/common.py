@@ -87,7 +87,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = saved(_pairs(edges.select("a", "b")), "links")
     before = None
     while True:
-        edges = saved(_star(_star(edges, True), False), "links")
+        edges = saved(_pairs(_small_star(_large_star(edges))), "links")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
@@ -102,15 +102,16 @@ def _pairs(edges: DataFrame) -> DataFrame:
     return edges.select(big.alias("a"), small.alias("b")).where("a <> b").distinct()
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Large star: link each larger neighbour of a node with the smallest node around it.
-    Small star: link the node and its smaller neighbours with the smallest of them."""
-    if large:
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        out = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        least = edges.groupBy("a").agg(F.min("b").alias("m"))
-        moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        out = moved.union(least.select("a", F.col("m").alias("b")))
-    return _pairs(out)
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Link each larger neighbour of a node with the smallest node around it."""
+    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    larger = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    return larger.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Link a node and its smaller neighbours with the smallest of them."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return moved.union(least.select("a", F.col("m").alias("b")))

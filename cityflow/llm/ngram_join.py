@@ -62,8 +62,8 @@ def jaccard_components(
         "op1-classes",
     )
     blocks = saved(_blocks(heads, classes), "op1-blocks")
-    links = _links(docs, blocks, heads.select("id", "size", "parity"), n, percent)
-    comps = components(links).withColumnRenamed("node", "rep")
+    comps = _components(docs, blocks, heads.select("id", "size", "parity"), n, percent)
+    comps = comps.select(F.col("id").alias("rep"), F.col("comp").alias("component"))
     named = classes.join(comps, "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id")
     )
@@ -191,28 +191,41 @@ def _room(percent: int, a: str, b: str):
     return ((100 + percent) * left >= need) & sizes
 
 
-def _links(
+def _components(
     docs: DataFrame, blocks: DataFrame, parities: DataFrame, n: int, percent: int
 ) -> DataFrame:
-    """Links (a, b) that give the same components as all links."""
+    """(id, comp) of every row in a block, from links that give the same components as all."""
     spark = docs.sparkSession
     # A row is the smaller partner only with place <= size * (1 - t) / (1 + t); without such a
     # row a block has no candidate at all.
     low = F.col("place") * (100 + percent) <= F.col("size") * (100 - percent)
-    alive = blocks.groupBy("col").agg(
-        F.sum(low.cast("int")).alias("low"), F.count("*").alias("rows"),
-        F.min(F.when(low, F.col("size"))).alias("least"),
-    ).where("low > 0")
+    columns = blocks.groupBy("col").agg(
+        F.max(low).alias("low"), F.min(F.when(low, F.col("size"))).alias("least"),
+        F.count("*").alias("rows"), F.bit_xor(F.xxhash64("id")).alias("members"),
+        F.min(F.struct("id", "place")).alias("first"),
+    )
+    # Columns with the same rows find the same pairs; the one that comes first in the common
+    # order, and so in each of its rows, is enough.
+    alive = columns.where("low").groupBy("rows", "members", "first.id").agg(
+        F.min(F.struct("first.place", "col", "least")).alias("kept")
+    )
     blocks = saved(
-        blocks.join(alive, "col")
-        .where((low & (F.col("rows") > 1)) | (F.col("least") <= F.col("size")))
-        .drop("low", "rows", "least"),
+        blocks.join(alive.select("rows", "kept.col", "kept.least"), "col")
+        .where(low | (F.col("least") <= F.col("size")))
+        .drop("rows", "least"),
         "op1-alive",
     )
     test = _Tests(docs, parities, n, percent)
     links = spark.createDataFrame([], "a bigint, b bigint")
-    comps = blocks.select("id", F.col("id").alias("comp")).distinct()
+    ids = saved(blocks.select("id").distinct(), "op1-ids")
+    comps = ids.select("id", F.col("id").alias("comp"))
     whole_block = True
+
+    def joined(more: DataFrame) -> DataFrame:
+        grown = components(links.union(more)).withColumnRenamed("node", "id")
+        named = ids.join(grown, "id", "left")
+        return named.select("id", F.coalesce("component", "id").alias("comp"))
+
     while True:
         rows = saved(blocks.join(comps, "id"), "op1-rows")
         key = ["col"] if whole_block else ["col", "comp"]
@@ -228,16 +241,12 @@ def _links(
         if not found and not whole_block:
             break
         if found:
-            links = links.union(new)
-            grown = components(links).withColumnRenamed("node", "id")
-            comps = (
-                blocks.select("id").distinct().join(grown, "id", "left")
-                .select("id", F.coalesce("component", "id").alias("comp"))
-            )
+            comps, links = joined(new), links.union(new)
         whole_block = False
     # what is left between components, row by row
     others = rows.select(*[F.col(c).alias(f"l_{c}" if c != "col" else c) for c in rows.columns])
-    return links.union(test.linked(_candidates(rows, others, percent)))
+    rest = test.linked(_candidates(rows, others, percent))
+    return joined(rest) if rest.limit(1).count() else comps
 
 
 def _candidates(rows: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
@@ -264,9 +273,11 @@ class _Tests:
         pairs = saved(pairs.join(self.tested, ["a", "b"], "left_anti"), "op1-pairs")
         self.tested = self.tested.union(pairs)
         close = saved(self._close(pairs), "op1-close")
-        self._read_sets(close)
-        left = self.sets.select(F.col("id").alias("a"), F.col("columns").alias("left"))
-        right = self.sets.select(F.col("id").alias("b"), F.col("columns").alias("right"))
+        if not close.limit(1).count():
+            return close
+        sets = self._read_sets(close)
+        left = sets.select(F.col("id").alias("a"), F.col("columns").alias("left"))
+        right = sets.select(F.col("id").alias("b"), F.col("columns").alias("right"))
         percent = self.percent
 
         def make():
@@ -304,13 +315,14 @@ class _Tests:
         most = (100 - self.percent) * (F.col("a_size") + F.col("b_size"))
         return joined.where(differ * (100 + self.percent) <= most).select("a", "b").distinct()
 
-    def _read_sets(self, pairs: DataFrame) -> None:
-        """Whole sets of the rows that are still needed, from the texts once more."""
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        new = broadcast_small(ids.join(self.sets.select("id"), "id", "left_anti"), "op1-ids")
+    def _read_sets(self, pairs: DataFrame) -> DataFrame:
+        """Whole sets of the rows of these pairs; new ones come from the texts once more."""
+        ids = saved(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "op1-ids")
+        new = broadcast_small(ids.join(self.sets.select("id"), "id", "left_anti"), "op1-new")
         if new.limit(1).count():
             found = saved(_sets(self.docs.join(new, "id", "left_semi"), self.n), "op1-sets")
             self.sets = self.sets.union(found)
+        return self.sets.join(broadcast_small(ids, "op1-ids"), "id", "left_semi")
 
 
 def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
