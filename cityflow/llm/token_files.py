@@ -73,10 +73,11 @@ def write(
 
 
 def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str) -> DataFrame:
-    """Runs of documents as (shard, part, doc_ids, n_tokens, ids, n), shards by id range."""
+    """Runs of documents as (shard, part, before, doc_ids, n_tokens, ids, n): shards by id
+    range, one for each task, and the number of ids of the shard before the run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = encoder(path).encode, 0
+        encode, part, before = encoder(path).encode, 0, 0
         for batch in batches:
             ids = [with_end(x) for x in encode(batch.column("text").to_pylist())]
             sizes = [len(x) // 4 for x in ids]
@@ -86,14 +87,15 @@ def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str) -> DataFram
                 [
                     pa.array([batch.column("shard")[0].as_py()], pa.int32()),
                     pa.array([part], pa.int32()),
+                    pa.array([before], pa.int64()),
                     pa.array([batch.column("id").to_pylist()], pa.list_(pa.int64())),
                     pa.array([sizes], pa.list_(pa.int64())),
                     pa.array([kept.tobytes()], pa.binary()),
                     pa.array([len(wide)], pa.int64()),
                 ],
-                ["shard", "part", "doc_ids", "n_tokens", "ids", "n"],
+                ["shard", "part", "before", "doc_ids", "n_tokens", "ids", "n"],
             )
-            part += 1
+            part, before = part + 1, before + len(wide)
 
     spark = docs.sparkSession
     ordered = (
@@ -105,7 +107,7 @@ def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str) -> DataFram
     return saved(
         small_batches(ordered).mapInArrow(
             run,
-            "shard int, part int, doc_ids array<bigint>, n_tokens array<bigint>, ids binary, "
+            "shard int, part int, before bigint, doc_ids array<bigint>, n_tokens array<bigint>, ids binary, "
             "n bigint",
         ),
         "op4-ids",
@@ -143,16 +145,8 @@ def _ranks(encoded: DataFrame) -> np.ndarray:
 
 
 def _blocks(encoded: DataFrame, ranks: np.ndarray, starts: dict[int, int]) -> DataFrame:
-    """A task may hold several shards or pieces of one, so each run of documents knows how
-    many ids of its shard come before it."""
     rank_of = np.zeros(int(ranks.max()) + 1 if len(ranks) else 1, np.uint32)
     rank_of[ranks] = np.arange(len(ranks), dtype=np.uint32)
-    before = (
-        encoded.select("shard", "part", "n")
-        .withColumn("before", F.expr("sum(n) OVER (PARTITION BY shard ORDER BY part) - n"))
-        .drop("n")
-    )
-    whole = encoded.join(before, ["shard", "part"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,7 +166,7 @@ def _blocks(encoded: DataFrame, ranks: np.ndarray, starts: dict[int, int]) -> Da
                     ["shard", "block", "start", "doc_ids", "n_tokens", "control", "data"],
                 )
 
-    return whole.mapInArrow(run, BLOCKS)
+    return small_batches(encoded).mapInArrow(run, BLOCKS)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

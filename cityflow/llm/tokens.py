@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import os
-
-import numpy as np
+from collections.abc import Collection
+from struct import pack
 
 # Distinct pieces between spaces whose ids a worker remembers; it forgets all when full.
-PIECES_KEPT = 800_000
+PIECES_KEPT = 1_200_000
 END_ID = 0
 
 _encoders: dict[str, Encoder] = {}
@@ -47,13 +47,13 @@ class Encoder:
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [pack(f"<{len(x)}I", *x.ids) for x in found]
 
-    def _whole(self, text: str, parts: set[str]) -> bool:
+    def _whole(self, text: str, parts: Collection[str]) -> bool:
         return (
             not self.by_space
-            or "" in parts
             or any(s in text for s in self.special)
+            or any(not p or p[0].isspace() or p[-1].isspace() for p in parts)
         )
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -65,11 +65,9 @@ class Encoder:
                 continue
             # the piece before the first space has no leading one, so it is kept apart
             first, *parts = text.split(" ")
-            new = {p for p in parts if p not in self.pieces}
-            if self._whole(text, new) or not first:
-                out += self._ids([text])
-                continue
-            if any(p[0].isspace() or p[-1].isspace() for p in new) or first[-1].isspace():
+            ids = list(map(self.pieces.get, parts))
+            new = {p for p, x in zip(parts, ids) if x is None} if None in ids else ()
+            if not first or first[-1].isspace() or self._whole(text, new):
                 out += self._ids([text])
                 continue
             if new:
@@ -78,7 +76,8 @@ class Encoder:
                     new = set(parts)
                 asked = list(new)
                 self.pieces.update(zip(asked, self._ids([" " + p for p in asked])))
-            out.append(b"".join([self._ids([first])[0], *map(self.pieces.__getitem__, parts)]))
+                ids = [self.pieces[p] if x is None else x for p, x in zip(parts, ids)]
+            out.append(b"".join([*self._ids([first]), *ids]))
         return out
 
 
