@@ -14,7 +14,6 @@ from cityflow import schemas
 from cityflow.functions import columns as c
 from cityflow.operators.dedupe import distinct_keys
 
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 NATIONS = 25
 
 # The calendar ends before the last orders, whose trips fall on the blank date.
@@ -88,11 +87,13 @@ def _order_line_trips(
     )
 
 
-def raw_trips(spark: SparkSession, sf_dir: str, color: str) -> DataFrame:
+def raw_trips(
+    spark: SparkSession, sf_dir: str, color: str, dropoff_zone: bool = True
+) -> DataFrame:
     """One color's raw table with its own names for the two time columns."""
     prefix = {"yellow": "tpep", "green": "lpep"}[color]
     status = {"yellow": "O", "green": "F"}[color]
-    trips = _order_line_trips(spark, sf_dir, status).drop("taxi_type")
+    trips = _order_line_trips(spark, sf_dir, status, dropoff_zone).drop("taxi_type")
     return trips.withColumnsRenamed(
         {f"{end}_datetime": f"{prefix}_{end}_datetime" for end in ("pickup", "dropoff")}
     )
@@ -158,19 +159,17 @@ def dim_borough(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sensors ---
 
 
-def _type_index() -> Column:
-    known = F.array(*[F.lit(t) for t in EVENT_TYPES])
-    return F.array_position(known, F.col("event_type")) - 1
-
-
-def sensor_id() -> Column:
-    return F.col("user_id") * len(EVENT_TYPES) + _type_index()
+def sensor_id(spark: SparkSession, sf_dir: str) -> Column:
+    """Sensors are numbered by user and by the place of the event type among all types."""
+    events = table(spark, sf_dir, "events")
+    kinds = events.agg(F.sort_array(F.collect_set("event_type"))).scalar()
+    return F.col("user_id") * F.size(kinds) + F.array_position(kinds, F.col("event_type")) - 1
 
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     instant = F.col("ts").cast("timestamp")
     return table(spark, sf_dir, "events").select(
-        sensor_id().alias("sensor_id"),
+        sensor_id(spark, sf_dir).alias("sensor_id"),
         instant.alias("datetime_utc"),
         c.to_local(instant).alias("datetime_local"),
         "value",
@@ -180,7 +179,7 @@ def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = distinct_keys(table(spark, sf_dir, "events"), ["user_id", "event_type"])
     return pairs.select(
-        sensor_id().alias("sensor_id"),
+        sensor_id(spark, sf_dir).alias("sensor_id"),
         F.col("user_id").alias("location_id"),
         F.col("event_type").alias("parameter"),
         F.concat(F.lit("per "), "event_type").alias("unit"),

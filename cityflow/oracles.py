@@ -321,9 +321,8 @@ QUALIFY row_number() OVER (PARTITION BY user_id, ingestion_hour ORDER BY event_i
 
 # --- air quality ---
 
-_SENSOR = (
-    "user_id * 5 + list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type) - 1"
-)
+_TYPES = "(SELECT list_sort(list(DISTINCT event_type)) FROM events)"
+_SENSOR = f"user_id * len({_TYPES}) + list_position({_TYPES}, event_type) - 1"
 
 _READINGS = f"""
 readings AS (
@@ -456,6 +455,11 @@ ORACLES["q_parse_measurement"] = _typed_readings(
 )
 ORACLES["q_parse_latest"] = _typed_readings("user_id", "event_type = 'purchase'", "FALSE")
 
+ORACLES["q_latest_backlog"] = """
+SELECT DISTINCT CAST(user_id AS INTEGER) AS sensor_id,
+  CASE WHEN event_type <> 'purchase' THEN ts END AS datetime_utc
+FROM events"""
+
 ORACLES["q_parse_weather"] = """
 SELECT CAST(strftime(ts, '%Y%m%d%H') AS INTEGER) AS ingestion_hour, datetime_local,
   v AS temperature_c, v * 2 AS precipitation_mm, v / 4 AS wind_kmh
@@ -537,7 +541,7 @@ ORACLES["q_stream_dedupe"] = "SELECT DISTINCT user_id, date_trunc('hour', ts) AS
 ORACLES["q_stream_latest"] = f"""WITH {_READINGS}
 SELECT date_trunc('hour', ts) AS hour_start, BoroughID, parameter, unit, value FROM readings
 QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', ts), BoroughID, parameter
-  ORDER BY ts DESC, sensor_id) = 1"""
+  ORDER BY ts DESC, sensor_id, value) = 1"""
 
 ORACLES["q_stream_merge"] = f"""WITH {_READINGS}, {_latest('fact', _LAST_DAY)}
 SELECT * FROM fact"""

@@ -15,6 +15,7 @@ from cityflow.sources import files, tables
 YELLOW = "nyc_yellow_taxi_trips_raw"
 GREEN = "nyc_green_taxi_trips_raw"
 TRIP_LEDGER = "bronze_loaded_trip_files"
+SOURCE_FILE = "source_file"
 ZONES = "bronze_nyc_taxi_locations"
 EXCHANGE_RATES = "bronze_ecb"
 GDP = "bronze_worldbank_raw"
@@ -31,10 +32,11 @@ _TRIP_TABLES = {
 
 
 def load_trip_files(spark: SparkSession, root: str, items: Iterable[tuple[str, str]]) -> None:
-    """Append each wanted, landed and not yet recorded monthly file to its color's table.
+    """Add each wanted, landed and not yet recorded monthly file to its color's table.
 
-    The paths that reach the driver are at most the job's own parameter list. A file
-    enters the ledger only after its rows are written.
+    The paths that reach the driver are at most the job's own parameter list. A file is a
+    partition of the raw table and enters the ledger only after its rows are written; after
+    a failure in between it is written again in place of the same partition.
     """
     tables.create_if_missing(spark, TRIP_LEDGER, {"file_name": "string", "bytes": "bigint"})
     manifest = files.trip_manifest(spark, items, root)
@@ -45,10 +47,15 @@ def load_trip_files(spark: SparkSession, root: str, items: Iterable[tuple[str, s
         mine = [row for row in pending if row.color == color]
         if not mine:
             continue
-        tables.create_if_missing(spark, name, columns)
+        tables.create_if_missing(spark, name, {**columns, SOURCE_FILE: "string"}, [SOURCE_FILE])
         # months differ in column types, so each file is converted by its own schema
-        months = [files.conform(files.scan_trip_files(spark, row.path), columns) for row in mine]
-        tables.append(reduce(DataFrame.unionByName, months), name)
+        months = [
+            files.conform(files.scan_trip_files(spark, row.path), columns).withColumn(
+                SOURCE_FILE, F.lit(row.file_name)
+            )
+            for row in mine
+        ]
+        tables.replace_partitions(reduce(DataFrame.unionByName, months), name, [SOURCE_FILE])
         done = [(row.file_name, row.bytes) for row in mine]
         tables.append(spark.createDataFrame(done, "file_name string, bytes bigint"), TRIP_LEDGER)
 

@@ -76,8 +76,8 @@ def sensor_boroughs(
     """What the readings need to know about each sensor. Joining the small tables with
     each other first leaves a single join on the side of the readings."""
     placed = lookup(
-        locations.select("location_id", F.trim("suburb").alias("suburb")),
-        dim_borough.select("BoroughID", F.trim("BoroughName").alias("BoroughName")),
+        locations.select("location_id", F.rtrim("suburb").alias("suburb")),
+        dim_borough.select("BoroughID", F.rtrim("BoroughName").alias("BoroughName")),
         "suburb",
         "BoroughName",
         {"BoroughID": "BoroughID"},
@@ -88,18 +88,11 @@ def sensor_boroughs(
     )
 
 
-def recent_air_quality(
-    measurements: DataFrame,
-    sensors: DataFrame,
-    locations: DataFrame,
-    dim_borough: DataFrame,
-    as_of: Column,
-    hours: int = 24,
+def air_quality(
+    measurements: DataFrame, sensors: DataFrame, locations: DataFrame, dim_borough: DataFrame
 ) -> DataFrame:
-    """The latest reading per borough, local date, local hour and parameter among the
-    readings of the last `hours`."""
-    recent = measurements.where(c.within_lookback("datetime_utc", as_of, hours))
-    placed = recent.join(sensor_boroughs(sensors, locations, dim_borough), "sensor_id")
+    """The latest reading per borough, local date, local hour and parameter."""
+    placed = measurements.join(sensor_boroughs(sensors, locations, dim_borough), "sensor_id")
     keyed = placed.select(
         "BoroughID",
         c.date_key("datetime_local").alias("DateKey"),
@@ -114,6 +107,19 @@ def recent_air_quality(
     return newest.select(*schemas.FACT_AIR_QUALITY)
 
 
+def recent_air_quality(
+    measurements: DataFrame,
+    sensors: DataFrame,
+    locations: DataFrame,
+    dim_borough: DataFrame,
+    as_of: Column,
+    hours: int = 24,
+) -> DataFrame:
+    """`air_quality` of the readings of the last `hours`."""
+    recent = measurements.where(c.within_lookback("datetime_utc", as_of, hours))
+    return air_quality(recent, sensors, locations, dim_borough)
+
+
 def recent_date_keys(as_of: Column, hours: int = 24) -> Column:
     """Condition that every row of the last `hours` meets, for pruning the fact's
     DateKey partitions. One day of slack covers the distance of local time from UTC."""
@@ -154,6 +160,6 @@ def hourly(spark: SparkSession, latest_path: str, weather_path: str, as_of: Colu
     """One hourly run: land, refine, merge."""
     bronze.load_latest(spark, latest_path, as_of)
     bronze.load_weather(spark, weather_path, as_of)
-    silver.load_latest(spark, as_of)
+    silver.load_latest(spark)
     silver.load_weather(spark)
     merge_air_quality(spark, as_of)

@@ -15,6 +15,7 @@ TRIPS = "silver_taxi_trips"
 LOCATIONS = "silver_openaq_locations"
 SENSORS = "silver_sensors"
 MEASUREMENTS = "silver_sensor_measurements_hourly"
+REFINED_HOURS = "silver_refined_latest_hours"
 WEATHER = "silver_weather_nyc"
 
 TRIP_KEYS = ["pickup_datetime", "dropoff_datetime", "PULocationID", "DOLocationID", "taxi_type"]
@@ -195,19 +196,31 @@ def load_history(spark: SparkSession) -> None:
     tables.replace(measurements_from_history(tables.scan(spark, bronze.HISTORY)), MEASUREMENTS)
 
 
-def load_latest(spark: SparkSession, as_of: Column | None = None, hours: int = 24) -> None:
+def load_latest(
+    spark: SparkSession,
+    raw_table: str = bronze.LATEST,
+    target: str = MEASUREMENTS,
+    ledger: str = REFINED_HOURS,
+) -> None:
     """Append the readings of the latest feed that are not stored yet.
 
-    With `as_of` only the raw hours loaded in the last `hours` are parsed; their
-    partitions are selected before any JSON is read.
+    A raw hour is parsed until the ledger shows as many of its rows as there are, however
+    old it is; the others are left out by partition before any JSON is read. Only one
+    number for each hour reaches the driver. A failure before the ledger is written makes
+    the next run repeat an append that adds nothing.
     """
-    tables.create_if_missing(spark, MEASUREMENTS, schemas.MEASUREMENTS)
-    raw = tables.scan(spark, bronze.LATEST)
-    if as_of is not None:
-        oldest = c.ingestion_hour(as_of - F.expr(f"INTERVAL {int(hours)} HOURS"))
-        raw = raw.where(F.col("ingestion_hour") >= oldest)
-    readings = parse.latest_measurements(raw)
-    tables.append_new(readings, MEASUREMENTS, MEASUREMENT_KEYS, range_key="datetime_utc")
+    tables.create_if_missing(spark, target, schemas.MEASUREMENTS)
+    tables.create_if_missing(spark, ledger, {"ingestion_hour": "int", "raw_rows": "bigint"})
+    raw = tables.scan(spark, raw_table)
+    counted = raw.groupBy("ingestion_hour").agg(F.count("*").alias("raw_rows"))
+    known = tables.scan(spark, ledger)
+    pending = counted.join(known, ["ingestion_hour", "raw_rows"], "left_anti").collect()
+    if not pending:
+        return
+    fresh = raw.where(F.col("ingestion_hour").isin([row.ingestion_hour for row in pending]))
+    readings = parse.latest_measurements(fresh)
+    tables.append_new(readings, target, MEASUREMENT_KEYS, range_key="datetime_utc")
+    tables.append(spark.createDataFrame(pending, known.schema), ledger)
 
 
 def load_weather(spark: SparkSession) -> None:

@@ -65,12 +65,20 @@ def _event_star(spark: SparkSession, sf_dir: str) -> model.Star:
         gold.fact_taxi(b.event_trips(spark, sf_dir), b.zones(spark, sf_dir), boroughs),
         {
             "DimBorough": boroughs,
-            "DimDate": dims.dim_date(spark, "2024-01-01", "2024-12-31"),
+            "DimDate": _event_calendar(spark, sf_dir),
             "HourKey": dims.hour_dim(spark),
         },
     )
 
 
+def _event_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days of all events; local dates begin up to a day before those in UTC."""
+    events = b.table(spark, sf_dir, "events").select(
+        F.explode(F.array("ts", F.col("ts") - F.expr("INTERVAL 1 DAY"))).alias("ts")
+    )
+    return dims.dim_date_covering(events, "ts")
+
+
 BY_BOROUGH_YEAR = ("DimBorough.BoroughName", "DimDate.Year")
 
 
@@ -213,15 +221,16 @@ def q_metric_format(spark, sf_dir):
 # --- trips ---
 
 
-def _raw_pair(spark, sf_dir):
-    return b.raw_trips(spark, sf_dir, "green"), b.raw_trips(spark, sf_dir, "yellow")
+def _raw_pair(spark, sf_dir, dropoff_zone=True):
+    colors = ("green", "yellow")
+    return tuple(b.raw_trips(spark, sf_dir, c, dropoff_zone) for c in colors)
 
 
 @query
 def q_union_trips(spark, sf_dir):
     """Both colors under common names, duplicates kept, counted per color and zone."""
     return (
-        silver.all_trips(*_raw_pair(spark, sf_dir))
+        silver.all_trips(*_raw_pair(spark, sf_dir, dropoff_zone=False))
         .groupBy("taxi_type", "PULocationID")
         .agg(F.count("*").alias("trips"), F.sum("trip_distance").alias("distance"))
     )
@@ -230,7 +239,7 @@ def q_union_trips(spark, sf_dir):
 @query
 def q_trip_duration(spark, sf_dir):
     """Minutes between order and shipping; negative ones are kept."""
-    return b.trips(spark, sf_dir).select(
+    return b.trips(spark, sf_dir, dropoff_zone=False).select(
         "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_duration_minutes"
     )
 
@@ -428,16 +437,13 @@ def q_air_quality_merge(spark, sf_dir):
 
 
 def _air_star(spark: SparkSession, sf_dir: str) -> model.Star:
-    """All readings as an air quality fact: a lookback long enough to reach the first."""
-    fact = gold.recent_air_quality(
-        *_air_inputs(spark, sf_dir), b.newest_event(spark, sf_dir), hours=24 * 366
-    )
+    """All readings as an air quality fact."""
     return model.Star(
         gold.FACT_AIR_QUALITY,
-        fact,
+        gold.air_quality(*_air_inputs(spark, sf_dir)),
         {
             "DimBorough": b.dim_borough(spark, sf_dir),
-            "DimDate": dims.dim_date(spark, "2024-01-01", "2024-12-31"),
+            "DimDate": _event_calendar(spark, sf_dir),
             "HourKey": dims.hour_dim(spark),
         },
     )
@@ -528,6 +534,21 @@ def q_parse_latest(spark, sf_dir):
     return silver.measurements_from_latest(b.raw_latest(spark, sf_dir))
 
 
+@query
+def q_latest_backlog(spark, sf_dir):
+    """Raw hours reach silver however old they are: those of even days first, then older and
+    newer ones of odd days, then nothing new."""
+    raw_table = _new_table(spark, schemas.RAW_LATEST, ["ingestion_hour"])
+    target = _new_table(spark, schemas.MEASUREMENTS)
+    ledger = _new_table(spark, {"ingestion_hour": "int", "raw_rows": "bigint"})
+    rows = b.raw_latest(spark, sf_dir)
+    odd = F.floor(F.col("ingestion_hour") / 100) % 2 == 1
+    for part in (rows.where(~odd), rows.where(odd), rows.where("false")):
+        tables.append(part, raw_table)
+        silver.load_latest(spark, raw_table, target, ledger)
+    return tables.scan(spark, target).select("sensor_id", "datetime_utc")
+
+
 @query
 def q_parse_weather(spark, sf_dir):
     return silver.weather(b.raw_weather(spark, sf_dir))
@@ -698,16 +719,24 @@ def q_csv_exchange_rates(spark, sf_dir):
 
 # --- streams ---
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # a pattern instead of a plain name lets the source be one file or a folder of parts
-    path = b.table_path(sf_dir, "events").removesuffix("t") + "[t]"
-    landed = feed.land(spark, path, b.TABLES["events"], fmt="parquet")
+def _event_stream(spark: SparkSession, sf_dir: str, shuffled: bool = False) -> DataFrame:
+    """The events as a stream; `shuffled` lands them in six files in no order of time, each
+    of which is a batch of its own."""
+    if shuffled:
+        path = shared_folder(spark, "shuffled")
+        b.table(spark, sf_dir, "events").repartition(6, F.xxhash64("event_id")).write.parquet(path)
+    else:
+        # a pattern instead of a plain name lets the source be one file or a folder of parts
+        path = b.table_path(sf_dir, "events").removesuffix("t") + "[t]"
+    landed = feed.land(
+        spark, path, b.TABLES["events"], fmt="parquet", files_per_batch=1 if shuffled else None
+    )
     instant = F.col("ts").cast("timestamp")
     return landed.select(
         "event_id",
         "user_id",
         "event_type",
-        b.sensor_id().alias("sensor_id"),
+        b.sensor_id(spark, sf_dir).alias("sensor_id"),
         instant.alias("datetime_utc"),
         c.to_local(instant).alias("datetime_local"),
         "value",
@@ -735,27 +764,38 @@ def q_stream_land(spark, sf_dir):
 
 @query
 def q_stream_dedupe(spark, sf_dir):
-    """One arrival per user and hour."""
-    folder = shared_folder(spark, "deduped")
-    hourly = _event_stream(spark, sf_dir).select(
+    """One arrival per user and hour, late ones too, from six shuffled batches."""
+    target = _new_table(spark, {"user_id": "bigint", "hour": "timestamp"})
+    hourly = _event_stream(spark, sf_dir, shuffled=True).select(
         "user_id", F.date_trunc("hour", "datetime_utc").alias("hour")
     )
-    unique = feed.dedupe_stream(hourly, ["user_id", "hour"], "hour")
-    feed.run_available(feed.append_stream(unique, f"{folder}/data", f"{folder}/checkpoint"))
-    return spark.read.parquet(f"{folder}/data")
+    checkpoint = shared_folder(spark, "deduped")
+    feed.run_available(feed.append_unseen(hourly, target, ["user_id", "hour"], checkpoint, "hour"))
+    spark.catalog.refreshTable(target)
+    return tables.scan(spark, target)
 
 
 @query
 def q_stream_latest(spark, sf_dir):
-    """The latest value per borough, parameter and event-time hour."""
-    folder = shared_folder(spark, "latest")
+    """The latest value per borough, parameter and event-time hour, from six shuffled batches."""
+    keys = ["hour_start", "BoroughID", "parameter", "unit"]
+    kinds = ["timestamp", "int", "string", "string"]
+    columns = {
+        **dict(zip(keys, kinds, strict=True)),
+        "value": "double", "datetime_utc": "timestamp", "sensor_id": "bigint", "day": "date",
+    }
+    target = _new_table(spark, columns, ["day"])
     _, sensors, locations, boroughs = _air_inputs(spark, sf_dir)
     lookup = gold.sensor_boroughs(sensors, locations, boroughs)
-    readings = _event_stream(spark, sf_dir).withWatermark("datetime_utc", feed.LATE_BOUND)
-    latest = feed.latest_per_hour(feed.place(readings, lookup))
-    feed.run_available(feed.update_stream(latest, f"{folder}/data", f"{folder}/checkpoint"))
-    keys = ["hour_start", "BoroughID", "parameter", "unit"]
-    return feed.current_rows(spark, f"{folder}/data", keys)
+    placed = feed.place(_event_stream(spark, sf_dir, shuffled=True), lookup).withColumns(
+        {"hour_start": F.date_trunc("hour", "datetime_utc"), "day": F.to_date("datetime_utc")}
+    )
+    folder = shared_folder(spark, "latest")
+    feed.run_available(
+        feed.keep_latest(placed, target, keys, f"{folder}/checkpoint", f"{folder}/stage")
+    )
+    spark.catalog.refreshTable(target)
+    return tables.scan(spark, target).select(*keys, "value")
 
 
 @query

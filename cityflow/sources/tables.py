@@ -54,6 +54,20 @@ def replace(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
     _spread(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
 
 
+def replace_partitions(df: DataFrame, name: str, spread_by: Sequence[str] = ()) -> None:
+    """Write whole partitions in place of those the table has; other partitions stay. A
+    second run, or one after a failure, leaves the same rows."""
+    spark = df.sparkSession
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        columns = spark.table(name).columns
+        _spread(df, spread_by).select(*columns).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def _existing(
     incoming: DataFrame, name: str, since: Column | None, range_key: str | None
 ) -> DataFrame:

@@ -48,6 +48,56 @@ def dedupe_stream(
     return bounded.dropDuplicatesWithinWatermark(list(keys))
 
 
+def append_unseen(
+    readings: DataFrame, target: str, keys: Sequence[str], checkpoint: str, range_key: str
+) -> DataStreamWriter:
+    """Append the rows of new keys to a table, whatever batch they come in and however late.
+
+    The table itself is the memory, so no state grows and no watermark drops rows; a batch
+    reads only row groups of the table between its smallest and largest `range_key`. A
+    replayed batch finds its rows and adds nothing.
+    """
+
+    def insert(batch: DataFrame, _batch_id: int) -> None:
+        batch.sparkSession.catalog.refreshTable(target)
+        rows = batch.persist()
+        try:
+            tables.append_new(rows, target, keys, range_key=range_key)
+        finally:
+            rows.unpersist()
+
+    return readings.writeStream.foreachBatch(insert).option("checkpointLocation", checkpoint)
+
+
+def keep_latest(
+    placed: DataFrame,
+    target: str,
+    keys: Sequence[str],
+    checkpoint: str,
+    stage: str,
+    tie: Sequence[str] = ("sensor_id", "value"),
+) -> DataStreamWriter:
+    """Keep the latest row of each key in a table partitioned by `day`, one row a key.
+
+    A batch is compared with the stored rows of its own days only, and those days are
+    replaced; the outcome depends neither on batches nor on their order, and a replayed
+    batch changes nothing. `stage` is a folder for the new rows while the days are replaced.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        spark.catalog.refreshTable(target)
+        stored = tables.scan(spark, target)
+        days = batch.select("day").distinct()
+        both = batch.select(*stored.columns).unionByName(stored.join(days, "day", "left_semi"))
+        path = f"{stage}/{batch_id}"
+        latest_per_key(both, keys, "datetime_utc", tie).write.mode("overwrite").parquet(path)
+        staged = spark.read.schema(stored.schema).parquet(path)
+        tables.replace_partitions(staged, target, ["day"])
+
+    return placed.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+
+
 def place(readings: DataFrame, sensor_boroughs: DataFrame) -> DataFrame:
     """Add borough, parameter and unit from the static lookup of `gold.sensor_boroughs`."""
     return readings.join(sensor_boroughs, "sensor_id")
@@ -59,8 +109,9 @@ def latest_per_hour(
     time: str = "datetime_utc",
     tie: str = "sensor_id",
 ) -> DataFrame:
-    """Latest value per key and event-time hour; equal times go to the smallest `tie`."""
-    newest = F.struct(F.col(time), -F.col(tie))
+    """Latest value per key and event-time hour; equal times go to the smallest `tie`, then
+    to the smallest value."""
+    newest = F.struct(F.col(time), -F.col(tie), -F.col("value"))
     return (
         placed.groupBy(F.window(time, "1 hour").alias("hour"), *keys)
         .agg(F.max_by("value", newest).alias("value"))

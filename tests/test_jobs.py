@@ -130,3 +130,37 @@ def test_history_is_a_full_replace(spark, database, tmp_path):
     for _ in range(2):
         silver.load_history(spark)
     assert count(spark, bronze.HISTORY) == 2 and count(spark, silver.MEASUREMENTS) == 1
+
+
+def test_a_failure_before_the_ledger_loads_no_file_twice(spark, database, tmp_path, monkeypatch):
+    write_trips(tmp_path / "yellow_tripdata_2024-01.parquet", "yellow", 4)
+    write_trips(tmp_path / "green_tripdata_2024-01.parquet", "green", 3)
+    wanted = [("2024-01", "yellow"), ("2024-01", "green")]
+    append = tables.append
+
+    def broken(df, name, *args, **more):
+        if name == bronze.TRIP_LEDGER:
+            raise RuntimeError("lost")
+        append(df, name, *args, **more)
+
+    monkeypatch.setattr(tables, "append", broken)
+    with pytest.raises(RuntimeError):
+        bronze.load_trip_files(spark, str(tmp_path), wanted)
+    monkeypatch.setattr(tables, "append", append)
+    for _ in range(2):
+        bronze.load_trip_files(spark, str(tmp_path), wanted)
+    assert spark.table(bronze.YELLOW).count() == 4
+    assert spark.table(bronze.GREEN).count() == 3
+    assert spark.table(bronze.TRIP_LEDGER).count() == 2
+
+
+def test_old_raw_hours_are_refined(spark, placed_locations, tmp_path):
+    new = latest_file(tmp_path / "new.json", [(10, "2024-07-04T12:00:00Z", 1.0)])
+    old = latest_file(tmp_path / "old.json", [(10, "2024-07-02T12:00:00Z", 2.0)])
+    bronze.load_latest(spark, new, F.lit("2024-07-04 12:00:00").cast("timestamp"))
+    silver.load_latest(spark)
+    bronze.load_latest(spark, old, F.lit("2024-07-02 12:00:00").cast("timestamp"))
+    for _ in range(2):
+        silver.load_latest(spark)
+    assert spark.table(silver.MEASUREMENTS).count() == 2
+    assert spark.table(silver.REFINED_HOURS).count() == 2
