@@ -10,6 +10,8 @@ Texts without mentions are passed through as they are.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -223,6 +225,7 @@ def _distinct_draws(values: DataFrame, key: str) -> DataFrame:
     Each round keeps the drawn values that are free, for the first value that drew them; the
     others draw again. What still meets others after DRAWS rounds (a kind with more values
     than forms) gets a form of its own with its whole hash."""
+    spark = values.sparkSession
     values = saved(values, "op5-values")
     open_, done = values, None
     for attempt in range(DRAWS + 1):
@@ -230,7 +233,10 @@ def _distinct_draws(values: DataFrame, key: str) -> DataFrame:
         drawn = _draw(F.col("kind"), F.col("value"), key, attempt)
         if last:
             drawn = F.concat("kind", F.lit("-"), F.sha2(F.concat_ws("|", F.lit(key), "kind", "value"), 256))
-        tried = saved(open_.withColumn("drawn", drawn), "op5-draws")
+        # few rows in few files, but each is some work: spread them over all tasks
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spread = open_.repartition(parts, "kind", "value")
+        tried = saved(spread.withColumn("drawn", drawn), "op5-draws")
         real = values.select("kind", F.col("value").alias("drawn"))
         free = tried if last else tried.join(real, ["kind", "drawn"], "left_anti")
         if done is not None and not last:
@@ -277,15 +283,28 @@ def _alike(value: Column, stream: Column) -> Column:
     return F.concat_ws("", drawn)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, not again for every character."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _draw(kind: Column, value: Column, key: str, attempt: int) -> Column:
-    stream = _stream(key, attempt, kind, value)
+    return _let(
+        _stream(key, attempt, kind, value), lambda stream: _drawn(kind, value, stream, key)
+    )
+
+
+def _drawn(kind: Column, value: Column, stream: Column, key: str) -> Column:
     alike = _alike(value, stream)
     at = F.instr(value, "@")
     domain = F.substring(value, at + F.lit(1), F.length(value))
     email = F.concat(
         _alike(F.substring(value, F.lit(1), at - F.lit(1)), stream),
         F.lit("@"),
-        _alike(F.regexp_extract(domain, r"^(.*)\.", 1), _stream(key, 0, F.lit("domain"), domain)),
+        _let(
+            _stream(key, 0, F.lit("domain"), domain),
+            lambda s: _alike(F.regexp_extract(domain, r"^(.*)\.", 1), s),
+        ),
         F.lit("."),
         F.regexp_extract(domain, r"([^.]*)$", 1),
     )
