@@ -7,12 +7,12 @@ Features are hashed byte trigrams of the lower-cased text without digits and pun
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +36,7 @@ FAMILIES = {
 }
 FAMILY_OF = {lang: name for name, langs in FAMILIES.items() for lang in langs.split()}
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 PLAIN = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
