@@ -15,6 +15,7 @@ TRIPS = "silver_taxi_trips"
 LOCATIONS = "silver_openaq_locations"
 SENSORS = "silver_sensors"
 MEASUREMENTS = "silver_sensor_measurements_hourly"
+REFINED_FILES = "silver_refined_trip_files"
 REFINED_HOURS = "silver_refined_latest_hours"
 WEATHER = "silver_weather_nyc"
 
@@ -173,9 +174,19 @@ def weather(raw: DataFrame) -> DataFrame:
 
 
 def load_trips(spark: SparkSession) -> None:
+    """Append the trips of files that are not refined yet. Only their partitions of the raw
+    tables are read, and of the stored trips only row groups of their pickup times."""
     tables.create_if_missing(spark, TRIPS, schemas.TRIPS)
-    trips = all_trips(tables.scan(spark, bronze.GREEN), tables.scan(spark, bronze.YELLOW))
-    tables.append_new(trips, TRIPS, TRIP_KEYS)
+    tables.create_if_missing(spark, REFINED_FILES, {bronze.SOURCE_FILE: "string"})
+    known, source = tables.scan(spark, REFINED_FILES), F.col(bronze.SOURCE_FILE)
+    raw = [tables.scan(spark, name) for name in (bronze.GREEN, bronze.YELLOW)]
+    files = raw[0].select(source).union(raw[1].select(source)).distinct()
+    pending = [row[0] for row in files.join(known, bronze.SOURCE_FILE, "left_anti").collect()]
+    if not pending:
+        return
+    trips = all_trips(*[rows.where(source.isin(pending)).drop(source) for rows in raw])
+    tables.append_new(trips, TRIPS, TRIP_KEYS, range_key="pickup_datetime")
+    tables.append(spark.createDataFrame([(name,) for name in pending], known.schema), REFINED_FILES)
 
 
 def load_locations(spark: SparkSession, strict: bool = False) -> None:

@@ -366,10 +366,10 @@ def q_copy_layer(spark, sf_dir):
     silver_table, gold_table = (_new_table(spark, columns) for _ in range(2))
     readings = b.measurements(spark, sf_dir)
     early = F.col("datetime_utc") < F.lit("2024-01-16").cast("timestamp")
-    for arrived in (readings.where(early), readings, readings):
-        keys = silver.MEASUREMENT_KEYS
+    keys = silver.MEASUREMENT_KEYS
+    for arrived, new in ((readings.where(early), early), (readings, ~early), (readings, None)):
         tables.append_new(arrived, silver_table, keys, range_key="datetime_utc")
-        tables.copy_layer(spark, silver_table, gold_table, keys)
+        tables.copy_layer(spark, silver_table, gold_table, keys, new, range_key="datetime_utc")
     return tables.scan(spark, gold_table)
 
 

@@ -123,10 +123,12 @@ def copy_layer(
     target: str,
     keys: Sequence[str],
     since: Column | None = None,
+    range_key: str | None = None,
 ) -> None:
-    """Copy a table into the next layer, new keys only."""
+    """Copy a table into the next layer, new keys only. `since` bounds both tables, as for
+    partitions loaded since the last copy; `range_key` bounds the target by what is copied."""
     columns = spark.table(target).columns
     new = scan(spark, source).select(*columns)
     if since is not None:
         new = new.where(since)
-    append_new(new, target, keys, since)
+    append_new(new, target, keys, since, range_key)

@@ -1,6 +1,7 @@
 """Whole jobs over managed tables, run twice."""
 
 import json
+from pathlib import Path
 
 import pyarrow as pa
 import pytest
@@ -22,6 +23,11 @@ def count(spark, name):
     return tables.scan(spark, name).count()
 
 
+def data_files(spark, name):
+    spark.catalog.refreshTable(name)
+    return [Path(f.removeprefix("file:")) for f in tables.scan(spark, name).inputFiles()]
+
+
 def test_taxi_batch(spark, database, tmp_path):
     landing = tmp_path / "landing"
     write_trips(landing / "yellow_tripdata_2024-01.parquet", "yellow", 4)
@@ -48,6 +54,19 @@ def test_taxi_batch(spark, database, tmp_path):
     assert fact.count() == 7 and dict(fact.dtypes) == schemas.FACT_TAXI
     assert {r.PUBoroughID for r in fact.collect()} == {1}
 
+    # the later months: only dates with new trips are written
+    write_trips(landing / "yellow_tripdata_2024-02.parquet", "yellow", 6)
+    bronze.load_trip_files(spark, str(landing), wanted)
+    silver.load_trips(spark)
+    stored = {path: path.stat().st_mtime_ns for path in data_files(spark, gold.FACT_TAXI)}
+    for _ in range(2):
+        gold.load_fact_taxi(spark)
+    assert count(spark, gold.FACT_TAXI) == count(spark, silver.TRIPS)
+    now = {path: path.stat().st_mtime_ns for path in data_files(spark, gold.FACT_TAXI)}
+    assert now != stored or count(spark, silver.TRIPS) == 7
+    gold.load_fact_taxi(spark)
+    assert now == {path: path.stat().st_mtime_ns for path in data_files(spark, gold.FACT_TAXI)}
+
 
 def test_reference_data(spark, database, tmp_path):
     (tmp_path / "zones.csv").write_text("LocationID,Borough,Zone,service_zone\n1,Queens,a,b\n1,Queens,z,b\n2,Bronx,c,d\n")
