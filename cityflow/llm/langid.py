@@ -21,6 +21,7 @@ from cityflow.llm.common import broadcast_small, map_batches
 FEATURES = 2048
 # Labelled documents used for fitting: of each language, those with the smallest id hashes.
 ROWS_PER_LANGUAGE = 1_500
+SALTS = 64
 STEPS, PENALTY = 150, 1e-4
 UNKNOWN = "und"
 
@@ -108,10 +109,15 @@ def fit(
     """Fit on the rows with a label and a letter in the text, ROWS_PER_LANGUAGE of each at
     most. No such row: everything is unknown. One language: it is always predicted."""
     known = docs.where(F.col(label).isNotNull() & F.col(id_col).isNotNull())
-    order = Window.partitionBy(label).orderBy(F.xxhash64(id_col), id_col)
+    # a language may hold most rows, so each is cut down in SALTS parts before it meets
+    first = [F.xxhash64(id_col), F.col(id_col)]
+    salted = Window.partitionBy(label, F.pmod(F.xxhash64(id_col), F.lit(SALTS))).orderBy(*first)
+    whole = Window.partitionBy(label).orderBy(*first)
     chosen = (
         known.select(id_col, label)
-        .withColumn("n", F.row_number().over(order))
+        .withColumn("n", F.row_number().over(salted))
+        .where(F.col("n") <= ROWS_PER_LANGUAGE)
+        .withColumn("n", F.row_number().over(whole))
         .where(F.col("n") <= ROWS_PER_LANGUAGE)
         .select(F.col(id_col).alias("id"), F.col(label).alias("label"))
     )
