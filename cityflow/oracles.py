@@ -379,6 +379,12 @@ SELECT r_name AS BoroughName, parameter, unit,
   CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS value
 FROM fact JOIN region ON BoroughID = r_regionkey WHERE HourKey >= 6 GROUP BY ALL"""
 
+ORACLES["q_air_quality_by_month"] = f"""WITH {_READINGS}, {_latest('fact', 'TRUE')}
+SELECT CAST(DateKey // 10000 AS INTEGER) AS "Year",
+  CAST(DateKey // 100 % 100 AS INTEGER) AS MonthNumber, parameter,
+  CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS value
+FROM fact GROUP BY ALL"""
+
 ORACLES["q_drill_across"] = f"""WITH {_EVENT_TRIPS}, {_FACT}, {_READINGS},
 {_latest('air_fact', 'TRUE')},
 t AS ({_ROLLUP}),
@@ -409,6 +415,13 @@ SELECT CAST(c_custkey AS INTEGER) AS location_id, c_name AS name, n_name AS loca
   CASE r_name WHEN 'AFRICA' THEN 'Bronx' ELSE r_name END AS suburb
 FROM city"""
 
+ORACLES["q_geocode_requests"] = """
+SELECT DISTINCT c_nationkey + 0.5::DOUBLE AS lat, c_custkey / 8.0::DOUBLE AS lon FROM customer
+WHERE c_acctbal >= 0 AND c_mktsegment NOT IN ('MACHINERY', 'FURNITURE') AND c_custkey % 2 = 1"""
+
+ORACLES["q_latest_requests"] = f"""WITH {_CITY}
+SELECT DISTINCT CAST(c_custkey AS INTEGER) AS location_id FROM city"""
+
 ORACLES["q_explode_children"] = f"""WITH {_CITY}
 SELECT CAST(c_custkey * 2 + i AS INTEGER) AS sensor_id, CAST(c_custkey AS INTEGER) AS location_id,
   CASE i WHEN 0 THEN 'pm25' ELSE 'o3' END AS parameter,

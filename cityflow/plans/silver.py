@@ -96,6 +96,17 @@ def rejected_locations(parsed: DataFrame) -> DataFrame:
     )
 
 
+def geocode_requests(parsed: DataFrame, geocodes: DataFrame) -> DataFrame:
+    """Coordinates of usable location documents that have no stored geocode yet."""
+    points = parsed.where("reject_reason IS NULL").select("lat", "lon").distinct()
+    return points.join(geocodes.select("lat", "lon").distinct(), ["lat", "lon"], "left_anti")
+
+
+def latest_requests(locations: DataFrame) -> DataFrame:
+    """The locations to poll for their latest readings."""
+    return locations.select("location_id").distinct()
+
+
 def geocode_per_point(geocodes: DataFrame) -> DataFrame:
     """One parsed address per coordinate pair."""
     address = F.from_json("json_raw", schemas.GEOCODE_DOC)["address"]

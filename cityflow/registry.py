@@ -464,6 +464,19 @@ def q_air_quality_summary(spark, sf_dir):
     return _doubles(out, "value")
 
 
+@query
+def q_air_quality_by_month(spark, sf_dir):
+    """The implicit sum of air quality values by month of the calendar and parameter."""
+    star = _air_star(spark, sf_dir)
+    exact = star.fact.withColumn("value", F.col("value").cast("decimal(12,2)"))
+    out = model.evaluate(
+        replace(star, fact=exact),
+        model.implicit_measures(gold.FACT_AIR_QUALITY),
+        ["DimDate.Year", "DimDate.MonthNumber", "parameter"],
+    )
+    return _doubles(out, "value")
+
+
 @query
 def q_drill_across(spark, sf_dir):
     """Trips and air quality side by side per borough, date and hour."""
@@ -488,6 +501,20 @@ def q_geocode_attach(spark, sf_dir):
     return silver.locations(documents)
 
 
+@query
+def q_geocode_requests(spark, sf_dir):
+    """Coordinates still to be geocoded when those of customers of even number are stored."""
+    stored = b.raw_geocodes(spark, sf_dir).where(F.pmod(F.col("lon") * 8, F.lit(2)) == 0)
+    return silver.geocode_requests(silver.parsed_locations(b.raw_locations(spark, sf_dir)), stored)
+
+
+@query
+def q_latest_requests(spark, sf_dir):
+    """Locations of the city to poll."""
+    documents = silver.city_documents(b.raw_locations(spark, sf_dir), b.raw_geocodes(spark, sf_dir))
+    return silver.latest_requests(silver.locations(documents))
+
+
 @query
 def q_explode_children(spark, sf_dir):
     """Sensors out of the location documents."""
