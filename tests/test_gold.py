@@ -71,7 +71,8 @@ def inputs(frame):
         "sensor_id int, location_id int, parameter string, unit string",
     )
     locations = frame(
-        [(1, " Bronx "), (2, "Queens"), (3, "Nowhere")], "location_id int, suburb string"
+        # blanks at the end do not count in a comparison, those at the start do
+        [(1, "Bronx  "), (2, "Queens"), (3, " Bronx")], "location_id int, suburb string"
     )
     boroughs = frame([(1, "Bronx"), (2, "Queens")], "BoroughID int, BoroughName string")
     return sensors, locations, boroughs
