@@ -38,7 +38,8 @@ from cityflow.llm.shingles import WordHashes, shingle_set
 OFTEN, MOST = 32, 100_000
 LOCAL_ROWS, LOCAL_OFTEN = 4_000_000, 4
 COLUMN_BLOCK = 4_096
-PARITY_BITS = 1_024
+# Bits of every set, and of one with more columns than MANY, where the fewer bits fill up.
+PARITY_BITS, LONG_BITS, MANY = 1_024, 16_384, 1_000
 
 
 def jaccard_components(
@@ -62,7 +63,7 @@ def jaccard_components(
         "op1-classes",
     )
     blocks = saved(_blocks(heads, classes), "op1-blocks")
-    comps = _components(docs, blocks, heads.select("id", "size", "parity"), n, percent)
+    comps = _components(docs, blocks, heads.select("id", "size", "parity", "long_parity"), n, percent)
     comps = comps.select(F.col("id").alias("rep"), F.col("comp").alias("component"))
     named = classes.join(comps, "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id")
@@ -122,13 +123,14 @@ def _heads(docs: DataFrame, n: int, percent: int, heavy: np.ndarray) -> DataFram
         seen = WordHashes()
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sizes, digests, heads, parities = [], [], [], []
+            sizes, digests, heads, parities, long_parities = [], [], [], [], []
             for text in texts(batch):
                 columns = shingle_set(text, n, seen)
                 size = len(columns)
                 sizes.append(size)
                 digests.append(xxhash.xxh3_128_digest(columns.tobytes()))
-                parities.append(_parity(columns))
+                parities.append(_parity(columns, PARITY_BITS))
+                long_parities.append(_parity(columns, LONG_BITS) if size > MANY else None)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, columns), len(known) - 1)
                     place = np.where(known[at] == columns, rank[at], 0)
@@ -142,22 +144,24 @@ def _heads(docs: DataFrame, n: int, percent: int, heavy: np.ndarray) -> DataFram
                     pa.array(digests, pa.binary()),
                     pa.array(heads, pa.list_(pa.int64())),
                     pa.array(parities, pa.list_(pa.int64())),
+                    pa.array(long_parities, pa.list_(pa.int64())),
                 ],
-                ["id", "size", "digest", "head", "parity"],
+                ["id", "size", "digest", "head", "parity", "long_parity"],
             )
 
         return step
 
     return map_batches(
         docs, make,
-        "id bigint, size int, digest binary, head array<bigint>, parity array<bigint>",
+        "id bigint, size int, digest binary, head array<bigint>, parity array<bigint>, "
+        "long_parity array<bigint>",
     )
 
 
-def _parity(columns: np.ndarray) -> np.ndarray:
-    """PARITY_BITS bits; each tells whether an odd number of columns falls on it. Two sets
-    differ in at least as many columns as their bits do."""
-    odd = np.bincount((columns % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS)
+def _parity(columns: np.ndarray, bits: int) -> np.ndarray:
+    """Bits that tell whether an odd number of columns falls on them. Two sets differ in at
+    least as many columns as their bits do."""
+    odd = np.bincount((columns % np.uint64(bits)).astype(np.int64), minlength=bits)
     return np.packbits(odd.astype(np.uint8) & 1).view(np.int64)
 
 
@@ -306,14 +310,21 @@ class _Tests:
         for x in ("a", "b"):
             side = few.select(
                 F.col("id").alias(x), F.col("size").alias(f"{x}_size"),
-                F.col("parity").alias(f"{x}_bits"),
+                F.col("parity").alias(f"{x}_bits"), F.col("long_parity").alias(f"{x}_long"),
             )
             joined = joined.join(side, x)
-        differ = F.expr(
-            "aggregate(zip_with(a_bits, b_bits, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x)"
+        differ, long_differ = (
+            F.expr(
+                f"aggregate(zip_with(a_{k}, b_{k}, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x)"
+            )
+            for k in ("bits", "long")
         )
         most = (100 - self.percent) * (F.col("a_size") + F.col("b_size"))
-        return joined.where(differ * (100 + self.percent) <= most).select("a", "b").distinct()
+        # without the long bits of both rows the second condition says nothing
+        close = (differ * (100 + self.percent) <= most) & F.coalesce(
+            long_differ * (100 + self.percent) <= most, F.lit(True)
+        )
+        return joined.where(close).select("a", "b").distinct()
 
     def _read_sets(self, pairs: DataFrame) -> DataFrame:
         """Whole sets of the rows of these pairs; new ones come from the texts once more."""

@@ -83,11 +83,9 @@ def test_parity_bits_bound_the_difference():
     for _ in range(50):
         x = np.unique(rng.integers(0, 1 << 63, 300).astype(np.uint64))
         y = np.unique(np.concatenate([x[: rng.integers(1, 300)], rng.integers(0, 1 << 63, 40).astype(np.uint64)]))
-        bits = sum(
-            int(v).bit_count()
-            for v in (ngram_join._parity(x) ^ ngram_join._parity(y)).view(np.uint64)
-        )
-        assert bits <= len(np.setxor1d(x, y))
+        for n in (ngram_join.PARITY_BITS, ngram_join.LONG_BITS):
+            odd = ngram_join._parity(x, n) ^ ngram_join._parity(y, n)
+            assert sum(int(v).bit_count() for v in odd.view(np.uint64)) <= len(np.setxor1d(x, y))
 
 
 def test_components_of_a_chain_and_a_star(spark):
