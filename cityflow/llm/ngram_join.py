@@ -33,8 +33,9 @@ from cityflow.llm.common import (
 )
 from cityflow.llm.shingles import WordHashes, shingle_set
 
-# Order of columns: those met at least OFTEN times come last, most frequent last of all.
-# Only the MOST frequent ones are listed; the order of the rest never changes a result.
+# Order of columns: those met at least OFTEN times come last, most frequent last of all. If
+# these are more than MOST, only those above a higher count are listed; the order, by hash
+# for the rest, never changes a result.
 OFTEN, MOST = 32, 100_000
 LOCAL_ROWS, LOCAL_OFTEN = 4_000_000, 4
 COLUMN_BLOCK = 4_096
@@ -63,7 +64,8 @@ def jaccard_components(
         "op1-classes",
     )
     blocks = saved(_blocks(heads, classes), "op1-blocks")
-    comps = _components(docs, blocks, heads.select("id", "size", "parity", "long_parity"), n, percent)
+    parities = heads.select("id", "size", "parity", "long_parity")
+    comps = _components(docs, blocks, parities, n, percent)
     comps = comps.select(F.col("id").alias("rep"), F.col("comp").alias("component"))
     named = classes.join(comps, "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id")
@@ -103,15 +105,24 @@ def _frequent(docs: DataFrame, n: int) -> np.ndarray:
         if parts:
             yield report()
 
-    counted = (
+    counted = saved(
         small_batches(docs.select("text"))
         .mapInArrow(count, "col bigint, times bigint")
         .groupBy("col")
         .agg(F.sum("times").alias("times"))
-        .where(F.col("times") >= OFTEN)
+        .where(F.col("times") >= OFTEN),
+        "op1-frequent",
     )
-    top = counted.orderBy(F.desc("times"), "col").limit(MOST).toPandas()
-    return top["col"].to_numpy(np.int64)[::-1].view(np.uint64).copy()
+    # the smallest power of two above which there are no more than MOST
+    level = F.floor(F.log2("times")).cast("int")
+    least, rows = OFTEN, 0
+    for at, n in counted.groupBy(level).count().orderBy(F.desc_nulls_last(level)).collect():
+        rows += n
+        if rows > MOST:
+            least = 2 << at
+            break
+    top = counted.where(F.col("times") >= least).toPandas().sort_values(["times", "col"])
+    return top["col"].to_numpy(np.int64).view(np.uint64).copy()
 
 
 def _heads(docs: DataFrame, n: int, percent: int, heavy: np.ndarray) -> DataFrame:

@@ -24,6 +24,7 @@ STATS = (
 STATS_TYPE = T.StructType([T.StructField(s, T.DoubleType()) for s in STATS])
 # Labelled rows used for fitting at most, the ones with the smallest hash of their id.
 TRAIN_ROWS = 20_000
+DRAWS = 1 << 40
 TREES, DEPTH, CUTS, SHRINK, PENALTY, SEED = 24, 3, 32, 0.3, 0.001, 7
 
 
@@ -108,10 +109,14 @@ def fit(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> Model
     """Fit on rows of (id, stats) that `labels` (id, label 0 or 1) marks. At most TRAIN_ROWS
     rows with the smallest id hashes are used; other labels are left out. Without labels every
     score is 0.5, with one class only it is close to that class."""
+    labels = labels.select(F.col(id_col).alias("id"), "label").where("label IN (0, 1)")
+    draw = F.pmod(F.xxhash64("id"), F.lit(DRAWS))
+    # about twice as many rows as are wanted come to be ordered, however many there are
+    share = min(DRAWS, 2 * TRAIN_ROWS * DRAWS // max(1, labels.count()))
     rows = (
         measured.select(F.col(id_col).alias("id"), "stats.*")
-        .join(labels.select(F.col(id_col).alias("id"), "label").where("label IN (0, 1)"), "id")
-        .orderBy(F.xxhash64("id"), "id", "label")
+        .join(labels.where(draw < share), "id")
+        .orderBy(draw, "id", "label")
         .limit(TRAIN_ROWS)
         .toPandas()
     )
