@@ -21,6 +21,7 @@ KEY = "replace-this-key"
 DRAWS = 40
 
 # Labels of secrets, forms of address by gender, and the shape of each type.
+# What may be long ends in a possessive repetition: nothing of it stays behind, in linear time.
 LABEL = (
     r"(?:[Pp]assword|PASSWORD|passwd|pwd|[Ss]ecret|SECRET|[Tt]oken|TOKEN|api[_-]?key|API[_-]?KEY)"
     r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
@@ -28,12 +29,25 @@ LABEL = (
 MALE = r"(?:Mr|Herr|Monsieur|Señor|Sr|Signor|г-н|господин|κύριος)"
 FEMALE = r"(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Signora|г-жа|госпожа|κυρία)"
 NEUTRAL = r"(?:Dr|Prof)"
-NAME_WORD = r"\p{Lu}[\p{L}'-]{1,30}"
+NAME_WORD = r"\p{Lu}[\p{L}'-]++"
 TYPES = {
-    "secret": LABEL + r"[^\s\"']{6,256}",
-    "key": r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])|gh[pousr]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z-]{20,80}",
-    "email": r"[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "secret": LABEL + r"[^\s\"']{6,}+",
+    # a run of these characters is tried as a whole at its start, elsewhere to a bound; the last
+    # choice of a domain serves one whose last labels are no letters
+    "email": (
+        r"(?:(?<![._%+-])[A-Za-z0-9._%+-]++|(?<=[._%+-])[A-Za-z0-9._%+-]{1,64}+)@"
+        r"(?:(?:[A-Za-z0-9-]++\.(?=[A-Za-z]{2}|[A-Za-z0-9-]++\.))++[A-Za-z]{2,}+"
+        r"|(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,}+)"
+    ),
+    "key": (
+        r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])|gh[pousr]_[0-9A-Za-z]{36,}+"
+        r"|sk-[0-9A-Za-z_-]{20,}+"
+    ),
+    # 15 characters at least
+    "iban": (
+        r"[A-Z]{2}[0-9]{2}(?:(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?"
+        r"|(?: ?[A-Z0-9]{4}){2} ?[A-Z0-9]{3})(?![A-Za-z0-9])"
+    ),
     "ip": (
         r"(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}"
         r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9])"
@@ -45,7 +59,7 @@ TYPES = {
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])",
     "phone": (
         r"(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})[ .-]?[0-9]{2,4}[ .-]?[0-9]{2,4}"
-        r"(?:[ .-]?[0-9]{2,4})?|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}"
+        r"(?:[ .-]?[0-9]{2,4}){0,5}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}"
         r"|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9])"
     ),
     "name": rf"(?:{MALE}|{FEMALE}|{NEUTRAL})\.? {NAME_WORD}(?: {NAME_WORD}){{0,2}}",
@@ -253,14 +267,22 @@ def _distinct_draws(values: DataFrame, key: str) -> DataFrame:
 
 
 def _stream(key: str, attempt: int, *parts: Column) -> Column:
-    """256 hex digits from a keyed hash."""
+    """Blocks of 64 hex digits from a keyed hash, a byte at least for each character of the
+    last part. The blocks of a long value come from its hash, so the time stays linear."""
+    size = F.length(parts[-1])
     seed = F.concat_ws("|", F.lit(key), F.lit(str(attempt)), *parts)
-    return F.concat(*[F.sha2(F.concat(seed, F.lit(f"|{k}")), 256) for k in range(4)])
+    seed = F.when(size > 128, F.sha2(seed, 256)).otherwise(seed)
+    blocks = F.sequence(F.lit(0), F.greatest(F.lit(3), F.floor(size / 32).cast("int")))
+    return _let(
+        seed,
+        lambda s: F.transform(blocks, lambda k: F.sha2(F.concat_ws("|", s, k.cast("string")), 256)),
+    )
 
 
 def _number(stream: Column, i: Column) -> Column:
     """The i-th byte of a stream."""
-    return F.conv(F.substring(stream, (i % 128) * 2 + F.lit(1), F.lit(2)), 16, 10).cast("int")
+    block = F.get(stream, F.floor(i / 32).cast("int"))
+    return F.conv(F.substring(block, (i % 32) * 2 + F.lit(1), F.lit(2)), 16, 10).cast("int")
 
 
 def _pick(letters: str, n: Column) -> Column:
@@ -270,17 +292,19 @@ def _pick(letters: str, n: Column) -> Column:
 def _alike(value: Column, stream: Column) -> Column:
     """Each character by one of its kind: digit, hexadecimal digit of a hexadecimal value,
     lower or upper letter; others stay."""
-    hexadecimal = value.rlike("^(?=.*[a-f])[0-9a-f]{8,}$")
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    drawn = F.transform(
-        F.filter(F.split(value, ""), lambda c: c != ""),
-        lambda c, i: F.when(hexadecimal, _pick("0123456789abcdef", _number(stream, i)))
-        .when(c.rlike("[0-9]"), _pick("0123456789", _number(stream, i)))
-        .when(c.rlike("[a-z]"), _pick(upper.lower(), _number(stream, i)))
-        .when(c.rlike("[A-Z]"), _pick(upper, _number(stream, i)))
-        .otherwise(c),
-    )
-    return F.concat_ws("", drawn)
+
+    def drawn(hexadecimal: Column) -> Column:
+        return F.transform(
+            F.filter(F.split(value, ""), lambda c: c != ""),
+            lambda c, i: F.when(hexadecimal, _pick("0123456789abcdef", _number(stream, i)))
+            .when(c.rlike("[0-9]"), _pick("0123456789", _number(stream, i)))
+            .when(c.rlike("[a-z]"), _pick(upper.lower(), _number(stream, i)))
+            .when(c.rlike("[A-Z]"), _pick(upper, _number(stream, i)))
+            .otherwise(c),
+        )
+
+    return F.concat_ws("", _let(value.rlike("^(?=.*[a-f])[0-9a-f]{8,}$"), drawn))
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:

@@ -78,6 +78,35 @@ def test_long_words_take_no_quadratic_time(docs):
     assert rows[0].n == 1 and out[:600_002] == text[:600_002]
 
 
+def test_long_mentions_are_replaced_to_their_end(docs):
+    """Every run of 12 characters differs, so one that stays behind is seen."""
+    body = "".join(f"{k:04x}Zq" for k in range(60_000))
+    long = [
+        f'token="{body[:300]}"', f"password={body[:2_000]}", f"secret: {body}",
+        "sk-proj-" + body[:70] + "_" + body[70:150], "ghp_" + body[:80],
+        body[:200] + "@" + ".".join(body[60 * k : 60 * k + 60] for k in range(12)) + ".org",
+        "Mr. Z" + "".join(chr(97 + ord(c) % 26) for c in body[:80]), "+33 1 23 45 67 89",
+    ]
+    out, rows = redacted(docs, [f"a {t} z" for t in long])
+    for old, new in zip(long, out):
+        new = new[2:-2]
+        seen = {new[k : k + 12] for k in range(len(new))}
+        head = re.match(r"token=|password=|secret: |sk-proj-|\+33|", old)[0]
+        assert not any(old[k : k + 12] in seen for k in range(len(head), len(old) - 11))
+        assert old.startswith("Mr. ") or len(new) == len(old)
+    assert [r.n for r in rows] == [1] * len(long)
+    # no period in what is drawn
+    assert len({out[2][k : k + 12] for k in range(11, 10_000)}) > 9_900
+
+
+@pytest.mark.parametrize("text", ["NO93 8601 1117 947", "NO9386011117947"])
+def test_short_iban(docs, text):
+    (out,), rows = redacted(docs, [f"to {text}."])
+    assert rows[0].n == 1 and text[4:] not in out and len(out) == len(text) + 4
+    plain = out[3:-1].replace(" ", "")
+    assert int("".join(str(int(ch, 36)) for ch in plain[4:] + plain[:4])) % 97 == 1
+
+
 def test_repeated_and_hot_mentions(docs):
     out, rows = redacted(docs, ["mail me@x.org now"] * 300 + ["me@x.org me@x.org"])
     assert len({re.search(r"\S+@\S+", t)[0] for t in out}) == 1 and rows[-1].n in (1, 2)
