@@ -238,7 +238,7 @@ def _distinct_draws(values: DataFrame, key: str) -> DataFrame:
     """(kind, value, drawn): drawn values are distinct within a kind and none is a real value.
     Each round keeps the drawn values that are free, for the first value that drew them; the
     others draw again. What still meets others after DRAWS rounds (a kind with more values
-    than forms) gets a form of its own with its whole hash."""
+    than forms, which names never are) gets a form of its own with its whole hash."""
     spark = values.sparkSession
     values = saved(values, "op5-values")
     open_, done = values, None
@@ -314,11 +314,11 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def _draw(kind: Column, value: Column, key: str, attempt: int) -> Column:
     return _let(
-        _stream(key, attempt, kind, value), lambda stream: _drawn(kind, value, stream, key)
+        _stream(key, attempt, kind, value), lambda stream: _drawn(kind, value, stream, key, attempt)
     )
 
 
-def _drawn(kind: Column, value: Column, stream: Column, key: str) -> Column:
+def _drawn(kind: Column, value: Column, stream: Column, key: str, attempt: int) -> Column:
     alike = _alike(value, stream)
     at = F.instr(value, "@")
     domain = F.substring(value, at + F.lit(1), F.length(value))
@@ -350,7 +350,7 @@ def _drawn(kind: Column, value: Column, stream: Column, key: str) -> Column:
         .when(kind == "iban", F.concat(country, _mod97(country, account), account))
         .when(kind == "phone", phone)
         .when(kind == "key", akia)
-        .when(kind.isin("surname", "given_m", "given_f", "given_n"), _name(kind, value, stream))
+        .when(kind.isin("surname", "given_m", "given_f", "given_n"), _name(kind, value, stream, attempt))
         .otherwise(alike)
     )
 
@@ -383,9 +383,11 @@ def _mod97(country: Column, account: Column) -> Column:
     return F.lpad((98 - left).cast("string"), 2, "0")
 
 
-def _name(kind: Column, value: Column, stream: Column) -> Column:
-    """Syllables of the script of the name, with an ending for the gender of given names."""
+def _name(kind: Column, value: Column, stream: Column, attempt: int) -> Column:
+    """Syllables of the script of the name, with an ending for the gender of given names. Later
+    attempts get more syllables, so names never run out of forms."""
     count = F.greatest(F.lit(2), F.least(F.lit(5), F.floor(F.length(value) / 2).cast("int")))
+    count = count + attempt // 2
     gender = F.when(kind == "given_f", "f").when(kind == "given_m", "m").otherwise("n")
 
     def spoken(script: str) -> Column:
