@@ -2,7 +2,8 @@
 
 One expression finds mentions. Distinct mentions are reduced to canonical parts (digits of a
 number, lower-case address, words of a name), so that every mention of a thing gets the same
-surrogate in the whole corpus. A surrogate is drawn from a keyed hash and keeps the type,
+surrogate in the whole corpus. A name is found by the form of address before it; its words then
+count wherever they stand in the same text, capitalised and as whole words. A surrogate is drawn from a keyed hash and keeps the type,
 length, letter case, script, gender and check digits of what it replaces. Draws that meet
 another surrogate or a real value are drawn again, so different things stay different.
 Texts without mentions are passed through as they are.
@@ -29,7 +30,9 @@ LABEL = (
 MALE = r"(?:Mr|Herr|Monsieur|Señor|Sr|Signor|г-н|господин|κύριος)"
 FEMALE = r"(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Signora|г-жа|госпожа|κυρία)"
 NEUTRAL = r"(?:Dr|Prof)"
-NAME_WORD = r"\p{Lu}[\p{L}'-]++"
+# a hyphen or an apostrophe inside a word, but not the 's of a genitive
+NAME_WORD = r"\p{Lu}(?:\p{L}|['-](?=\p{L})(?!s(?!\p{L})))++"
+WORD = r"(?<![\p{L}\p{N}_])" + NAME_WORD + r"(?![\p{L}\p{N}_])"
 TYPES = {
     "secret": LABEL + r"[^\s\"']{6,}+",
     # a run of these characters is tried as a whole at its start, elsewhere to a bound; the last
@@ -82,6 +85,46 @@ def mentions(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(MENTION), F.lit(0))
 
 
+def _named_again(text: Column, found: Column) -> Column:
+    """Whether a word of a name among the mentions stands in the rest of the text as well."""
+    named = F.filter(found, lambda m: m.rlike(f"^(?:{TYPES['name']})$"))
+    words = F.flatten(F.transform(named, lambda m: _words(_after_title(m), NAME_WORD)))
+    rest = F.flatten(F.transform(F.split(text, MENTION, -1), lambda p: _words(p, WORD)))
+    return F.when(F.size(words) > 0, F.arrays_overlap(words, rest)).otherwise(F.lit(False))
+
+
+def _words(text: Column, shape: str) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(shape), F.lit(0)), F.lower)
+
+
+def _pieces(text: Column, again: Column) -> Column:
+    """What stands between tokens: the mentions, and if `again` also the other words that may
+    be part of a name."""
+    return F.flatten(
+        F.transform(
+            F.split(text, MENTION, -1),
+            lambda p: F.when(again, F.split(p, WORD, -1)).otherwise(F.array(p)),
+        )
+    )
+
+
+def _tokens(text: Column, found: Column, again: Column) -> Column:
+    """The token behind each of `_pieces`, null behind the last: structs (token, is_mention)."""
+
+    def of(piece: Column, i: Column) -> Column:
+        words = F.when(again, F.regexp_extract_all(piece, F.lit(WORD), F.lit(0))).otherwise(
+            F.array().cast("array<string>")
+        )
+        return F.concat(
+            F.transform(
+                words, lambda w: F.struct(w.alias("token"), F.lit(False).alias("is_mention"))
+            ),
+            F.array(F.struct(F.get(found, i).alias("token"), F.lit(True).alias("is_mention"))),
+        )
+
+    return F.flatten(F.transform(F.split(text, MENTION, -1), of))
+
+
 def redact(
     docs: DataFrame, key: str = KEY, text_col: str = "text", count_col: str | None = None
 ) -> DataFrame:
@@ -93,24 +136,55 @@ def redact(
     can be split. An empty table gives an empty table.
     """
     columns = docs.columns
+    text = F.col(f"row.{text_col}")
     found = saved(
         docs.select(
             F.monotonically_increasing_id().alias("row_id"),
             F.struct(*[docs[c] for c in columns]).alias("row"),
             mentions(docs[text_col]).alias("mentions"),
-        ),
+        ).withColumn("again", _named_again(text, F.col("mentions"))),
         "op5-found",
     )
     some = F.coalesce(F.size("mentions"), F.lit(0)) > 0
-    at = found.where(some).select("row_id", F.posexplode("mentions").alias("pos", "mention"))
-    table = _surrogates(at.select("mention").distinct(), key)
+    tokens = _tokens(text, F.col("mentions"), F.col("again"))
+    at = (
+        found.where(some)
+        .select("row_id", "again", F.posexplode(tokens).alias("pos", "t"))
+        .select("row_id", "again", "pos", "t.token", "t.is_mention")
+        .where("token IS NOT NULL")
+    )
+    mentioned = at.where("is_mention").withColumnRenamed("token", "mention")
+    table, drawn = _surrogates(mentioned.select("mention").distinct(), key)
+    # in a text a word has one kind: a given name if it is one anywhere
+    named = (
+        mentioned.where(F.col("again") & F.col("mention").rlike(f"^(?:{TYPES['name']})$"))
+        .select("row_id", F.explode(_parts(F.lit("name"), F.col("mention"))).alias("p"))
+        .groupBy("row_id", F.col("p.value").alias("value"))
+        .agg(F.min("p.kind").alias("kind"))
+        .join(drawn, ["kind", "value"])
+        .select("row_id", "value", "drawn")
+    )
+    words = (
+        at.where("NOT is_mention")
+        .withColumn("value", F.lower("token"))
+        .join(named, ["row_id", "value"], "left")
+        .select(
+            "row_id", "pos",
+            F.coalesce(_cased(F.col("drawn"), F.col("token")), "token").alias("surrogate"),
+            F.col("drawn").isNotNull().cast("int").alias("replaced"),
+        )
+    )
     new = (
-        at.join(table, "mention")
+        mentioned.join(table, "mention")
+        .select("row_id", "pos", "surrogate", F.lit(1).alias("replaced"))
+        .union(words)
         .groupBy("row_id")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "surrogate"))).alias("new"))
+        .agg(
+            F.sort_array(F.collect_list(F.struct("pos", "surrogate"))).alias("new"),
+            F.sum("replaced").cast("int").alias("replaced"),
+        )
     )
-    text = F.col(f"row.{text_col}")
-    pieces = F.split(text, MENTION, -1)
+    pieces = _pieces(text, F.col("again"))
     woven = F.concat_ws(
         "",
         F.transform(
@@ -120,7 +194,7 @@ def redact(
     changed = found.where(some).join(new, "row_id").withColumn("text_out", woven)
     same = found.where(~some).withColumn("text_out", text)
     out = []
-    for part, n in ((same, F.lit(0)), (changed, F.size("mentions"))):
+    for part, n in ((same, F.lit(0)), (changed, F.col("replaced"))):
         kept = [
             F.col("text_out").alias(c) if c == text_col else F.col("row").getField(c).alias(c)
             for c in columns
@@ -170,8 +244,8 @@ def _after_title(mention: Column) -> Column:
     return F.regexp_replace(mention, rf"^(?:{MALE}|{FEMALE}|{NEUTRAL})\.? ", "")
 
 
-def _surrogates(distinct_mentions: DataFrame, key: str) -> DataFrame:
-    """(mention, surrogate) of every distinct mention."""
+def _surrogates(distinct_mentions: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(mention, surrogate) of every distinct mention; (kind, value, drawn) of their parts."""
     kinds = distinct_mentions.withColumn("type", _type(F.col("mention"))).withColumn(
         "type", F.coalesce("type", F.lit("key"))
     )
@@ -188,10 +262,17 @@ def _surrogates(distinct_mentions: DataFrame, key: str) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("at", "drawn"))).alias("d"))
         .withColumn("d", F.col("d.drawn"))
     )
-    return saved(
+    table = saved(
         gathered.select("mention", _render(F.col("type"), F.col("mention")).alias("surrogate")),
         "op5-table",
     )
+    return table, drawn
+
+
+def _cased(drawn: Column, original: Column) -> Column:
+    """A drawn name in upper case if the original is."""
+    upper = (original == F.upper(original)) & (F.length(original) > 1)
+    return F.when(upper, F.upper(drawn)).otherwise(F.initcap(drawn))
 
 
 def _render(kind: Column, mention: Column) -> Column:
@@ -216,14 +297,7 @@ def _render(kind: Column, mention: Column) -> Column:
 
     title = F.regexp_extract(mention, rf"^((?:{MALE}|{FEMALE}|{NEUTRAL})\.? )", 1)
     originals = F.regexp_extract_all(_after_title(mention), F.lit(NAME_WORD), F.lit(0))
-    cased = F.transform(
-        F.col("d"),
-        lambda w, i: F.when(
-            (F.get(originals, i) == F.upper(F.get(originals, i)))
-            & (F.length(F.get(originals, i)) > 1),
-            F.upper(w),
-        ).otherwise(F.initcap(w)),
-    )
+    cased = F.transform(F.col("d"), lambda w, i: _cased(w, F.get(originals, i)))
     return (
         F.when(kind.isin("card", "ssn", "phone"), put("[0-9]"))
         .when(kind == "iban", put("[A-Z0-9]"))

@@ -127,6 +127,29 @@ def test_short_iban(docs, text):
     assert int("".join(str(int(ch, 36)) for ch in plain[4:] + plain[:4])) % 97 == 1
 
 
+def test_names_without_a_title_follow_the_titled_ones(docs):
+    texts = [
+        "Smith saw Mr. John Smith; (John Smith), SMITH's and Smith's x@y.org Smithson, smith",
+        "John Smith is named here without a title",
+        "г-н Иванов пришёл. Иванов, Ивановский",
+        "Dr. O'Brien-Li: O'Brien-Li, Dr. James, Mr. James Li, James",
+        "Mr. Smith. A Person",
+    ]
+    (first, plain, russian, others, last), rows = redacted(docs, texts)
+    assert [r.n for r in sorted(rows, key=lambda r: r.doc_id)] == [7, 0, 2, 5, 1]
+    given, surname = re.search(r"Mr\. (\w+) (\w+);", first).groups()
+    mail = re.search(r"\S+@\S+", first)[0]
+    assert first == (
+        f"{surname} saw Mr. {given} {surname}; ({given} {surname}), {surname.upper()}'s and "
+        f"{surname}'s {mail} Smithson, smith"
+    )
+    assert plain == texts[1] and last == f"Mr. {surname}. A Person"
+    ivanov = re.match(r"г-н (\w+)", russian)[1]
+    assert russian == f"г-н {ivanov} пришёл. {ivanov}, Ивановский" and ivanov != "Иванов"
+    a, b, c, d, e, f = re.fullmatch(r"Dr\. (\w+): (\w+), Dr\. (\w+), Mr\. (\w+) (\w+), (\w+)", others).groups()
+    assert a == b and d == f and "James" not in others and len({a, c, d, e}) == 4
+
+
 def test_repeated_and_hot_mentions(docs):
     out, rows = redacted(docs, ["mail me@x.org now"] * 300 + ["me@x.org me@x.org"])
     assert len({re.search(r"\S+@\S+", t)[0] for t in out}) == 1 and rows[-1].n in (1, 2)
