@@ -1,16 +1,20 @@
 """Document fingerprints by consistent weighted sampling.
 
-A text is a weighted set of hashed words (weight: how often it occurs). For each of SAMPLES
-independent draws every term has gamma variables of its own (Ioffe 2010); the term with the
-smallest value, and the step of its weight, make the sample. Two texts agree in a sample with
-the probability of their generalised Jaccard similarity, so the share of equal samples
-estimates it.
+A text is a weighted set of words (weight: how often it occurs); runs without spaces count by
+their character n-grams. For each of SAMPLES independent draws every term has gamma variables
+of its own (Ioffe 2010), computed from its 64-bit hash and the number of the draw; the term
+with the smallest value, and the step of its weight, make the sample. Two texts agree in a
+sample with the probability of their generalised Jaccard similarity, so the share of equal
+samples estimates it, whatever their length.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,52 +26,101 @@ from pyspark.sql import types as T
 from cityflow.llm.common import mix, small_batches
 
 SAMPLES = 64
-SLOTS = 1 << 14
-WORDS_KEPT = 500_000
+# Terms whose variables are kept, terms handled at a time, and terms drawn at a time.
+CACHED, BLOCK, DRAWN = 1 << 16, 1 << 12, 1 << 8
 BUCKETS_MOST = 4_000
 SEED = 5
+# A run of more than RUN characters, or one in a script without spaces (Thai, Lao, Burmese,
+# Khmer, kana, Han), is not a word but its GRAM-character n-grams.
+RUN, GRAM = 64, 3
+UNSPACED = re.compile(
+    "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\uf900-\ufaff\U00020000-\U0003ffff]"
+)
+
+
+def terms(text: str) -> Counter[str]:
+    """The terms of a text and how often each occurs."""
+    words = Counter(text.split())
+    unspaced = not text.isascii() and UNSPACED.search(text) is not None
+    if words and (unspaced or max(map(len, words)) > RUN):
+        runs = [w for w in words if len(w) > RUN or unspaced and UNSPACED.search(w)]
+        for run in runs:
+            times = words.pop(run)
+            for k in range(max(1, len(run) - GRAM + 1)):
+                words[run[k : k + GRAM]] += times
+    return words
 
 
 class Sampler:
-    """Gamma variables of SLOTS hashed terms; the same in every process."""
+    """Gamma variables of terms; the same in every process. Those of CACHED terms are kept,
+    the rows behind them are for the terms of one block that are not."""
 
     def __init__(self) -> None:
-        rng = np.random.Generator(np.random.Philox(SEED))
-        shape = (SLOTS, SAMPLES)
-        self.r = rng.gamma(2.0, 1.0, shape).astype(np.float32)
-        self.log_c = np.log(rng.gamma(2.0, 1.0, shape)).astype(np.float32)
-        self.beta = rng.random(shape, np.float32)
-        # at weight 1 the step is 0
-        self.once = self.log_c + self.r * self.beta - self.r
-        self.seen: dict[str, int] = {}
-
-    def slots(self, text: str) -> np.ndarray:
-        words = text.split()
-        seen = self.seen
-        if len(seen) > WORDS_KEPT:
-            seen.clear()
-        for w in set(words):
-            if w not in seen:
-                seen[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "replace")) % SLOTS
-        return np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
+        shape = (CACHED + BLOCK, SAMPLES)
+        self.r, self.log_c, self.beta, self.once = (np.zeros(shape, np.float32) for _ in range(4))
+        self.hashes = np.zeros(len(self.r), np.uint64)
+        self.rows: dict[str, int] = {}
+        self.missed = 0
+        # three numbers of 64 bits for each draw
+        self.counters = mix(np.arange(1, 3 * SAMPLES + 1, dtype=np.uint64) + np.uint64(SEED << 32))
+
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """The rows of at most BLOCK words. Once more words than eight times the cache were not
+        found in it, it starts anew with the words of the following texts."""
+        if self.missed > 8 * CACHED:
+            self.rows.clear()
+            self.missed = 0
+        rows = np.fromiter(map(self.rows.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            kept = min(len(new), CACHED - len(self.rows))
+            rows[new[:kept]] = np.arange(len(self.rows), len(self.rows) + kept)
+            rows[new[kept:]] = np.arange(CACHED, CACHED + len(new) - kept)
+            self.missed += len(new) - kept
+            for k in new[:kept].tolist():
+                self.rows[words[k]] = int(rows[k])
+            self._draw([words[k] for k in new.tolist()], rows[new])
+        return rows
+
+    def _draw(self, words: list[str], rows: np.ndarray) -> None:
+        hashes = np.array(
+            [xxhash.xxh3_64_intdigest(w.encode("utf-8", "replace")) for w in words], np.uint64
+        )
+        self.hashes[rows] = hashes
+        for low in range(0, len(words), DRAWN):
+            at = rows[low : low + DRAWN]
+            x = mix(hashes[low : low + DRAWN, None] + self.counters)
+            high = ((x >> np.uint64(32)).astype(np.float64) + 0.5) * 2.0**-32
+            lower = ((x & np.uint64(0xFFFFFFFF)).astype(np.float64) + 0.5) * 2.0**-32
+            gamma = -np.log(high[:, : 2 * SAMPLES] * lower[:, : 2 * SAMPLES])
+            r, log_c, beta = gamma[:, :SAMPLES], np.log(gamma[:, SAMPLES:]), high[:, 2 * SAMPLES :]
+            self.r[at], self.log_c[at], self.beta[at] = r, log_c, beta
+            # at weight 1 the step is 0
+            self.once[at] = log_c + r * beta - r
 
     def signature(self, text: str) -> np.ndarray:
         """SAMPLES hashes of 16 bits (term and step); the same value for all empty texts."""
-        terms, weights = np.unique(self.slots(text), return_counts=True)
-        if not len(terms):
-            return np.zeros(SAMPLES, np.uint16)
-        value = self.once[terms]
-        step = np.zeros(value.shape, np.int64)
-        more = np.flatnonzero(weights > 1)
-        if len(more):
-            own, log_w = terms[more], np.log(weights[more])[:, None]
-            t = np.floor(log_w / self.r[own] + self.beta[own])
-            step[more] = t
-            value[more] = self.log_c[own] - self.r[own] * (t - self.beta[own]) - self.r[own]
-        best = value.argmin(0)
-        chosen = terms[best].astype(np.uint64) << np.uint64(32)
-        chosen += step[best, np.arange(SAMPLES)].astype(np.int64).view(np.uint64)
-        return (mix(chosen + np.uint64(1)) >> np.uint64(48)).astype(np.uint16)
+        counts = terms(text)
+        words, weights = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+        least = np.full(SAMPLES, np.inf, np.float32)
+        chosen, draws = np.zeros(SAMPLES, np.uint64), np.arange(SAMPLES)
+        for low in range(0, len(words), BLOCK):
+            rows = self._rows(words[low : low + BLOCK])
+            value = self.once[rows]
+            step = np.zeros(value.shape, np.int64)
+            more = np.flatnonzero(weights[low : low + BLOCK] > 1)
+            if len(more):
+                own, log_w = rows[more], np.log(weights[low + more])[:, None]
+                t = np.floor(log_w / self.r[own] + self.beta[own])
+                step[more] = t
+                value[more] = self.log_c[own] - self.r[own] * (t - self.beta[own]) - self.r[own]
+            best = value.argmin(0)
+            less = value[best, draws] < least
+            least[less] = value[best, draws][less]
+            steps = mix(step[best, draws].view(np.uint64) + np.uint64(1))
+            chosen[less] = mix(self.hashes[rows[best]] ^ steps)[less]
+        return (chosen >> np.uint64(48)).astype(np.uint16)
 
 
 _samplers: list[Sampler] = []

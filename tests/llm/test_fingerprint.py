@@ -58,3 +58,31 @@ def test_likeness_estimates_generalised_jaccard():
             fingerprint.likeness(sample.signature(" ".join(a)), sample.signature(" ".join(b))) - true
         )
     assert abs(np.mean(off)) < 0.03 and np.std(off) < 0.09
+
+
+def exact(a, b):
+    x, y = Counter(a), Counter(b)
+    return sum((x & y).values()) / sum((x | y).values())
+
+
+def test_long_texts_are_as_alike_as_their_words():
+    """Also with more different words than are cached."""
+    sample = fingerprint.sampler()
+    a = [f"a{k}" for k in range(50_000)]
+    for b in ([f"b{k}" for k in range(50_000)], a[:25_000] + [f"c{k}" for k in range(25_000)]):
+        near = fingerprint.likeness(sample.signature(" ".join(a)), sample.signature(" ".join(b)))
+        true = exact(a, b)
+        assert near == 0 if true == 0 else abs(near - true) < 0.2
+    first = sample.signature(" ".join(a))
+    assert (fingerprint.Sampler().signature(" ".join(reversed(a))) == first).all()
+
+
+def test_runs_without_spaces_count_by_their_parts():
+    sample = fingerprint.sampler()
+    rng = np.random.default_rng(3)
+    for low, size in ((0x4E00, 3000), (0x61, 26)):
+        run = "".join(chr(low + k) for k in rng.integers(0, size, 400))
+        other = "".join(chr(low + k) for k in rng.integers(0, size, 400))
+        changed = run[:380] + other[:20]
+        assert fingerprint.likeness(sample.signature(run), sample.signature(changed)) > 0.7
+        assert fingerprint.likeness(sample.signature(run), sample.signature(other)) < 0.2
