@@ -89,7 +89,11 @@ def keep_latest(
         spark.catalog.refreshTable(target)
         stored = tables.scan(spark, target)
         days = batch.select("day").distinct()
-        both = batch.select(*stored.columns).unionByName(stored.join(days, "day", "left_semi"))
+        own = stored.join(days, "day", "left_semi")
+        # null matches no day; a null-safe join would read the partitions of all days
+        if not batch.where("day IS NULL").isEmpty():
+            own = own.unionByName(stored.where("day IS NULL"))
+        both = batch.select(*stored.columns).unionByName(own)
         path = f"{stage}/{batch_id}"
         latest_per_key(both, keys, "datetime_utc", tie).write.mode("overwrite").parquet(path)
         staged = spark.read.schema(stored.schema).parquet(path)

@@ -153,3 +153,20 @@ def test_late_rows_are_appended_whatever_the_batches(spark, database, tmp_path):
         )
     # which of the two values of one key comes first depends on the order of the files
     assert tuples(spark.table("kept"), "value") in ([(1.0,), (2.0,)], [(2.0,), (3.0,)])
+
+
+def test_latest_rows_without_a_time_stay(spark, database, tmp_path):
+    source = tmp_path / "in"
+    columns = {"sensor_id": "int", "datetime_utc": "timestamp", "value": "double", "day": "date"}
+    tables.create_if_missing(spark, "latest", columns, ["day"])
+    land(source, "a.json", [(1, None, 1.0), (2, "2024-07-02T10:00:00Z", 2.0)])
+    land(source, "b.json", [(3, None, 3.0)])
+    land(source, "c.json", [(4, "2024-07-02T11:00:00Z", 4.0)])
+    placed = readings(spark, source).drop("datetime_local").withColumn("day", F.to_date("datetime_utc"))
+    feed.run_available(
+        feed.keep_latest(
+            placed, "latest", ["sensor_id"], str(tmp_path / "checkpoint"), str(tmp_path / "stage")
+        )
+    )
+    spark.catalog.refreshTable("latest")
+    assert tuples(spark.table("latest"), "value") == [(1.0,), (2.0,), (3.0,), (4.0,)]
