@@ -13,6 +13,7 @@ from cityflow.llm import (
     packing,
     pii,
     quality,
+    token_counts,
     token_files,
     url_rules,
     warc,
@@ -102,6 +103,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
 
 _FITS = " OR ".join(
