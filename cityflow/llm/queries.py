@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cityflow.llm import (
+    alignment,
     decontaminate,
     fingerprint,
     langid,
@@ -108,6 +109,15 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return alignment.align(docs).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+        digest.alias("groups_sha256"),
+    )
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
 
 _FITS = " OR ".join(

@@ -1,0 +1,131 @@
+from collections import Counter, defaultdict
+from hashlib import sha256
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from cityflow.llm import alignment, perfect_hash
+from tests.llm.conftest import LONG, ODD
+from tests.llm.test_token_counts import TEXTS
+
+import public_tokenizers
+
+
+def brute(rows):
+    """Whole texts by the libraries, byte by byte: results by row number."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    alphabet = {}
+    extra = 0
+    for byte in range(256):
+        if 33 <= byte <= 126 or 161 <= byte <= 172 or 174 <= byte:
+            alphabet[chr(byte)] = byte
+        else:
+            alphabet[chr(256 + extra)] = byte
+            extra += 1
+
+    def bytes_of(piece):
+        if len(piece) == 6 and piece[:3] == "<0x" and piece[-1] == ">":
+            return bytes([int(piece[3:5], 16)])
+        return piece.replace("▁", " ").encode()
+
+    links, shapes, holds = [], [], Counter()
+    for _, text in rows:
+        own, shape = [], (0, 0, 0, "")
+        if text:
+            x = a.encode(" " + text, add_special_tokens=False).ids
+            y = b.encode(text)
+            xb = [bytes(alphabet[c] for c in a.id_to_token(i)) for i in x]
+            yb = [bytes_of(b.id_to_piece(i)) for i in y]
+            whole = (" " + text).encode()
+            if b"".join(xb) == whole == b"".join(yb):
+                of_x = [k for k, t in enumerate(xb) for _ in t]
+                of_y = [k for k, t in enumerate(yb) for _ in t]
+                own = [(x[i], y[j]) for i, j in sorted(set(zip(of_x, of_y)))]
+                ends = sorted(set(np.cumsum([len(t) for t in xb])) & set(np.cumsum([len(t) for t in yb])))
+                groups, start = [], 0
+                for end in ends:
+                    left, right = (sorted({o[p] for p in range(start, end)}) for o in (of_x, of_y))
+                    groups.append(",".join(str(x[i]) for i in left) + "|" + ",".join(str(y[j]) for j in right))
+                    start = end
+                shape = (len(x), len(y), len(groups), ";".join(groups))
+        links.append(own)
+        shapes.append(shape)
+        holds.update(set(own))
+    best = defaultdict(int)
+    for (i, _), n in holds.items():
+        best[i] = max(best[i], n)
+    out = []
+    for (doc_id, _), own, (n_a, n_b, n_groups, groups) in zip(rows, links, shapes):
+        n_best = sum(holds[p] == best[p[0]] for p in own)
+        digest = sha256(groups.encode()).hexdigest() if groups else ""
+        out.append((doc_id, n_a, n_b, n_groups, len(own), n_best, sum(holds[p] for p in own), digest))
+    return out, holds
+
+
+def rows_of(frame):
+    out = frame.withColumn("d", F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)))
+    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "d"]
+    return sorted(map(tuple, out.select(*names).collect()), key=repr)
+
+
+SMALL = [(k, t) for k, t in enumerate(TEXTS)] + ODD[:4] + [(99, "the cat  sat"), (99, "the cat  sat")]
+
+
+@pytest.mark.parametrize("slice_pairs", [alignment.SLICE_PAIRS, 60])
+def test_equals_brute_force(spark, docs, monkeypatch, slice_pairs):
+    """Odd white space, special strings, marks of the model, repeated rows; one and several slices."""
+    monkeypatch.setattr(alignment, "SLICE_PAIRS", slice_pairs)
+    monkeypatch.setattr(alignment, "FAN_IN", 2)
+    want, holds = brute(SMALL)
+    frame = docs(SMALL).repartition(5)
+    assert rows_of(alignment.align(frame)) == sorted(want, key=repr)
+    found = {(r.a_id, r.b_id): r.documents for r in alignment.pair_counts(frame).collect()}
+    assert found == dict(holds)
+
+
+def test_odd_rows(spark, docs):
+    rows = [*ODD, (12, "▁ is lost"), (13, "LONG\n" * 3)]
+    got = alignment.align(docs(rows))
+    assert "row" in got.columns and "text" not in got.columns
+    assert rows_of(got) == sorted(brute(rows)[0], key=repr)
+    assert max(r.n_a for r in got.collect()) > 100_000 and len(LONG) > 500_000
+    assert alignment.align(docs([])).collect() == []
+    assert alignment.align(docs([(1, None)])).select("n_a", "groups", "count_sum").first() == (0, "", 0)
+
+
+def test_whole_table(spark, documents):
+    from cityflow.llm.queries import QUERIES
+    from tests.llm.conftest import SF
+
+    want, _ = brute([(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()])
+    got = QUERIES["op13_cross_tokenizer_alignment"](spark, SF)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_forgetful_worker(monkeypatch, documents):
+    monkeypatch.setattr(alignment, "KEPT_CHARS", 300)
+    own = alignment.Aligner(*alignment.default_tokenizers())
+    texts = [r.text or "" for r in documents.limit(20).collect()]
+    groups = [g for t in texts for x in own.batches(pa.array([t])) for g in x.groups()]
+    want, _ = brute(list(enumerate(texts)))
+    assert [sha256(g.encode()).hexdigest() if g else "" for g in groups] == [w[7] for w in want]
+
+
+def test_perfect_hash(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 1000, 20_000):
+        monkeypatch.setattr(perfect_hash, "BUCKET_KEYS", 700)
+        keys = np.unique(rng.integers(0, 2**62, n))
+        frame = spark.createDataFrame(pa.table({"k": pa.array(keys)}), "k long")
+        table = perfect_hash.build(frame, len(keys))
+        assert sorted(table.index(keys).tolist()) == list(range(len(keys)))
+        assert (table.keys[table.index(keys)] == keys).all()
+        foreign = rng.integers(0, 2**62, 500)
+        assert (table.index(foreign[~np.isin(foreign, keys)]) == -1).all()
