@@ -1,8 +1,9 @@
 """Tokens of two tokenizers over the same bytes, and how often their ids meet.
 
-A text is cut at boundaries that no token of either tokenizer crosses (`pieces`); the tokens
-of a piece, their byte ranges, the groups between common ends and the links of overlapping
-tokens are worked out once for each piece a worker meets. An id pair is a 64-bit key.
+A text is cut at boundaries that no token of either tokenizer crosses (`pieces`). A worker
+remembers the tokens of the pieces it has met; byte ranges, groups between common ends and
+links of overlapping tokens are worked out by numpy for all distinct pieces of a batch at
+once. An id pair is a 64-bit key.
 
 Three passes over the documents: the distinct pairs, hashed minimally and perfectly
 (`perfect_hash`); a dense vector of counts for each task, indexed by that hash and summed
@@ -16,6 +17,7 @@ with more than one slice the last two passes are run once for each.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -36,12 +38,13 @@ BLOCK = 8_192
 BATCH_BYTES = 4_000_000
 RUN_CHARS = 500_000
 # A worker remembers the alignments of so many characters of pieces, and forgets all when full.
-KEPT_CHARS = 8_000_000
+KEPT_CHARS = 6_000_000
 # Distinct pairs that a task of the first pass holds back before it may send one again.
 HELD_PAIRS = 2_000_000
 
 _COUNTED = "n_a long, n_b long, n_groups long, n_links long, groups string"
 _ID_BITS = np.int64(32)
+_NOTHING = pa.scalar("", pa.large_string())
 
 _aligners: dict[tuple[str, str], Aligner] = {}
 
@@ -56,50 +59,72 @@ def default_tokenizers() -> tuple[str, str]:
     )
 
 
-def align_ids(
-    a_ids: list[int], b_ids: list[int], a_bytes: list[bytes], b_bytes: list[bytes]
-) -> tuple[list[str], list[int]]:
-    """Groups as text and linked pairs as keys, of two token lists over the same bytes."""
-    groups, links = [], []
-    i = j = a_from = b_from = 0
-    a_end, b_end = (len(a_bytes[a_ids[0]]), len(b_bytes[b_ids[0]])) if a_ids else (0, 0)
-    while i < len(a_ids) and j < len(b_ids):
-        links.append(a_ids[i] << 32 | b_ids[j])
-        a_done, b_done = a_end <= b_end, b_end <= a_end
-        if a_done and b_done:
-            left, right = a_ids[a_from : i + 1], b_ids[b_from : j + 1]
-            groups.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
-            a_from, b_from = i + 1, j + 1
-        if a_done:
-            i += 1
-            a_end += len(a_bytes[a_ids[i]]) if i < len(a_ids) else 0
-        if b_done:
-            j += 1
-            b_end += len(b_bytes[b_ids[j]]) if j < len(b_ids) else 0
-    return groups, links
-
-
-# text of the groups, a, b and group counts, keys of the links; no groups: bytes differ
-Piece = tuple[str | None, int, int, int, tuple[int, ...]]
-_DIFFERS: Piece = (None, 0, 0, 0, ())
+def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size, one run after the other."""
+    at = np.cumsum(sizes) - sizes
+    return np.repeat(starts - at, sizes) + np.arange(int(sizes.sum()))
+
+
+class Tokens:
+    """Ids of some pieces one after the other, and how many each piece has."""
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray):
+        self.ids, self.sizes = ids, sizes
+
+    @classmethod
+    def of(cls, lists: list[list[int]]) -> Tokens:
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        return cls(np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum())), sizes)
+
+    def __add__(self, other: Tokens) -> Tokens:
+        return Tokens(
+            np.concatenate([self.ids, other.ids]), np.concatenate([self.sizes, other.sizes])
+        )
+
+
+class Store:
+    """Tokens of remembered pieces, without an object for each."""
+
+    def __init__(self):
+        self.ids, self.ends = array("i"), array("q", [0])
+
+    def add(self, tokens: Tokens) -> None:
+        ends = self.ends[-1] + np.cumsum(tokens.sizes)
+        self.ids.frombytes(tokens.ids.astype(np.int32).tobytes())
+        self.ends.frombytes(ends.astype(np.int64).tobytes())
+
+    def take(self, slots: np.ndarray) -> Tokens:
+        ends = np.frombuffer(self.ends, np.int64)
+        sizes = ends[slots + 1] - ends[slots]
+        ids = np.frombuffer(self.ids, np.int32) if self.ids else np.zeros(0, np.int32)
+        return Tokens(ids[_ragged(ends[slots], sizes)], sizes)
 
 
 class Batch:
-    """The pieces of some texts: what each occurrence is, and which texts are aligned."""
+    """The distinct pieces of some texts with their tokens aligned, what each occurrence is,
+    and which texts are aligned. All pieces are aligned at once: their bytes stand one after
+    the other, so an offset belongs to one piece."""
 
-    def __init__(self, found: list[Piece], codes: np.ndarray, ends: np.ndarray):
-        self.found, self.ends = found, ends
-        differs = np.fromiter((p[0] is None for p in found), bool, len(found))
-        bad = np.concatenate([[0], np.cumsum(differs[codes])])
-        n_texts = len(ends) - 1
+    def __init__(self, own: Aligner, a: Tokens, b: Tokens, codes: np.ndarray, ends: np.ndarray):
+        self.own, self.a, self.b, self.codes, self.ends = own, a, b, codes, ends
+        bad = np.concatenate([[0], np.cumsum((a.sizes == 0)[codes])])
         self.aligned = (bad[ends[1:]] == bad[ends[:-1]]) & (ends[1:] > ends[:-1])
-        self.text_of = np.repeat(np.arange(n_texts), np.diff(ends))
-        self.codes = codes
-        # keys of all pieces one after the other, those of piece k from first[k] on
-        sizes = np.fromiter((len(p[4]) for p in found), np.int64, len(found))
-        self.first = np.concatenate([[0], np.cumsum(sizes)])
-        keys = chain.from_iterable(p[4] for p in found)
-        self.keys = np.fromiter(keys, np.int64, int(self.first[-1]))
+        self.text_of = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+        a_end, b_end = np.cumsum(own.a_sizes[a.ids]), np.cumsum(own.b_sizes[b.ids])
+        # a token overlaps those of the other side from the first that ends after its begin
+        # to the first that ends at its own end or later
+        low = np.searchsorted(b_end, a_end - own.a_sizes[a.ids], side="right")
+        high = np.searchsorted(b_end, a_end, side="left")
+        n_links = high - low + 1
+        keys = np.repeat(a.ids.astype(np.int64) << _ID_BITS, n_links)
+        self.keys = keys | b.ids[_ragged(low, n_links)]
+        self.a_last = b_end[high] == a_end
+        self.b_last = a_end[np.searchsorted(a_end, b_end, side="left")] == b_end
+        piece_of = np.repeat(np.arange(len(a.sizes)), a.sizes)
+        # links of piece k are those from first[k] on
+        of_piece = np.bincount(piece_of, n_links, len(a.sizes)).astype(np.int64)
+        self.first = np.concatenate([[0], np.cumsum(of_piece)])
+        self.n_groups = np.bincount(piece_of, self.a_last, len(a.sizes)).astype(np.int64)
 
     def per_text(self, values: np.ndarray) -> np.ndarray:
         """Sums over the pieces of each text of a value for each distinct piece."""
@@ -111,67 +136,95 @@ class Batch:
         total = np.concatenate([[0], np.cumsum(values)])
         return total[self.first[1:]] - total[self.first[:-1]]
 
-    def numbers(self, k: int) -> np.ndarray:
-        return np.fromiter((p[k] for p in self.found), np.int64, len(self.found))
-
     def used_pieces(self) -> np.ndarray:
         """Distinct pieces of aligned texts."""
-        used = np.zeros(len(self.found), bool)
+        used = np.zeros(len(self.a.sizes), bool)
         used[self.codes[self.aligned[self.text_of]]] = True
         return np.flatnonzero(used)
 
     def links_of(self, chosen: np.ndarray) -> np.ndarray:
         """Places in `keys` of the links of some pieces, one after the other."""
-        sizes = self.first[chosen + 1] - self.first[chosen]
-        at = np.cumsum(sizes) - sizes
-        return np.repeat(self.first[chosen] - at, sizes) + np.arange(int(sizes.sum()))
+        return _ragged(self.first[chosen], self.first[chosen + 1] - self.first[chosen])
+
+    def groups(self) -> pa.Array:
+        """The groups of each text: ids of a group in order, the first tokenizer's before the
+        second's, each with the mark that stands behind it."""
+        own, n_a, n_b = self.own, len(self.own.a_sizes), len(self.own.b_sizes)
+        entry = np.concatenate(
+            [self.a.ids + n_a * self.a_last, 2 * n_a + self.b.ids + n_b * self.b_last]
+        )
+        a_group = np.cumsum(self.a_last) - self.a_last
+        b_group = np.cumsum(self.b_last) - self.b_last
+        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+        parts = own.marked_ids.take(pa.array(entry[order]))
+        sizes = np.concatenate([[0], np.cumsum(self.a.sizes + self.b.sizes)])
+        of_piece = pc.binary_join(_lists(sizes, parts), _NOTHING)
+        texts = pc.binary_join(_lists(self.ends, of_piece.take(pa.array(self.codes))), _NOTHING)
+        return pc.if_else(pa.array(self.aligned), pc.utf8_rtrim(texts, ";"), _NOTHING)
+
 
-    def groups(self) -> list[str]:
-        texts = [p[0] or "" for p in self.found]
-        codes, ends = self.codes.tolist(), self.ends.tolist()
-        return [
-            ";".join([texts[c] for c in codes[i:j]]) if good else ""
-            for i, j, good in zip(ends, ends[1:], self.aligned.tolist())
-        ]
+def _lists(ends: np.ndarray, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
 
 class Aligner:
-    """Alignments of pieces by two tokenizer files, remembered for each piece."""
+    """Pieces in the tokens of two tokenizer files, remembered for each piece."""
 
     def __init__(self, a_path: str, b_path: str):
         self.a, self.b = pieces.library(a_path, plain=True), pieces.library(b_path)
         self.a_bytes, self.b_bytes = self.a.token_bytes(), self.b.token_bytes()
+        self.a_sizes, self.b_sizes = (
+            np.fromiter(map(len, x), np.int64, len(x)) for x in (self.a_bytes, self.b_bytes)
+        )
+        ids = ((len(self.a_bytes), ",|"), (len(self.b_bytes), ",;"))
+        marked = [f"{i}{mark}" for n, marks in ids for mark in marks for i in range(n)]
+        self.marked_ids = pa.array(marked, pa.large_string())
         self.cuts = self.a.cuts and self.b.cuts
-        self.known: dict[str, Piece] = {}
-        self.chars = 0
-
-    def _align(self, piece: str, a_ids: list[int], b_ids: list[int]) -> Piece:
-        whole = pieces.full(piece).encode()
-        for ids, entries in ((a_ids, self.a_bytes), (b_ids, self.b_bytes)):
-            if b"".join([entries[i] for i in ids]) != whole:
-                return _DIFFERS
-        groups, links = align_ids(a_ids, b_ids, self.a_bytes, self.b_bytes)
-        return ";".join(groups), len(a_ids), len(b_ids), len(groups), tuple(links)
-
-    def _pieces(self, words: list[str]) -> list[Piece]:
-        got = list(map(self.known.get, words))
-        new = [w for w, p in zip(words, got) if p is None]
-        if new:
-            found: dict[str, Piece] = {}
-            for run in pieces.runs(new, RUN_CHARS):
-                ids = zip(self.a.pieces(run), self.b.pieces(run))
-                found.update((w, self._align(w, a, b)) for w, (a, b) in zip(run, ids))
-            got = [found[w] if p is None else p for w, p in zip(words, got)]
-            # long pieces hardly come back
-            found = {w: p for w, p in found.items() if len(w) <= 64}
-            size = sum(map(len, found))
-            if self.chars + size > KEPT_CHARS:
-                self.known.clear()
-                self.chars = 0
-            if size <= KEPT_CHARS:
-                self.known.update(found)
-                self.chars += size
-        return got
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.chars, self.kept = 0, (Store(), Store())
+
+    def _remember(self, words: list[str], both: tuple[Tokens, Tokens]) -> None:
+        # a piece may occur twice among the words, once from a text cut by itself
+        first = len(self.kept[0].ends) - 1
+        self.known.update(zip(words, range(first, first + len(words))))
+        self.chars += sum(map(len, words))
+        for store, tokens in zip(self.kept, both):
+            store.add(tokens)
+
+    def _encode(self, words: list[str]) -> tuple[Tokens, Tokens]:
+        """Tokens of new pieces; none where one tokenizer's bytes differ from the piece."""
+        a_ids: list[list[int]] = []
+        b_ids: list[list[int]] = []
+        for run in pieces.runs(words, RUN_CHARS):
+            for word, a, b in zip(run, self.a.pieces(run), self.b.pieces(run)):
+                whole = pieces.full(word).encode()
+                same = (
+                    b"".join([self.a_bytes[i] for i in a]) == whole
+                    and b"".join([self.b_bytes[i] for i in b]) == whole
+                )
+                a_ids.append(a if same else [])
+                b_ids.append(b if same else [])
+        return Tokens.of(a_ids), Tokens.of(b_ids)
+
+    def _tokens(self, words: list[str]) -> tuple[np.ndarray, tuple[Tokens, Tokens]]:
+        """The pieces in another order, and their tokens."""
+        slots = np.array([self.known.get(w, -1) for w in words], np.int64)
+        old, new = np.flatnonzero(slots >= 0), np.flatnonzero(slots < 0)
+        both = tuple(store.take(slots[old]) for store in self.kept)
+        if not len(new):
+            return old, both
+        added = [words[i] for i in new.tolist()]
+        more = self._encode(added)
+        both = tuple(x + y for x, y in zip(both, more))
+        if self.chars + sum(map(len, added)) > KEPT_CHARS:
+            self._forget()
+            added, more = [words[i] for i in old.tolist()] + added, both
+        if sum(map(len, added)) <= KEPT_CHARS:
+            self._remember(added, more)
+        return np.concatenate([old, new]), both
 
     def batches(self, texts: pa.Array) -> Iterator[Batch]:
         """Texts in runs of about `BATCH_BYTES`."""
@@ -180,10 +233,18 @@ class Aligner:
             if self.cuts:
                 words, codes, ends = pieces.cut(run, " ")
             else:  # a text is its only piece
-                words = [" " + t for t in run.to_pylist()]
-                codes = np.flatnonzero([len(w) > 1 for w in words])
-                ends = np.concatenate([[0], np.cumsum([len(w) > 1 for w in words])])
-            yield Batch(self._pieces(words), codes, ends)
+                found = [" " + t for t in run.to_pylist() if t]
+                words = list(dict.fromkeys(found))
+                place = dict(zip(words, range(len(words))))
+                codes = np.array([place[w] for w in found], np.int64)
+                full = pc.binary_length(run).to_numpy(zero_copy_only=False) > 0
+                ends = np.concatenate([[0], np.cumsum(full)])
+            if not len(words):
+                words, codes = [" "], np.zeros(0, np.int64)
+            order, both = self._tokens(words)
+            place = np.empty(len(words), np.int64)
+            place[order] = np.arange(len(words))
+            yield Batch(self, *both, place[codes], ends)
 
 
 def aligner(paths: tuple[str, str]) -> Aligner:
@@ -240,7 +301,7 @@ def _document_counts(batch: Batch, table: perfect_hash.PerfectHash) -> np.ndarra
     keys, place = np.unique(batch.keys, return_inverse=True)
     index = table.index(keys)[place]
     good = batch.aligned[batch.text_of]
-    n = np.int64(len(batch.found))
+    n = np.int64(len(batch.a.sizes))
     pieces_of = np.unique(batch.text_of[good] * n + batch.codes[good])
     texts, chosen = pieces_of // n, pieces_of % n
     links = batch.links_of(chosen)
@@ -327,15 +388,14 @@ def _linked(paths, shared, text: str) -> Column:
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own, counts = aligner(paths), shared.value
         for texts in batches:
-            best, total = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for batch in own.batches(texts):
                 keys, place = np.unique(batch.keys, return_inverse=True)
                 number, highest = counts.look_up(keys)
-                best.append(batch.per_text(batch.per_piece(highest[place].astype(np.int64))))
-                total.append(batch.per_text(batch.per_piece(number[place])))
-            yield pa.StructArray.from_arrays(
-                [pa.array(np.concatenate(x)) for x in (best, total)], ["n_best", "count_sum"]
-            )
+                best = batch.per_text(batch.per_piece(highest[place].astype(np.int64)))
+                total = batch.per_text(batch.per_piece(number[place]))
+                yield pa.StructArray.from_arrays(
+                    [pa.array(best), pa.array(total)], ["n_best", "count_sum"]
+                )
 
     return found(text)
 
@@ -347,17 +407,15 @@ def _aligned(paths, text: str) -> Column:
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = aligner(paths)
         for texts in batches:
-            numbers, groups = [np.zeros((4, 0), np.int64)], []
             for batch in own.batches(texts):
-                n_links = np.diff(batch.first)
-                of_piece = [batch.numbers(1), batch.numbers(2), batch.numbers(3), n_links]
-                numbers.append(np.stack([batch.per_text(x) for x in of_piece]))
-                groups += batch.groups()
-            columns = [pa.array(x) for x in np.concatenate(numbers, axis=1)]
-            yield pa.StructArray.from_arrays(
-                [*columns, pa.array(groups, pa.string())],
-                ["n_a", "n_b", "n_groups", "n_links", "groups"],
-            )
+                of_piece = (batch.a.sizes, batch.b.sizes, batch.n_groups, np.diff(batch.first))
+                yield pa.StructArray.from_arrays(
+                    [
+                        *[pa.array(batch.per_text(x)) for x in of_piece],
+                        batch.groups().cast(pa.string()),
+                    ],
+                    ["n_a", "n_b", "n_groups", "n_links", "groups"],
+                )
 
     return found(text)
 

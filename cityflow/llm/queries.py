@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cityflow.llm import (
     alignment,
+    conversations,
     decontaminate,
     fingerprint,
     langid,
@@ -109,6 +110,20 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    report = conversations.repair(conversations.damage(rows)).report
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    given = rows.select("conv_id").distinct().alias("g")
+    joined = given.join(report.alias("r"), F.expr("g.conv_id <=> r.conv_id"), "left")
+    return joined.select(
+        "g.conv_id",
+        *[F.coalesce(f"r.{n}", F.lit(0).cast("long")).alias(n) for n in counts],
+        F.coalesce("r.audit", F.lit("")).alias("audit"),
+        F.coalesce("r.repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))

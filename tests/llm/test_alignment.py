@@ -109,12 +109,16 @@ def test_whole_table(spark, documents):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
-def test_forgetful_worker(monkeypatch, documents):
-    monkeypatch.setattr(alignment, "KEPT_CHARS", 300)
+@pytest.mark.parametrize("kept", [300, 10**6])
+def test_forgetful_worker(monkeypatch, documents, kept):
+    monkeypatch.setattr(alignment, "KEPT_CHARS", kept)
     own = alignment.Aligner(*alignment.default_tokenizers())
-    texts = [r.text or "" for r in documents.limit(20).collect()]
-    groups = [g for t in texts for x in own.batches(pa.array([t])) for g in x.groups()]
+    texts = [r.text or "" for r in documents.limit(20).collect()] + ["a  \nb c\nb  c\nb", "x c\nb"]
+    for _ in range(2):  # the second time from memory
+        own_groups = [g for x in own.batches(pa.array(texts)) for g in x.groups().to_pylist()]
+    groups = [g for t in texts for x in own.batches(pa.array([t])) for g in x.groups().to_pylist()]
     want, _ = brute(list(enumerate(texts)))
+    assert own_groups == groups
     assert [sha256(g.encode()).hexdigest() if g else "" for g in groups] == [w[7] for w in want]
 
 
