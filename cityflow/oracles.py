@@ -448,6 +448,18 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
 WHERE c_custkey / 8.0::DOUBLE BETWEEN 10 AND 150 AND c_nationkey + 0.5::DOUBLE BETWEEN 3 AND 18.5
 ORDER BY c_custkey LIMIT 100"""
 
+ORACLES["q_bbox_pages"] = """
+WITH inside AS (
+  SELECT c_custkey, n_name AS nation, c_nationkey + 0.5::DOUBLE AS lat,
+    c_custkey / 8.0::DOUBLE AS lon
+  FROM customer JOIN nation ON c_nationkey = n_nationkey
+  WHERE c_custkey / 8.0::DOUBLE BETWEEN 10 AND 1500
+    AND c_nationkey + 0.5::DOUBLE BETWEEN 3 AND 18.5
+), placed AS (
+  SELECT *, row_number() OVER (ORDER BY nation, lon DESC) AS position FROM inside
+)
+SELECT *, (position - 1) // 100 + 1 AS page FROM placed"""
+
 # --- documents ---
 
 

@@ -548,6 +548,14 @@ def q_bbox_filter(spark, sf_dir):
     return requests.capped(inside, 100, "c_custkey")
 
 
+@query
+def q_bbox_pages(spark, sf_dir):
+    """Every location inside the box by nation, with its position and page of 100."""
+    points = b.customer_points(spark, sf_dir).select("c_custkey", "nation", "lat", "lon")
+    inside = requests.within_box(points, "lon", "lat", (10.0, 3.0, 1500.0, 18.5))
+    return requests.paged(inside, 100, "nation", F.col("lon").desc()).rows()
+
+
 # --- documents ---
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cityflow.functions.columns import iso_utc
+from cityflow.operators import positions
 
 
 def backfill_windows(
@@ -47,3 +49,28 @@ def within_box(
 def capped(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
     """The first `n` rows in a stated order, the row cap of one request page."""
     return df.orderBy(*order).limit(n)
+
+
+@dataclass(frozen=True)
+class Pages:
+    """Rows in a stated order, cut into pages of `size` rows numbered from 1."""
+
+    ordered: positions.Ordered
+    size: int
+
+    def rows(self) -> DataFrame:
+        """Every row with its `position` and `page`."""
+        number = F.ceil(F.col(positions.POSITION) / self.size).alias("page")
+        return self.ordered.rows().select("*", number)
+
+    def page(self, number: int) -> DataFrame:
+        """The rows of one page, none beyond the last; other pages' partitions are not read."""
+        return self.ordered.slice((number - 1) * self.size + 1, number * self.size)
+
+
+def paged(df: DataFrame, size: int, *order: Column | str) -> Pages:
+    """The pages of a request in the order given, ties by the remaining columns. The rows are
+    sorted once over all tasks, so that the last page costs as little as the first."""
+    if size < 1:
+        raise ValueError(f"a page needs at least one row, not {size}")
+    return Pages(positions.ordered(df, *order), size)

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cityflow.oracles import ORACLES
+from cityflow.registry import QUERIES
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -23,17 +25,18 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows(spark, duck, name):
-    ours = entry.queries()[name](spark, SF)
-    theirs = duck.execute(entry.oracle_sql()[name])
+    ours = QUERIES[name](spark, SF)
+    theirs = duck.execute(ORACLES[name])
     names = [d[0] for d in theirs.description]
     assert sorted(names) == sorted(ours.columns)
     columns = sorted(names)
