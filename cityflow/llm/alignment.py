@@ -35,14 +35,16 @@ SLICE_PAIRS = 4_000_000
 FAN_IN = 32
 # Counts of one row while vectors are summed.
 BLOCK = 8_192
-BATCH_BYTES = 4_000_000
-RUN_CHARS = 500_000
+BATCH_BYTES = 2_000_000
+# Characters of pieces that are encoded as one text.
+RUN_CHARS = 2_000
 # A worker remembers the alignments of so many characters of pieces, and forgets all when full.
 KEPT_CHARS = 6_000_000
 # Distinct pairs that a task of the first pass holds back before it may send one again.
 HELD_PAIRS = 2_000_000
 
 _COUNTED = "n_a long, n_b long, n_groups long, n_links long, groups string"
+_SUMS = "n_best long, count_sum long"
 _ID_BITS = np.int64(32)
 _NOTHING = pa.scalar("", pa.large_string())
 
@@ -194,20 +196,37 @@ class Aligner:
         for store, tokens in zip(self.kept, both):
             store.add(tokens)
 
-    def _encode(self, words: list[str]) -> tuple[Tokens, Tokens]:
-        """Tokens of new pieces; none where one tokenizer's bytes differ from the piece."""
-        a_ids: list[list[int]] = []
-        b_ids: list[list[int]] = []
-        for run in pieces.runs(words, RUN_CHARS):
-            for word, a, b in zip(run, self.a.pieces(run), self.b.pieces(run)):
-                whole = pieces.full(word).encode()
-                same = (
-                    b"".join([self.a_bytes[i] for i in a]) == whole
-                    and b"".join([self.b_bytes[i] for i in b]) == whole
-                )
-                a_ids.append(a if same else [])
-                b_ids.append(b if same else [])
-        return Tokens.of(a_ids), Tokens.of(b_ids)
+    def _encode(self, words: list[str], apart: bool = False) -> tuple[Tokens, Tokens]:
+        """Tokens of new pieces, which stand behind one another in short texts unless `apart`;
+        none for a piece of which one tokenizer's bytes differ."""
+        runs = [[w] for w in words] if apart else list(pieces.runs(words, RUN_CHARS))
+        texts = ["".join(map(pieces.full, run)) for run in runs]
+        a_ids = self.a.joined(texts)
+        # the model's own space stands for that of the text, or is a token the text lacks
+        b_ids = self.b.whole([t[1:] if t[0] == " " else t for t in texts])
+        b_ids = [ids if t[0] == " " else ids[1:] for t, ids in zip(texts, b_ids)]
+        whole = "".join(texts).encode()
+        sizes = [len(pieces.full(w).encode()) for w in words]
+        ends = np.cumsum(sizes)
+        out = []
+        for lists, entries, n_bytes in (
+            (a_ids, self.a_bytes, self.a_sizes),
+            (b_ids, self.b_bytes, self.b_sizes),
+        ):
+            tokens = Tokens.of(lists)
+            if b"".join([entries[i] for i in tokens.ids.tolist()]) == whole:
+                token_ends = np.cumsum(n_bytes[tokens.ids])
+                at = np.searchsorted(token_ends, ends)
+                if (token_ends[at] == ends).all():
+                    out.append(Tokens(tokens.ids, np.diff(at + 1, prepend=0)))
+        if len(out) == 2:
+            return out[0], out[1]
+        if len(words) == 1:
+            none = Tokens(np.zeros(0, np.int32), np.zeros(1, np.int64))
+            return none, none
+        half = len(words) // 2
+        (a, b), (c, d) = (self._encode(part, apart) for part in (words[:half], words[half:]))
+        return a + c, b + d
 
     def _tokens(self, words: list[str]) -> tuple[np.ndarray, tuple[Tokens, Tokens]]:
         """The pieces in another order, and their tokens."""
@@ -217,14 +236,23 @@ class Aligner:
         if not len(new):
             return old, both
         added = [words[i] for i in new.tolist()]
-        more = self._encode(added)
+        alone = pieces.stands_alone(added) & self.cuts
+        order, more = [], None
+        for chosen, apart in ((alone, False), (~alone, True)):
+            if chosen.any():
+                part = np.flatnonzero(chosen)
+                got = self._encode([added[i] for i in part.tolist()], apart)
+                more = got if more is None else (more[0] + got[0], more[1] + got[1])
+                order.append(new[part])
+        order = np.concatenate(order)
+        added = [words[i] for i in order.tolist()]
         both = tuple(x + y for x, y in zip(both, more))
         if self.chars + sum(map(len, added)) > KEPT_CHARS:
             self._forget()
             added, more = [words[i] for i in old.tolist()] + added, both
         if sum(map(len, added)) <= KEPT_CHARS:
             self._remember(added, more)
-        return np.concatenate([old, new]), both
+        return np.concatenate([old, order]), both
 
     def batches(self, texts: pa.Array) -> Iterator[Batch]:
         """Texts in runs of about `BATCH_BYTES`."""
@@ -296,21 +324,27 @@ def _task_vectors(docs: DataFrame, paths, text: str, hashed) -> DataFrame:
     return docs.select(text).mapInArrow(run, "node long, block long, counts binary")
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, by sorting in place."""
+    values.sort()
+    new = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return values[new]
+
+
 def _document_counts(batch: Batch, table: perfect_hash.PerfectHash) -> np.ndarray:
     """For each index, the texts of a batch that hold its pair linked."""
     keys, place = np.unique(batch.keys, return_inverse=True)
     index = table.index(keys)[place]
     good = batch.aligned[batch.text_of]
-    n = np.int64(len(batch.a.sizes))
-    pieces_of = np.unique(batch.text_of[good] * n + batch.codes[good])
-    texts, chosen = pieces_of // n, pieces_of % n
-    links = batch.links_of(chosen)
-    texts = np.repeat(texts, batch.first[chosen + 1] - batch.first[chosen])
-    index = index[links]
+    n = np.int64(max(1, len(batch.a.sizes)))
+    held = _distinct(batch.text_of[good] * n + batch.codes[good])
+    texts, chosen = held // n, held % n
+    sizes = batch.first[chosen + 1] - batch.first[chosen]
+    texts, index = np.repeat(texts, sizes), index[batch.links_of(chosen)]
     own = index >= 0  # pairs of other slices have none
     size = np.int64(max(1, len(table)))
-    held = np.unique(texts[own] * size + index[own]) % size
-    return np.bincount(held, minlength=len(table))
+    return np.bincount(_distinct(texts[own] * size + index[own]) % size, minlength=len(table))
 
 
 def _tree_sum(vectors: DataFrame) -> DataFrame:
@@ -381,45 +415,51 @@ def _slices(docs: DataFrame, paths, text: str) -> Iterator[Counts]:
         yield Counts(table, blocks)
 
 
+def _sums(batch: Batch, counts: Counts) -> list[np.ndarray]:
+    """Links with the highest count of their first id, and the sum of counts, of each text."""
+    keys, place = np.unique(batch.keys, return_inverse=True)
+    number, highest = counts.look_up(keys)
+    return [batch.per_text(batch.per_piece(x[place].astype(np.int64))) for x in (highest, number)]
+
+
 def _linked(paths, shared, text: str) -> Column:
-    """Number of links with the highest count of their first id, and the sum of counts."""
+    """What the links of a slice of pairs add to `n_best` and `count_sum`."""
 
-    @F.arrow_udf("n_best long, count_sum long")
+    @F.arrow_udf(_SUMS)
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own, counts = aligner(paths), shared.value
         for texts in batches:
             for batch in own.batches(texts):
-                keys, place = np.unique(batch.keys, return_inverse=True)
-                number, highest = counts.look_up(keys)
-                best = batch.per_text(batch.per_piece(highest[place].astype(np.int64)))
-                total = batch.per_text(batch.per_piece(number[place]))
-                yield pa.StructArray.from_arrays(
-                    [pa.array(best), pa.array(total)], ["n_best", "count_sum"]
-                )
+                sums = [pa.array(x) for x in _sums(batch, counts)]
+                yield pa.StructArray.from_arrays(sums, _names(_SUMS))
 
     return found(text)
 
 
-def _aligned(paths, text: str) -> Column:
-    """Tokens, groups and links of each text, and the groups themselves."""
+def _aligned(paths, shared, text: str) -> Column:
+    """Tokens, groups and links of each text, the groups themselves, and what the links of the
+    last slice add."""
 
-    @F.arrow_udf(_COUNTED)
+    @F.arrow_udf(f"{_COUNTED}, {_SUMS}")
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = aligner(paths)
+        own, counts = aligner(paths), shared.value
         for texts in batches:
             for batch in own.batches(texts):
                 of_piece = (batch.a.sizes, batch.b.sizes, batch.n_groups, np.diff(batch.first))
-                yield pa.StructArray.from_arrays(
-                    [
-                        *[pa.array(batch.per_text(x)) for x in of_piece],
-                        batch.groups().cast(pa.string()),
-                    ],
-                    ["n_a", "n_b", "n_groups", "n_links", "groups"],
-                )
+                columns = [
+                    *[pa.array(batch.per_text(x)) for x in of_piece],
+                    batch.groups().cast(pa.string()),
+                    *[pa.array(x) for x in _sums(batch, counts)],
+                ]
+                yield pa.StructArray.from_arrays(columns, [*_names(_COUNTED), *_names(_SUMS)])
 
     return found(text)
 
 
+def _names(ddl: str) -> list[str]:
+    return [field.split()[0] for field in ddl.split(", ")]
+
+
 def align(
     docs: DataFrame, tokenizers: tuple[str, str] | None = None, text: str = "text"
 ) -> DataFrame:
@@ -438,25 +478,27 @@ def align(
     """
     paths = tokenizers or default_tokenizers()
     context = docs.sparkSession.sparkContext
-    sums = ("n_best", "count_sum")
-    new = [*(c.split()[0] for c in _COUNTED.split(", ")), *sums]
-    kept = [c for c in docs.columns if c not in (text, *new)]
+    counted, sums = _names(_COUNTED), _names(_SUMS)
+    kept = [c for c in docs.columns if c not in (text, *counted, *sums)]
     source = docs.select(F.col(text).alias("_text"))
     rows = docs.select(
         F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in kept]).alias("_row"),
         F.col(text).alias("_text"),
         *[F.lit(0).cast("long").alias(c) for c in sums],
     )
-    waiting = None
-    for counts in _slices(source, paths, "_text"):
-        if waiting is not None:
-            rows = saved(waiting, "pair-sums")
-        more = rows.withColumn("_links", _linked(paths, context.broadcast(counts), "_text"))
-        waiting = more.select(
-            "_row", "_text", *[(F.col(c) + F.col(f"_links.{c}")).alias(c) for c in sums]
-        )
-    out = waiting.withColumn("_aligned", _aligned(paths, "_text"))
-    return out.select(*[F.col(f"_row.`{c}`") for c in kept], "_aligned.*", *sums)
+    slices = _slices(source, paths, "_text")
+    counts = next(slices)
+    for following in slices:
+        more = rows.withColumn("_new", _linked(paths, context.broadcast(counts), "_text"))
+        added = [(F.col(c) + F.col(f"_new.{c}")).alias(c) for c in sums]
+        rows = saved(more.select("_row", "_text", *added), "pair-sums")
+        counts = following
+    out = rows.withColumn("_new", _aligned(paths, context.broadcast(counts), "_text"))
+    return out.select(
+        *[F.col(f"_row.`{c}`") for c in kept],
+        *[F.col(f"_new.{c}") for c in counted],
+        *[(F.col(c) + F.col(f"_new.{c}")).alias(c) for c in sums],
+    )
 
 
 def pair_counts(

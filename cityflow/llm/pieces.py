@@ -9,6 +9,7 @@ of its pieces one after the other. A piece is written without its leading space.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -92,6 +93,16 @@ def runs(items: list[str], limit: int) -> Iterator[list[str]]:
         yield run
 
 
+def stands_alone(words: list[str]) -> np.ndarray:
+    """Which pieces begin and end at safe boundaries, so that they can stand in one text."""
+    unsafe = pc.match_substring_regex(pa.array(words, pa.string()), _UNSAFE)
+    return ~unsafe.to_numpy(zero_copy_only=False)
+
+
+# Where a byte-level tokenizer parts words before merging. Fixed value.
+_WORDS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 class ByteLevel:
     """A tokenizer file of the tokenizers library. `plain`: the strings of special tokens in
     a text are ordinary text; else they are found, as is the library's default."""
@@ -106,6 +117,7 @@ class ByteLevel:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.tokenizer.encode_special_tokens = plain
+        self._ranked = None
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.cuts = (
             self.tokenizer.normalizer is None
@@ -127,6 +139,30 @@ class ByteLevel:
     def piece_counts(self, pieces: list[str]) -> list[int]:
         return self.counts(list(map(full, pieces)))
 
+    def joined(self, texts: list[str]) -> list[list[int]]:
+        """As `whole`, by the faster merging of tiktoken where its rule, lowest id first, is
+        that of the file: ids of merged entries in the order of the merges."""
+        if self._ranked is None:
+            self._ranked = self._by_rank() or self.whole
+        return self._ranked(texts)
+
+    def _by_rank(self):
+        model = json.loads(self.tokenizer.to_str())["model"]
+        if not self.cuts or model["type"] != "BPE" or model.get("ignore_merges"):
+            return None
+        merged = [model["vocab"]["".join(m)] for m in model["merges"]]
+        entries = self.token_bytes()
+        single = {i for i, x in enumerate(entries) if len(x) == 1}
+        if merged != sorted(merged) or len(merged) + len(single) < sum(map(bool, entries)):
+            return None
+        import tiktoken
+
+        ranks = {x: i for i, x in enumerate(entries) if x}
+        encoding = tiktoken.Encoding(
+            "ranks", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={}
+        )
+        return lambda texts: list(map(encoding.encode_ordinary, texts))
+
     def token_bytes(self) -> list[bytes]:
         """What each id stands for: the entry's characters by the byte-level alphabet, in
         which visible Latin-1 characters are themselves and the other bytes follow U+0100."""
