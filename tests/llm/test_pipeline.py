@@ -2,6 +2,7 @@ import importlib
 
 import corpus_pipeline
 from cityflow.llm import ngram_join
+from cityflow.llm.common import saved
 from cityflow.llm.queries import QUERIES
 from tests.llm.conftest import LONG, ODD, SF
 from tests.llm.test_decontaminate import brute as contamination
@@ -17,28 +18,31 @@ def ids(df):
 def test_stages_take_effect(spark, documents):
     """Each stage against a plain version over what its predecessor kept."""
     assert list(STAGE) == ["quality", "near_duplicates", "decontamination", "pii", "packing"]
-    good = STAGE["quality"](spark, documents, SF)
+
+    def step(name, docs):
+        kept = saved(STAGE[name](spark, docs, SF), f"test-{name}")
+        return kept, [tuple(r) for r in kept.collect()]
+
+    good, rows = step("quality", documents)
     rejected = {r.doc_id for r in QUERIES["op2_quality_classifier"](spark, SF).where("predicted = 0").collect()}
-    assert ids(good) == ids(documents) - rejected and good.columns == documents.columns
+    assert {r[0] for r in rows} == ids(documents) - rejected and good.columns == documents.columns
 
-    single = STAGE["near_duplicates"](spark, good, SF)
-    rows = [(r.doc_id, r.text) for r in good.collect()]
-    assert ids(single) == {i for i, (_, c) in groups(rows).items() if i == c}
+    texts = [(r[0], r[1]) for r in rows]
+    single, rows = step("near_duplicates", good)
+    assert {r[0] for r in rows} == {i for i, (_, c) in groups(texts).items() if i == c}
 
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
-    clean = STAGE["decontamination"](spark, single, SF)
-    rows = [(r.doc_id, r.text) for r in single.collect()]
-    assert ids(clean) == {i for i, c in contamination(rows, items).items() if not c[4]}
-    assert sorted(map(tuple, clean.collect())) == sorted(
-        tuple(r) for r in single.collect() if r.doc_id in ids(clean)
-    )
+    dirty = {i for i, c in contamination([(r[0], r[1]) for r in rows], items).items() if c[4]}
+    want = sorted(r for r in rows if r[0] not in dirty)
+    clean, rows = step("decontamination", single)
+    assert sorted(rows) == want and dirty
 
-    private = STAGE["pii"](spark, clean, SF)
-    assert ids(private) == ids(clean) and private.columns == documents.columns
-    assert all(r.n_chars == len(r.text) for r in private.collect())
+    private, mended = step("pii", clean)
+    assert {r[0] for r in mended} == {r[0] for r in rows} and private.columns == documents.columns
+    assert all(r[4] == len(r[1]) for r in mended)
 
-    packed = STAGE["packing"](spark, private, SF)
-    assert ids(packed) == ids(private)
+    packed, _ = step("packing", private)
+    assert ids(packed) == {r[0] for r in mended}
 
 
 def test_run_is_its_stages(spark):
@@ -61,4 +65,4 @@ def test_odd_rows_and_extra_columns(spark, docs):
 def test_registered():
     entry = importlib.import_module("__spark_entry__")
     numbers = sorted(int(q[2:].split("_")[0]) for q in entry.queries() if q.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
