@@ -481,9 +481,23 @@ ORACLES["q_parse_measurement"] = _typed_readings(
 ORACLES["q_parse_latest"] = _typed_readings("user_id", "event_type = 'purchase'", "FALSE")
 
 ORACLES["q_latest_backlog"] = """
-SELECT DISTINCT CAST(user_id AS INTEGER) AS sensor_id,
-  CASE WHEN event_type <> 'purchase' THEN ts END AS datetime_utc
-FROM events"""
+SELECT sensor_id, datetime_utc,
+  timezone('America/New_York', timezone('UTC', datetime_utc)) AS datetime_local, value
+FROM (
+  SELECT CAST(user_id AS INTEGER) AS sensor_id, value, day(ts) % 2 AS odd,
+    CASE WHEN event_type <> 'purchase' THEN ts END AS datetime_utc
+  FROM events)
+QUALIFY row_number() OVER (PARTITION BY sensor_id, datetime_utc ORDER BY odd, value) = 1"""
+
+ORACLES["q_guarded_append"] = """
+WITH days AS (SELECT CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS d FROM events)
+SELECT load_id, count(*) AS rows_read, count(*) FILTER (new) AS rows_added,
+  min(d) AS first_day, max(d) AS last_day, CAST(count(DISTINCT d) AS INTEGER) AS days
+FROM (
+  SELECT 'week' AS load_id, d, TRUE AS new FROM days WHERE d < 20240108 UNION ALL
+  SELECT 'fortnight', d, TRUE FROM days WHERE d < 20240115 UNION ALL
+  SELECT 'all', d, d >= 20240115 FROM days)
+GROUP BY load_id"""
 
 ORACLES["q_parse_weather"] = """
 SELECT CAST(strftime(ts, '%Y%m%d%H') AS INTEGER) AS ingestion_hour, datetime_local,

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cityflow import schemas
 from cityflow.functions.columns import ingestion_hour
 from cityflow.operators.dedupe import dedupe, first_unseen
-from cityflow.sources import files, tables
+from cityflow.sources import files, loads, tables
 
 YELLOW = "nyc_yellow_taxi_trips_raw"
 GREEN = "nyc_green_taxi_trips_raw"
@@ -24,6 +24,7 @@ GEOCODES = "bronze_geocodes_locations_raw"
 HISTORY = "bronze_sensor_measurements_hourly_raw"
 LATEST = "bronze_sensor_measurements_latest_raw"
 WEATHER = "bronze_weather_nyc_raw"
+LOADS = "bronze_loads"
 
 _TRIP_TABLES = {
     "yellow": (YELLOW, schemas.RAW_YELLOW_TRIPS),
@@ -98,6 +99,11 @@ def sensor_of(raw: str) -> Column:
     return F.from_json(raw, "sensorsId bigint")["sensorsId"]
 
 
+def day_of(hour: Column) -> Column:
+    """YYYYMMDD of an ingestion hour."""
+    return F.floor(hour / 100).cast("int")
+
+
 def latest_rows(landed: DataFrame, as_of: Column) -> DataFrame:
     """Latest-feed responses to keyed raw rows, stamped with the hour of the load."""
     rows = files.record_rows(landed, files.records_of_field("body"), ["location_id"])
@@ -105,27 +111,34 @@ def latest_rows(landed: DataFrame, as_of: Column) -> DataFrame:
         F.col("location_id").cast("int").alias("location_id"),
         ingestion_hour(as_of).alias("ingestion_hour"),
         "raw_json",
+        day_of(ingestion_hour(as_of)).alias("ingestion_day"),
     )
 
 
 def load_latest(
     spark: SparkSession, path: str, as_of: Column, per_sensor: bool = True
 ) -> None:
-    """Append one hour of the latest feed; a second load of the same hour adds nothing.
+    """Append one hour of the latest feed and record it; a second load of the same hour adds
+    nothing.
 
     One location returns a result per sensor, so the key holds the sensor too;
     `per_sensor=False` keeps a single row per location and hour.
     """
-    tables.create_if_missing(spark, LATEST, schemas.RAW_LATEST, ["ingestion_hour"])
+    tables.create_if_missing(spark, LATEST, schemas.RAW_LATEST, ["ingestion_day"])
+    hour = ingestion_hour(as_of)
     incoming = latest_rows(files.scan_envelopes(spark, path, {"location_id": "int"}), as_of)
-    this_hour = tables.scan(spark, LATEST).where(F.col("ingestion_hour") == ingestion_hour(as_of))
+    this_hour = tables.scan(spark, LATEST).where(
+        (F.col("ingestion_day") == day_of(hour)) & (F.col("ingestion_hour") == hour)
+    )
     keys = ["location_id", "ingestion_hour"]
     if per_sensor:
         keys.append("sensor")
         incoming, this_hour = (
             df.withColumn("sensor", sensor_of("raw_json")) for df in (incoming, this_hour)
         )
-    tables.append(first_unseen(incoming, this_hour, keys), LATEST)
+    watch = loads.Watch(F.col("ingestion_hour"))
+    new = first_unseen(watch.reading(incoming), this_hour, keys)
+    watch.append(new, LATEST, LOADS, str(spark.range(1).select(hour).first()[0]))
 
 
 def load_weather(spark: SparkSession, path: str, as_of: Column) -> None:

@@ -9,13 +9,14 @@ from cityflow.functions import columns as c
 from cityflow.operators.dedupe import latest_per_key
 from cityflow.operators.joins import lookup, role_lookups
 from cityflow.plans import bronze, dims, silver
-from cityflow.sources import tables
+from cityflow.sources import loads, tables
 
 DIM_BOROUGH = "DimBorough"
 DIM_DATE = "DimDate"
 HOUR_KEY = "HourKey"
 FACT_TAXI = "FactTaxiHourly"
 FACT_AIR_QUALITY = "FactAirQuality"
+APPLIED_TRIPS = "gold_applied_trip_loads"
 
 AIR_QUALITY_KEYS = ["BoroughID", "DateKey", "HourKey", "parameter"]
 
@@ -137,33 +138,26 @@ def load_dims(spark: SparkSession, start: str, end: str) -> None:
 
 
 def load_fact_taxi(spark: SparkSession) -> None:
-    """Bring the trip fact up to date: dates whose number of trips differs from silver are
-    written anew, the others stay. One number for each date is compared, from a scan of the
-    pickup time alone; the fact is laid out by pickup date so that date filters prune."""
+    """Bring the trip fact up to date: the days that new loads of trips have touched are
+    written anew, whatever changed on them, the others are neither read nor written. The fact
+    is laid out by pickup date so that date filters prune."""
     tables.create_if_missing(spark, FACT_TAXI, schemas.FACT_TAXI, ["PickupDateKey"])
-    trips, zones, boroughs = (
-        tables.scan(spark, t) for t in (silver.TRIPS, bronze.ZONES, DIM_BOROUGH)
-    )
-    day = c.date_key(c.to_whole_second("pickup_datetime"))
-    wanted = trips.groupBy(day.alias("day")).agg(F.count("*").alias("trips"))
-    stored = (
-        tables.scan(spark, FACT_TAXI)
-        .groupBy(F.col("PickupDateKey").alias("stored_day"))
-        .agg(F.count("*").alias("stored_trips"))
-    )
-    same = F.col("day").eqNullSafe(F.col("stored_day")) & (F.col("trips") == F.col("stored_trips"))
-    days = [row.day for row in wanted.join(stored, same, "left_anti").collect()]
-    if days:
-        changed = day.isin([d for d in days if d is not None])
-        changed = changed | day.isNull() if None in days else changed
-        fresh = fact_taxi(trips.where(changed), zones, boroughs)
-        tables.replace_partitions(fresh, FACT_TAXI, ["PickupDateKey"])
+    records = loads.pending(spark, silver.LOADS, silver.TRIPS, APPLIED_TRIPS)
+    if not records:
+        return
+    changed = loads.in_parts(F.col("pickup_day"), loads.parts_of(records))
+    trips = tables.scan(spark, silver.TRIPS).where(changed)
+    fresh = fact_taxi(trips, *[tables.scan(spark, t) for t in (bronze.ZONES, DIM_BOROUGH)])
+    tables.replace_partitions(fresh, FACT_TAXI, ["PickupDateKey"])
+    loads.mark_done(spark, records, APPLIED_TRIPS)
 
 
 def reload_fact_taxi(spark: SparkSession) -> None:
     """Write the whole trip fact anew, as after a change of zones or boroughs."""
+    records = loads.pending(spark, silver.LOADS, silver.TRIPS, APPLIED_TRIPS)
     scan = [tables.scan(spark, t) for t in (silver.TRIPS, bronze.ZONES, DIM_BOROUGH)]
     tables.replace(fact_taxi(*scan), FACT_TAXI, ["PickupDateKey"])
+    loads.mark_done(spark, records, APPLIED_TRIPS)
 
 
 def merge_air_quality(spark: SparkSession, as_of: Column, hours: int = 24) -> None:

@@ -6,17 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cityflow import schemas
 from cityflow.functions import columns as c, parse
-from cityflow.operators.dedupe import dedupe
+from cityflow.operators.dedupe import dedupe, first_unseen
 from cityflow.operators.joins import attach_geocodes
 from cityflow.plans import bronze
-from cityflow.sources import tables
+from cityflow.sources import loads, tables
 
 TRIPS = "silver_taxi_trips"
 LOCATIONS = "silver_openaq_locations"
 SENSORS = "silver_sensors"
 MEASUREMENTS = "silver_sensor_measurements_hourly"
 REFINED_FILES = "silver_refined_trip_files"
-REFINED_HOURS = "silver_refined_latest_hours"
+REFINED_LOADS = "silver_refined_latest_loads"
+LOADS = "silver_loads"
 WEATHER = "silver_weather_nyc"
 
 TRIP_KEYS = ["pickup_datetime", "dropoff_datetime", "PULocationID", "DOLocationID", "taxi_type"]
@@ -184,19 +185,39 @@ def weather(raw: DataFrame) -> DataFrame:
 # --- jobs over the managed tables ---
 
 
+def with_pickup_day(trips: DataFrame) -> DataFrame:
+    """Trips as they are stored, by the day of the fact they belong to."""
+    day = c.date_key(c.to_whole_second("pickup_datetime"))
+    return trips.withColumn("pickup_day", day).select(*schemas.STORED_TRIPS)
+
+
 def load_trips(spark: SparkSession) -> None:
-    """Append the trips of files that are not refined yet. Only their partitions of the raw
-    tables are read, and of the stored trips only row groups of their pickup times."""
-    tables.create_if_missing(spark, TRIPS, schemas.TRIPS)
+    """Append the trips of files that are not refined yet and record the days they touch.
+
+    The files of the raw tables are listed by the catalog, and of these only pending ones are
+    read; of the stored trips only those days are. A failure before the file ledger is written
+    makes the next run repeat an append that adds nothing, and record the same days.
+    """
+    tables.create_if_missing(spark, TRIPS, schemas.STORED_TRIPS, ["pickup_day"])
     tables.create_if_missing(spark, REFINED_FILES, {bronze.SOURCE_FILE: "string"})
     known, source = tables.scan(spark, REFINED_FILES), F.col(bronze.SOURCE_FILE)
     raw = [tables.scan(spark, name) for name in (bronze.GREEN, bronze.YELLOW)]
-    files = raw[0].select(source).union(raw[1].select(source)).distinct()
+    files = tables.partition_values(spark, bronze.GREEN, bronze.SOURCE_FILE).union(
+        tables.partition_values(spark, bronze.YELLOW, bronze.SOURCE_FILE)
+    )
     pending = [row[0] for row in files.join(known, bronze.SOURCE_FILE, "left_anti").collect()]
     if not pending:
         return
-    trips = all_trips(*[rows.where(source.isin(pending)).drop(source) for rows in raw])
-    tables.append_new(trips, TRIPS, TRIP_KEYS, range_key="pickup_datetime")
+    trips = with_pickup_day(
+        all_trips(*[rows.where(source.isin(pending)).drop(source) for rows in raw])
+    )
+    # one number a calendar day, from the pickup times alone
+    days = [row[0] for row in trips.select("pickup_day").distinct().collect()]
+    days = [loads.NO_PART if d is None else d for d in days]
+    stored = tables.scan(spark, TRIPS).where(loads.in_parts(F.col("pickup_day"), days))
+    watch = loads.Watch(F.col("pickup_day"))
+    new = first_unseen(watch.reading(trips), stored, TRIP_KEYS)
+    watch.append(new, TRIPS, LOADS, "/".join(sorted(pending)), ["pickup_day"])
     tables.append(spark.createDataFrame([(name,) for name in pending], known.schema), REFINED_FILES)
 
 
@@ -222,30 +243,38 @@ def load_latest(
     spark: SparkSession,
     raw_table: str = bronze.LATEST,
     target: str = MEASUREMENTS,
-    ledger: str = REFINED_HOURS,
+    ledger: str = bronze.LOADS,
+    done: str = REFINED_LOADS,
 ) -> None:
     """Append the readings of the latest feed that are not stored yet.
 
-    A raw hour is parsed until the ledger shows as many of its rows as there are, however
-    old it is; the others are left out by partition before any JSON is read. Only one
-    number for each hour reaches the driver. A failure before the ledger is written makes
-    the next run repeat an append that adds nothing.
+    The ledger of raw loads says which hours are new, however old they are; only their days
+    are opened, and other hours of these are left out before any JSON is read. A failure
+    before a load is marked makes the next run repeat an append that adds nothing.
     """
     tables.create_if_missing(spark, target, schemas.MEASUREMENTS)
-    tables.create_if_missing(spark, ledger, {"ingestion_hour": "int", "raw_rows": "bigint"})
-    raw = tables.scan(spark, raw_table)
-    counted = raw.groupBy("ingestion_hour").agg(F.count("*").alias("raw_rows"))
-    known = tables.scan(spark, ledger)
-    pending = counted.join(known, ["ingestion_hour", "raw_rows"], "left_anti").collect()
-    if not pending:
+    records = loads.pending(spark, ledger, raw_table, done)
+    if not records:
         return
-    fresh = raw.where(F.col("ingestion_hour").isin([row.ingestion_hour for row in pending]))
+    hours = loads.parts_of(records)
+    days = sorted({hour // 100 for hour in hours})
+    fresh = tables.scan(spark, raw_table).where(
+        F.col("ingestion_day").isin(days) & F.col("ingestion_hour").isin(hours)
+    )
     readings = parse.latest_measurements(fresh)
     tables.append_new(readings, target, MEASUREMENT_KEYS, range_key="datetime_utc")
-    tables.append(spark.createDataFrame(pending, known.schema), ledger)
+    loads.mark_done(spark, records, done)
 
 
 def load_weather(spark: SparkSession) -> None:
+    """Append the forecasts of hours that are not stored yet. The catalog lists the raw hours,
+    so only the new ones are opened and parsed."""
     tables.create_if_missing(spark, WEATHER, schemas.WEATHER)
-    hours = parse.first_weather_hour(tables.scan(spark, bronze.WEATHER))
-    tables.append_new(hours, WEATHER, ["ingestion_hour"])
+    stored = tables.scan(spark, WEATHER).select("ingestion_hour")
+    landed = tables.partition_values(spark, bronze.WEATHER, "ingestion_hour").select(
+        F.col("ingestion_hour").cast("int").alias("ingestion_hour")
+    )
+    hours = [row[0] for row in landed.join(stored, "ingestion_hour", "left_anti").collect()]
+    if hours:
+        raw = tables.scan(spark, bronze.WEATHER).where(F.col("ingestion_hour").isin(hours))
+        tables.append_new(parse.first_weather_hour(raw), WEATHER, ["ingestion_hour"])

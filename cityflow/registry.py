@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cityflow import bindings as b, schemas
 from cityflow.functions import columns as c, parse
 from cityflow.operators import dedupe as keep, joins
-from cityflow.plans import dims, gold, model, silver
+from cityflow.plans import bronze, dims, gold, model, silver
 from cityflow.session import configure, shared_folder
-from cityflow.sources import files, requests, tables
+from cityflow.sources import files, loads, requests, tables
 from cityflow.streaming import feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -573,15 +573,49 @@ def q_parse_latest(spark, sf_dir):
 def q_latest_backlog(spark, sf_dir):
     """Raw hours reach silver however old they are: those of even days first, then older and
     newer ones of odd days, then nothing new."""
-    raw_table = _new_table(spark, schemas.RAW_LATEST, ["ingestion_hour"])
+    raw_table = _new_table(spark, schemas.RAW_LATEST, ["ingestion_day"])
     target = _new_table(spark, schemas.MEASUREMENTS)
-    ledger = _new_table(spark, {"ingestion_hour": "int", "raw_rows": "bigint"})
-    rows = b.raw_latest(spark, sf_dir)
-    odd = F.floor(F.col("ingestion_hour") / 100) % 2 == 1
-    for part in (rows.where(~odd), rows.where(odd), rows.where("false")):
-        tables.append(part, raw_table)
-        silver.load_latest(spark, raw_table, target, ledger)
-    return tables.scan(spark, target).select("sensor_id", "datetime_utc")
+    ledger, done = _new_table(spark, loads.RECORD), _new_table(spark, loads.DONE)
+    hour = F.col("ingestion_hour")
+    rows = b.raw_latest(spark, sf_dir).withColumn("ingestion_day", bronze.day_of(hour))
+    odd = F.col("ingestion_day") % 2 == 1
+    for load_id, part in (("even", ~odd), ("odd", odd), ("none", F.lit(False))):
+        watch = loads.Watch(hour)
+        new = watch.reading(rows.where(part))
+        watch.append(new, raw_table, ledger, load_id, ["ingestion_day"])
+        silver.load_latest(spark, raw_table, target, ledger, done)
+    return tables.scan(spark, target)
+
+
+@query
+def q_guarded_append(spark, sf_dir):
+    """The records of five loads of events, counted while they are written: two weeks, all,
+    the two weeks again, none, and one more week of another table."""
+    columns = {"event_id": "bigint", "user_id": "bigint", "day": "int"}
+    first, second = _new_table(spark, columns, ["day"]), _new_table(spark, columns, ["day"])
+    ledger = _new_table(spark, loads.RECORD)
+    instant = F.col("ts").cast("timestamp")
+    events = b.table(spark, sf_dir, "events").select(
+        "event_id", "user_id", c.date_key(instant).alias("day")
+    )
+    week = events.where(F.col("day") < 20240108)
+    fortnight = events.where(F.col("day") < 20240115)
+    for name, load_id, rows in (
+        (first, "fortnight", fortnight), (first, "all", events), (first, "fortnight", fortnight),
+        (first, "none", events.where("false")), (second, "week", week),
+    ):
+        watch = loads.Watch(F.col("day"))
+        stored = tables.scan(spark, name)
+        new = joins.unmatched(watch.reading(rows), stored, ["event_id", "day"])
+        watch.append(new, name, ledger, load_id, ["day"])
+    return tables.scan(spark, ledger).select(
+        "load_id",
+        "rows_read",
+        "rows_added",
+        F.array_min("parts").alias("first_day"),
+        F.array_max("parts").alias("last_day"),
+        F.size("parts").alias("days"),
+    )
 
 
 @query

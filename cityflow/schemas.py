@@ -82,7 +82,12 @@ EXCHANGE_RATES = {name: _FX_TYPED.get(name, "string") for name in _FX_COLUMNS}
 RAW_JSON = {"raw_json": "string"}
 RAW_GEOCODES = {"lat": "double", "lon": "double", "json_raw": "string"}
 RAW_MEASUREMENTS = {"sensor_id": "int", "raw_json": "string"}
-RAW_LATEST = {"location_id": "int", "ingestion_hour": "int", "raw_json": "string"}
+RAW_LATEST = {
+    "location_id": "int",
+    "ingestion_hour": "int",
+    "raw_json": "string",
+    "ingestion_day": "int",
+}
 RAW_WEATHER = {"ingestion_hour": "int", "raw_json": "string"}
 
 # --- silver ---
@@ -101,6 +106,8 @@ TRIPS = {
     "trip_duration_minutes": "double",
     "taxi_type": "string",
 }
+# as stored: a partition for each day of pickup, so that the fact reads changed days only
+STORED_TRIPS = {**TRIPS, "pickup_day": "int"}
 LOCATIONS = {
     "location_id": "int",
     "name": "string",

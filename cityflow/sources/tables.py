@@ -38,17 +38,20 @@ def _spread(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in by]) if by else df
 
 
-def append(
-    df: DataFrame, name: str, spread_by: Sequence[str] = (), skip_empty: bool = False
-) -> None:
-    """Append by column name. `spread_by` names the partition columns of the table.
-    `skip_empty` costs an extra job; an empty append is harmless without it."""
-    if skip_empty and df.isEmpty():
-        return
+def append(df: DataFrame, name: str, spread_by: Sequence[str] = ()) -> None:
+    """Append by column name. `spread_by` names the partition columns of the table."""
     columns = df.sparkSession.table(name).columns
     _spread(df, spread_by).select(*columns).write.insertInto(name)
 
 
+def partition_values(spark: SparkSession, name: str, column: str) -> DataFrame:
+    """The values of a partition column, as text, from the catalog: no file is opened."""
+    escaped = F.regexp_extract("partition", f"(?:^|/){column}=([^/]*)", 1)
+    plain = F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B")))
+    value = F.nullif(plain, F.lit("__HIVE_DEFAULT_PARTITION__"))
+    return spark.sql(f"SHOW PARTITIONS {name}").select(value.alias(column)).distinct()
+
+
 def replace(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
     """Full reload."""
     _spread(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)

@@ -182,4 +182,4 @@ def test_old_raw_hours_are_refined(spark, placed_locations, tmp_path):
     for _ in range(2):
         silver.load_latest(spark)
     assert spark.table(silver.MEASUREMENTS).count() == 2
-    assert spark.table(silver.REFINED_HOURS).count() == 2
+    assert spark.table(silver.REFINED_LOADS).count() == 2

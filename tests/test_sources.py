@@ -133,7 +133,7 @@ def test_create_append_replace(spark, database, frame):
     tables.create_if_missing(spark, "t", COLUMNS, ["day"])
     rows = frame([(20240101, "a", 1), (20240102, "b", 2)], "day int, v string, k int")
     tables.append(rows, "t", spread_by=["day"])
-    tables.append(rows.limit(0), "t", skip_empty=True)
+    tables.append(rows.limit(0), "t")
     assert tuples(tables.scan(spark, "t")) == [(1, "a", 20240101), (2, "b", 20240102)]
     tables.replace(rows.where("k = 1"), "t", ["day"])
     assert tables.scan(spark, "t").count() == 1
