@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -21,6 +21,19 @@ def unmatched(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) ->
     return incoming.join(existing.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def unmatched_in_buckets(
+    incoming: DataFrame, existing: DataFrame, keys: Sequence[str], buckets: int
+) -> DataFrame:
+    """`unmatched` against a table whose files are bucketed by the keys. The incoming rows go
+    to the tasks of their buckets once, which serves the join and the write behind it; the
+    merge join leaves the table's side where it is, and no side is broadcast. Rows with a
+    null key match nothing and all go to one bucket, so they pass the join by."""
+    null_key = reduce(or_, [F.col(f"`{k}`").isNull() for k in keys])
+    placed = incoming.where(~null_key).repartition(buckets, *[F.col(f"`{k}`") for k in keys])
+    known = existing.select(*keys).hint("merge")
+    return placed.join(known, list(keys), "left_anti").unionByName(incoming.where(null_key))
+
+
 def attach_geocodes(
     locations: DataFrame, geocodes: DataFrame, lat: str = "lat", lon: str = "lon"
 ) -> DataFrame:

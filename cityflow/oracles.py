@@ -368,6 +368,14 @@ SELECT * FROM new n WHERE NOT EXISTS (
 
 ORACLES["q_table_merge"] = ORACLES["q_air_quality_merge"]
 
+ORACLES["q_bucketed_merge"] = ORACLES["q_air_quality_merge"]
+
+ORACLES["q_full_replace"] = f"""
+SELECT {_SENSOR} AS sensor_id, ts AS datetime_utc,
+  timezone('America/New_York', timezone('UTC', ts)) AS datetime_local, value
+FROM events
+QUALIFY row_number() OVER (PARTITION BY sensor_id ORDER BY ts DESC, value) = 1"""
+
 ORACLES["q_copy_layer"] = f"""
 SELECT {_SENSOR} AS sensor_id, ts AS datetime_utc,
   timezone('America/New_York', timezone('UTC', ts)) AS datetime_local, value
@@ -582,5 +590,18 @@ SELECT date_trunc('hour', ts) AS hour_start, BoroughID, parameter, unit, value F
 QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', ts), BoroughID, parameter
   ORDER BY ts DESC, sensor_id, value) = 1"""
 
+ORACLES["q_stream_window"] = ORACLES["q_stream_latest"]
+
+ORACLES["q_stream_late"] = """
+WITH batches AS (SELECT event_id % 6 AS batch_id, max(ts) AS newest FROM events GROUP BY ALL),
+progress AS (
+  SELECT batch_id, max(newest) OVER (ORDER BY batch_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+  FROM batches
+)
+SELECT event_id, ts AS datetime_utc, batch_id,
+  coalesce(ts < newest - INTERVAL 20 DAY, FALSE) AS late
+FROM events JOIN progress ON event_id % 6 = batch_id"""
+
 ORACLES["q_stream_merge"] = f"""WITH {_READINGS}, {_latest('fact', _LAST_DAY)}
 SELECT * FROM fact"""

@@ -351,11 +351,15 @@ def q_first_unseen(spark, sf_dir):
     return keep.first_unseen(events, known, ["user_id", "ingestion_hour"])
 
 
-def _new_table(spark: SparkSession, columns: dict[str, str], partition_by=()) -> str:
+def _new_table(
+    spark: SparkSession, columns: dict[str, str], partition_by=(), buckets=None
+) -> str:
     """An empty table of a unique name with its files in the shared folder."""
     folder = shared_folder(spark, "tables")
     name = "t_" + folder.rsplit("-", 1)[-1]
-    tables.create_if_missing(spark, name, columns, partition_by, location=folder)
+    tables.create_if_missing(
+        spark, name, columns, partition_by, location=folder, buckets=buckets
+    )
     return name
 
 
@@ -392,6 +396,35 @@ def q_table_merge(spark, sf_dir):
     return tables.scan(spark, target)
 
 
+@query
+def q_bucketed_merge(spark, sf_dir):
+    """The hourly merge into a target bucketed by its key, run for two hours and repeated."""
+    keys = gold.AIR_QUALITY_KEYS
+    target = _new_table(spark, schemas.FACT_AIR_QUALITY, buckets=(keys, 8))
+    inputs = _air_inputs(spark, sf_dir)
+    newest = b.newest_event(spark, sf_dir)
+    for hours_before in (12, 12, 0, 0):
+        as_of = newest - F.expr(f"INTERVAL {hours_before} HOURS")
+        arrived = inputs[0].where(F.col("datetime_utc") <= as_of)
+        recent = gold.recent_air_quality(arrived, *inputs[1:], as_of)
+        tables.insert_only_merge(recent, target, keys)
+    return tables.scan(spark, target)
+
+
+@query
+def q_full_replace(spark, sf_dir):
+    """A table of readings reloaded as a whole: those of half a month, then the last one of
+    each sensor out of its own rows and the rest."""
+    target = _new_table(spark, {**schemas.MEASUREMENTS, "sensor_id": "bigint"})
+    readings = b.measurements(spark, sf_dir)
+    early = F.col("datetime_utc") < F.lit("2024-01-16").cast("timestamp")
+    tables.replace(readings.where(early), target)
+    both = tables.scan(spark, target).unionByName(readings.where(~early))
+    newest = keep.latest_per_key(both, ["sensor_id"], "datetime_utc", ["value"])
+    tables.replace(newest, target)
+    return tables.scan(spark, target)
+
+
 # --- air quality ---
 
 
@@ -788,17 +821,34 @@ def q_csv_exchange_rates(spark, sf_dir):
 
 # --- streams ---
 
-def _event_stream(spark: SparkSession, sf_dir: str, shuffled: bool = False) -> DataFrame:
+BATCHES = 6
+
+
+def _landed_in_turn(spark: SparkSession, sf_dir: str, place: Column) -> str:
+    """The events in six files one after the other, by the number `place` gives each."""
+    path = shared_folder(spark, "in-turn")
+    events = b.table(spark, sf_dir, "events").withColumn("_place", place)
+    for k in range(BATCHES):
+        part = events.where(F.col("_place") == k).drop("_place")
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _event_stream(
+    spark: SparkSession, sf_dir: str, shuffled: bool = False, path: str = ""
+) -> DataFrame:
     """The events as a stream; `shuffled` lands them in six files in no order of time, each
-    of which is a batch of its own."""
+    of which is a batch of its own, as is each file of a given `path`."""
+    batches = shuffled or bool(path)
     if shuffled:
         path = shared_folder(spark, "shuffled")
-        b.table(spark, sf_dir, "events").repartition(6, F.xxhash64("event_id")).write.parquet(path)
-    else:
+        events = b.table(spark, sf_dir, "events")
+        events.repartition(BATCHES, F.xxhash64("event_id")).write.parquet(path)
+    elif not path:
         # a pattern instead of a plain name lets the source be one file or a folder of parts
         path = b.table_path(sf_dir, "events").removesuffix("t") + "[t]"
     landed = feed.land(
-        spark, path, b.TABLES["events"], fmt="parquet", files_per_batch=1 if shuffled else None
+        spark, path, b.TABLES["events"], fmt="parquet", files_per_batch=1 if batches else None
     )
     instant = F.col("ts").cast("timestamp")
     return landed.select(
@@ -867,6 +917,44 @@ def q_stream_latest(spark, sf_dir):
     return tables.scan(spark, target).select(*keys, "value")
 
 
+@query
+def q_stream_late(spark, sf_dir):
+    """Every event in time or too late by 20 days, from six batches by the last digit of its
+    number in base six."""
+    columns = {"event_id": "bigint", "datetime_utc": "timestamp", "batch_id": "bigint"}
+    kept, late = (_new_table(spark, columns, ["batch_id"]) for _ in range(2))
+    progress = _new_table(spark, feed.PROGRESS, ["batch_id"])
+    path = _landed_in_turn(spark, sf_dir, F.pmod("event_id", F.lit(BATCHES)))
+    events = _event_stream(spark, sf_dir, path=path).select("event_id", "datetime_utc")
+    checkpoint = shared_folder(spark, "late")
+    feed.run_available(
+        feed.split_late(events, kept, late, progress, checkpoint, bound="20 days")
+    )
+    for name in (kept, late):
+        spark.catalog.refreshTable(name)
+    in_time, too_late = (
+        tables.scan(spark, name).withColumn("late", F.lit(flag))
+        for name, flag in ((kept, False), (late, True))
+    )
+    return in_time.unionByName(too_late)
+
+
+@query
+def q_stream_window(spark, sf_dir):
+    """The latest value per borough, parameter and event-time hour out of the state store,
+    from six batches in order of time; hours a day behind leave the state."""
+    _, sensors, locations, boroughs = _air_inputs(spark, sf_dir)
+    lookup = gold.sensor_boroughs(sensors, locations, boroughs)
+    fifth = F.floor(F.dayofmonth("ts") / 6).cast("int")  # days 0-5, 6-11, ... 30-31
+    path = _landed_in_turn(spark, sf_dir, fifth)
+    events = _event_stream(spark, sf_dir, path=path).withWatermark("datetime_utc", "1 day")
+    hours = feed.latest_per_hour(feed.place(events, lookup))
+    folder = shared_folder(spark, "windows")
+    feed.run_available(feed.update_stream(hours, f"{folder}/rows", f"{folder}/checkpoint"))
+    keys = ["hour_start", "BoroughID", "parameter", "unit"]
+    return feed.current_rows(spark, f"{folder}/rows", keys)
+
+
 @query
 def q_stream_merge(spark, sf_dir):
     """The last 24 hours merged into a new fact table by the stream."""

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from time import time_ns
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cityflow import schemas
 from cityflow.operators.dedupe import first_unseen
-from cityflow.operators.joins import unmatched
+from cityflow.operators.joins import unmatched, unmatched_in_buckets
+
+
+_VERSIONS = "__versions"
 
 
 def create_if_missing(
@@ -18,8 +22,14 @@ def create_if_missing(
     partition_by: Sequence[str] = (),
     location: str | None = None,
     provider: str = "parquet",
+    buckets: tuple[Sequence[str], int] | None = None,
 ) -> None:
+    """`buckets`: key columns and the number of buckets that rows of equal keys share, for
+    tables that are merged into by these keys (`insert_only_merge`)."""
     layout = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    if buckets:
+        names = ", ".join(buckets[0])
+        layout += f" CLUSTERED BY ({names}) SORTED BY ({names}) INTO {buckets[1]} BUCKETS"
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({schemas.ddl(dict(columns))}) "
@@ -52,9 +62,88 @@ def partition_values(spark: SparkSession, name: str, column: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {name}").select(value.alias(column)).distinct()
 
 
+def location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+    return rows.first().data_type
+
+
+def _versions(spark: SparkSession, name: str) -> str:
+    """The folder of a table's versions, beside the one it was created with."""
+    now = location(spark, name).rstrip("/")
+    head, _, version = now.rpartition("/")
+    return head if head.endswith(_VERSIONS) else f"{head}/{version}{_VERSIONS}"
+
+
 def replace(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-    """Full reload."""
-    _spread(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
+    """Full reload into a folder of its own, to which the table is then pointed.
+
+    Readers see the old rows until the new ones are complete, and a query that has listed its
+    files keeps them, so `df` may read the table itself. If the write fails, the table is as
+    before. A table without partitions changes by one call to the catalog; in one
+    with partitions each changes by one call. Old folders stay until `drop_versions`.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        names = [*(n for n in kinds if n not in partition_by), *partition_by]
+        create_if_missing(spark, name, {n: kinds[n] for n in names}, partition_by)
+    folder = f"{_versions(spark, name)}/{time_ns():020d}"
+    kept = [F.col(f"`{f.name}`").cast(f.dataType) for f in scan(spark, name).schema.fields]
+    _spread(df, partition_by).select(*kept).write.partitionBy(*partition_by).parquet(folder)
+    if partition_by:
+        _exchange_partitions(spark, name, folder, partition_by)
+    else:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(name)
+
+
+def _partition(columns: Sequence[str], values: Sequence) -> str:
+    def literal(value: object) -> str:
+        quoted = str(value).replace("\\", "\\\\").replace("'", "\\'")
+        return "null" if value is None else f"'{quoted}'"
+
+    parts = ", ".join(f"`{c}` = {literal(v)}" for c, v in zip(columns, values))
+    return f"PARTITION ({parts})"
+
+
+def _exchange_partitions(
+    spark: SparkSession, name: str, folder: str, columns: Sequence[str]
+) -> None:
+    """Point the partitions of a table to those of a folder; the ones it lacks go. Dropping a
+    partition deletes its folder, so that is an empty one by then."""
+    table = scan(spark, name)
+    path = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    written = spark.read.schema(table.schema).parquet(folder).select(*columns, path).distinct()
+    new = {_partition(columns, row[:-1]): row[-1] for row in written.collect()}
+    old = {_partition(columns, row) for row in table.select(*columns).distinct().collect()}
+    for part in sorted(old - set(new)):
+        spark.sql(f"ALTER TABLE {name} {part} SET LOCATION '{folder}/_gone'")
+    for part, place in new.items():
+        if part in old:
+            spark.sql(f"ALTER TABLE {name} {part} SET LOCATION '{place}'")
+        else:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {part} LOCATION '{place}'")
+    for part in sorted(old - set(new)):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {part}")
+
+
+def drop_versions(spark: SparkSession, name: str, keep: int = 1) -> int:
+    """Delete the folders of earlier full reloads but the `keep` newest, for when no reader
+    uses them any more. Returns how many went."""
+    folder = _versions(spark, name)
+    current = {location(spark, name).rstrip("/")}
+    if partitions := scan(spark, name).inputFiles():
+        current |= {f.replace(":///", ":/") for f in partitions}
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return 0
+    found = sorted((s.getPath() for s in files.listStatus(root)), key=lambda p: p.getName())
+    old = [p for p in found[: max(0, len(found) - 1 - keep)]
+           if not any(f.startswith(p.toString()) for f in current)]
+    return sum(files.delete(path, True) for path in old)
 
 
 def replace_partitions(df: DataFrame, name: str, spread_by: Sequence[str] = ()) -> None:
@@ -105,6 +194,17 @@ def append_new(
     append(first_unseen(df, existing, keys), name, spread_by)
 
 
+def buckets_of(spark: SparkSession, name: str) -> int:
+    """The number of buckets of a table, 0 without any."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Num Buckets'")
+    found = rows.first()
+    return int(found.data_type) if found else 0
+
+
+def bucketed_by(spark: SparkSession, name: str) -> list[str]:
+    return [col.name for col in spark.catalog.listColumns(name) if col.isBucket]
+
+
 def insert_only_merge(
     source: DataFrame,
     name: str,
@@ -115,9 +215,17 @@ def insert_only_merge(
 ) -> None:
     """`MERGE ... WHEN NOT MATCHED THEN INSERT`: rows already there are never changed,
     and a null key matches nothing. Keys must be unique in `source`; `since` and
-    `range_key` are those of `append_new`."""
+    `range_key` are those of `append_new`.
+
+    A target bucketed by the keys is read where it lies: only the source is shuffled, into
+    the target's buckets, and written to them without another shuffle.
+    """
     existing = _existing(source, name, since, range_key)
-    append(unmatched(source, existing, keys), name, spread_by)
+    spark = source.sparkSession
+    if set(bucketed_by(spark, name)) == set(keys):
+        append(unmatched_in_buckets(source, existing, keys, buckets_of(spark, name)), name)
+    else:
+        append(unmatched(source, existing, keys), name, spread_by)
 
 
 def copy_layer(

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from cityflow.functions import columns as c
 from cityflow.operators.dedupe import latest_per_key
@@ -88,20 +88,69 @@ def keep_latest(
         spark = batch.sparkSession
         spark.catalog.refreshTable(target)
         stored = tables.scan(spark, target)
-        days = batch.select("day").distinct()
-        own = stored.join(days, "day", "left_semi")
-        # null matches no day; a null-safe join would read the partitions of all days
-        if not batch.where("day IS NULL").isEmpty():
-            own = own.unionByName(stored.where("day IS NULL"))
-        both = batch.select(*stored.columns).unionByName(own)
-        path = f"{stage}/{batch_id}"
-        latest_per_key(both, keys, "datetime_utc", tie).write.mode("overwrite").parquet(path)
+        rows = batch.select(*stored.columns).persist()
+        try:
+            # one value a day that the batch touches
+            days = [row.day for row in rows.select("day").distinct().collect()]
+            own = F.col("day").isin([d for d in days if d is not None])
+            own = own | F.col("day").isNull() if None in days else own
+            both = rows.unionByName(stored.where(own))
+            path = f"{stage}/{batch_id}"
+            latest_per_key(both, keys, "datetime_utc", tie).write.mode("overwrite").parquet(path)
+        finally:
+            rows.unpersist()
         staged = spark.read.schema(stored.schema).parquet(path)
         tables.replace_partitions(staged, target, ["day"])
 
     return placed.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
 
 
+PROGRESS = {"newest": "timestamp", "batch_id": "bigint"}
+
+
+def split_late(
+    readings: DataFrame,
+    target: str,
+    late_target: str,
+    progress: str,
+    checkpoint: str,
+    time: str = "datetime_utc",
+    bound: str = LATE_BOUND,
+) -> DataStreamWriter:
+    """Divide each batch into rows in time and rows too late, a table for each.
+
+    A row is too late if it lies more than `bound` before the newest time of all *earlier*
+    batches, as a watermark has it; rows without a time are too late. Nothing is dropped: the
+    two tables add up to the input. `progress` keeps the newest time of each batch, observed
+    while the batch is written. All three tables are partitioned by `batch_id`, and a batch
+    that is run again looks at the progress before it and replaces its own partitions, so it
+    divides and writes the same rows.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        spark.catalog.refreshTable(progress)
+        earlier = tables.scan(spark, progress).where(F.col("batch_id") < batch_id)
+        newest = earlier.agg(F.max("newest")).first()[0]
+        in_time = F.col(time).isNotNull()
+        if newest is not None:
+            in_time &= F.col(time) >= F.lit(newest) - F.expr(f"INTERVAL {bound}")
+        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).persist()
+        seen = Observation()
+        try:
+            tables.replace_partitions(rows.where(~in_time), late_target)
+            # the newest row of a batch is in time, or the batch moves nothing forward
+            kept = rows.where(in_time).observe(seen, F.max(time).alias("newest"))
+            tables.replace_partitions(kept, target)
+        finally:
+            rows.unpersist()
+        row = (seen.get.get("newest"), batch_id)
+        moved = spark.createDataFrame([row], "newest timestamp, batch_id bigint")
+        tables.replace_partitions(moved, progress)
+
+    return readings.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+
+
 def place(readings: DataFrame, sensor_boroughs: DataFrame) -> DataFrame:
     """Add borough, parameter and unit from the static lookup of `gold.sensor_boroughs`."""
     return readings.join(sensor_boroughs, "sensor_id")
@@ -114,7 +163,8 @@ def latest_per_hour(
     tie: str = "sensor_id",
 ) -> DataFrame:
     """Latest value per key and event-time hour; equal times go to the smallest `tie`, then
-    to the smallest value."""
+    to the smallest value. On a stream the hours are rows of the state store; with a
+    watermark on `time` those before it leave it (`update_stream` keeps what they became)."""
     newest = F.struct(F.col(time), -F.col(tie), -F.col("value"))
     return (
         placed.groupBy(F.window(time, "1 hour").alias("hour"), *keys)
@@ -185,6 +235,8 @@ def current_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFra
     return latest_per_key(changes, keys, "batch", []).drop("batch")
 
 
-def run_available(writer: DataStreamWriter) -> None:
-    """Process everything that has landed, then stop."""
-    writer.trigger(availableNow=True).start().awaitTermination()
+def run_available(writer: DataStreamWriter) -> StreamingQuery:
+    """Process everything that has landed, then stop; the query has the progress of each batch."""
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
