@@ -214,6 +214,17 @@ UNPIVOT averages ON "Average Trip Distance", "Average Total Amount", "Average Ti
   "Average Trip Duration (Minutes)"
 INTO NAME Metric VALUE "Metric Value 2" """
 
+ORACLES["q_measures_from_states"] = ORACLES["q_revenue_measures"]
+
+ORACLES["q_metric_table"] = f"""{_revenue([])}, wide AS (
+  SELECT *, {", ".join(f'(SELECT {_mean(column)} FROM star) AS "{name}"' for name, column in (
+    ("Average Trip Distance", "trip_distance"), ("Average Total Amount", "total_amount"),
+    ("Average Tip Amount", "tip_amount"),
+    ("Average Trip Duration (Minutes)", "trip_duration_minutes")))}
+  FROM revenue
+)
+UNPIVOT wide ON * INTO NAME Metric VALUE "Metric Value" """
+
 ORACLES["q_metric_switch"] = f"""{_revenue(['BoroughName'])}
 SELECT BoroughName, CASE BoroughName WHEN 'AFRICA' THEN "Total Revenue"
   WHEN 'ASIA' THEN "Average Daily Revenue" WHEN 'EUROPE' THEN "Average Monthly Revenue"
@@ -282,6 +293,11 @@ ORACLES["q_dim_borough"] = """
 SELECT CAST(row_number() OVER (ORDER BY r_name) AS INTEGER) AS BoroughID, r_name AS BoroughName
 FROM (SELECT DISTINCT r_name FROM region JOIN nation ON n_regionkey = r_regionkey)"""
 
+ORACLES["q_stable_keys"] = """
+SELECT CAST(row_number() OVER (ORDER BY n_nationkey % 2, n_name) AS INTEGER) AS ZoneID,
+  n_name AS Zone
+FROM nation JOIN region ON n_regionkey = r_regionkey"""
+
 ORACLES["q_hour_key"] = """
 SELECT CAST(h.range AS INTEGER) AS Value, count(event_id) AS events
 FROM range(24) h LEFT JOIN events ON hour(ts) = h.range GROUP BY 1"""
@@ -528,6 +544,34 @@ SELECT c_custkey AS location_id,
     || '"}' AS raw_json
 FROM customer, (VALUES (1), (-1)) AS v(s)"""
 
+ORACLES["q_quarantine"] = """
+WITH parts AS (
+  SELECT c_acctbal < 0 AS broken, c_mktsegment AS segment, '{"id":' || c_custkey || '}' AS record,
+    CASE WHEN c_mktsegment <> 'MACHINERY' THEN '"location_id":' || c_custkey || ',' ELSE '' END
+      AS key,
+    CASE WHEN c_mktsegment <> 'FURNITURE' THEN '{\\"results\\":[{\\"id\\":' || c_custkey || '}]}'
+      ELSE '{}' END AS body
+  FROM customer
+), texts AS (
+  SELECT *, '{' || key || '"body":"' || body || '"' || CASE WHEN broken THEN '' ELSE '}' END AS text
+  FROM parts
+)
+SELECT CASE WHEN segment NOT IN ('MACHINERY', 'FURNITURE')
+      THEN CASE WHEN broken THEN 'replayed' ELSE 'loaded' END
+    WHEN broken THEN 'not JSON'
+    WHEN segment = 'MACHINERY' THEN 'request key missing' ELSE 'no record list' END AS state,
+  CASE WHEN segment NOT IN ('MACHINERY', 'FURNITURE') THEN record ELSE text END AS text
+FROM texts"""
+
+ORACLES["q_keyed_bronze"] = """
+SELECT CAST(user_id % 25 AS INTEGER) AS location_id,
+  CAST(strftime(ts, '%Y%m%d%H') AS INTEGER) AS ingestion_hour, user_id AS sensor,
+  '{"datetime":{"utc":"' || CASE event_type WHEN 'purchase' THEN 'yesterday' ELSE t END
+    || '","local":"' || t || '"},"value":' || value || ',"sensorsId":' || user_id
+    || ',"locationsId":' || user_id % 25 || '}' AS raw_json
+FROM (SELECT *, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS t FROM events)
+QUALIFY row_number() OVER (PARTITION BY user_id, ingestion_hour ORDER BY raw_json) = 1"""
+
 ORACLES["q_json_root_list"] = """
 SELECT '{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}' AS raw_json
 FROM orders, (VALUES (1), (2)) AS v(s)"""
@@ -556,6 +600,29 @@ FROM (SELECT DISTINCT user_id FROM events),
   (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-12-30',
     INTERVAL 31 DAY)) AS w)"""
 
+ORACLES["q_backfill_gaps"] = """
+WITH days AS (SELECT DISTINCT user_id, date_trunc('day', ts) AS d FROM events),
+windows AS (
+  SELECT user_id, w, least(w + INTERVAL 31 DAY, TIMESTAMP '2024-04-01') AS until
+  FROM (SELECT DISTINCT user_id FROM events), (SELECT unnest(generate_series(
+    TIMESTAMP '2024-01-01', TIMESTAMP '2024-03-31', INTERVAL 31 DAY)) AS w)
+), free AS (
+  SELECT windows.*, day FROM windows, LATERAL (SELECT unnest(generate_series(
+    w, until - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS day) AS t
+  WHERE NOT EXISTS (SELECT 1 FROM days WHERE days.user_id = windows.user_id AND d = day)
+), runs AS (
+  SELECT *, date_diff('day', w, day)
+    - row_number() OVER (PARTITION BY user_id, w ORDER BY day) AS run
+  FROM free
+), gaps AS (
+  SELECT user_id AS sensor_id, CAST(min(day) AS TIMESTAMP) AS window_start,
+    CAST(max(day) AS TIMESTAMP) + INTERVAL 1 DAY AS window_end
+  FROM runs GROUP BY user_id, w, run
+)
+SELECT *, strftime(window_start, '%Y-%m-%dT%H:%M:%S+00:00') AS date_from,
+  strftime(window_end, '%Y-%m-%dT%H:%M:%S+00:00') AS date_to
+FROM gaps"""
+
 ORACLES["q_typed_cast"] = """
 SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS amount,
   CAST(NULL AS BIGINT) AS large, TRY_CAST(event_id * 1000000 AS INTEGER) AS wide, ts AS day

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cityflow import schemas
 from cityflow.functions.columns import ingestion_hour
 from cityflow.operators.dedupe import dedupe, first_unseen
-from cityflow.sources import files, loads, tables
+from cityflow.sources import files, loads, quarantine, tables
 
 YELLOW = "nyc_yellow_taxi_trips_raw"
 GREEN = "nyc_green_taxi_trips_raw"
@@ -25,6 +25,8 @@ HISTORY = "bronze_sensor_measurements_hourly_raw"
 LATEST = "bronze_sensor_measurements_latest_raw"
 WEATHER = "bronze_weather_nyc_raw"
 LOADS = "bronze_loads"
+LETTERS = "bronze_dead_letters"
+REPLAYED = "bronze_replayed_letters"
 
 _TRIP_TABLES = {
     "yellow": (YELLOW, schemas.RAW_YELLOW_TRIPS),
@@ -69,30 +71,47 @@ def load_reference_data(
     locations: str,
 ) -> None:
     """Full reload of zones, exchange rates, GDP records and location records. Zones
-    keep one row per LocationID, as later lookups would multiply rows otherwise."""
-    tables.replace(dedupe(files.scan_zones(spark, zones), ["LocationID"]), ZONES)
-    tables.replace(files.scan_exchange_rates(spark, exchange_rates), EXCHANGE_RATES)
+    keep one row per LocationID, as later lookups would multiply rows otherwise. CSV rows with
+    a field that does not fit are set aside."""
+    for path, columns, name, kind in (
+        (zones, schemas.ZONES, ZONES, "zones"),
+        (exchange_rates, schemas.EXCHANGE_RATES, EXCHANGE_RATES, "exchange rates"),
+    ):
+        landed = quarantine.Divided(quarantine.csv_rows(spark, path, columns), kind)
+        good = dedupe(landed.good, ["LocationID"]) if name == ZONES else landed.good
+        tables.replace(good, name)
+        landed.set_aside(LETTERS)
     gdp_docs = files.scan_documents(spark, gdp)
     tables.replace(files.record_rows(gdp_docs, files.records_of_element("body", 1)), GDP)
     docs = files.scan_documents(spark, locations)
     tables.replace(files.record_rows(docs, files.records_of_field("body")), LOCATIONS)
 
 
+def _landed(
+    spark: SparkSession, path: str, kind: str, keys: dict[str, str], field: str | None = "results"
+) -> quarantine.Divided:
+    """Landed responses in good and bad ones; `kind` names the feed."""
+    rows = quarantine.envelopes(quarantine.lines_of(spark, path), keys, field)
+    return quarantine.Divided(rows, kind)
+
+
 def load_geocodes(spark: SparkSession, path: str) -> None:
     """Append reverse-geocode responses of coordinates not stored yet."""
     tables.create_if_missing(spark, GEOCODES, schemas.RAW_GEOCODES)
-    landed = files.scan_envelopes(spark, path, {"lat": "double", "lon": "double"})
-    rows = landed.withColumnRenamed("body", "json_raw")
+    landed = _landed(spark, path, "geocodes", {"lat": "double", "lon": "double"}, None)
+    rows = landed.good.withColumnRenamed("body", "json_raw")
     tables.append_new(rows, GEOCODES, ["lat", "lon"])
+    landed.set_aside(LETTERS)
 
 
 def load_history(spark: SparkSession, path: str) -> None:
     """Append historical measurement responses, one row per record."""
     tables.create_if_missing(spark, HISTORY, schemas.RAW_MEASUREMENTS)
-    landed = files.scan_envelopes(spark, path, {"sensor_id": "int"})
+    landed = _landed(spark, path, "history", {"sensor_id": "int"})
     tables.append(
-        files.record_rows(landed, files.records_of_field("body"), ["sensor_id"]), HISTORY
+        files.record_rows(landed.good, files.records_of_field("body"), ["sensor_id"]), HISTORY
     )
+    landed.set_aside(LETTERS)
 
 
 def sensor_of(raw: str) -> Column:
@@ -126,7 +145,8 @@ def load_latest(
     """
     tables.create_if_missing(spark, LATEST, schemas.RAW_LATEST, ["ingestion_day"])
     hour = ingestion_hour(as_of)
-    incoming = latest_rows(files.scan_envelopes(spark, path, {"location_id": "int"}), as_of)
+    landed = _landed(spark, path, "latest", {"location_id": "int"})
+    incoming = latest_rows(landed.good, as_of)
     this_hour = tables.scan(spark, LATEST).where(
         (F.col("ingestion_day") == day_of(hour)) & (F.col("ingestion_hour") == hour)
     )
@@ -139,6 +159,7 @@ def load_latest(
     watch = loads.Watch(F.col("ingestion_hour"))
     new = first_unseen(watch.reading(incoming), this_hour, keys)
     watch.append(new, LATEST, LOADS, str(spark.range(1).select(hour).first()[0]))
+    landed.set_aside(LETTERS)
 
 
 def load_weather(spark: SparkSession, path: str, as_of: Column) -> None:

@@ -8,6 +8,7 @@ from cityflow import schemas
 from cityflow.functions import columns as c
 from cityflow.operators.dedupe import latest_per_key
 from cityflow.operators.joins import lookup, role_lookups
+from cityflow.operators.keys import unregistered
 from cityflow.plans import bronze, dims, silver
 from cityflow.sources import loads, tables
 
@@ -132,7 +133,12 @@ def recent_date_keys(as_of: Column, hours: int = 24) -> Column:
 
 
 def load_dims(spark: SparkSession, start: str, end: str) -> None:
-    tables.replace(dims.dim_borough(tables.scan(spark, bronze.ZONES)), DIM_BOROUGH)
+    """Add boroughs that have no number yet, as stored facts refer to those that have one;
+    write the calendar and the hours anew."""
+    tables.create_if_missing(spark, DIM_BOROUGH, schemas.DIM_BOROUGH)
+    names = tables.scan(spark, bronze.ZONES).select(F.col("Borough").alias("BoroughName"))
+    new = unregistered(names, tables.scan(spark, DIM_BOROUGH), "BoroughName", "BoroughID")
+    tables.append(new, DIM_BOROUGH)
     tables.replace(dims.dim_date(spark, start, end), DIM_DATE)
     tables.replace(dims.hour_dim(spark), HOUR_KEY)
 

@@ -93,11 +93,13 @@ Condition = Callable[[Column], Column] | Sequence
 
 @dataclass(frozen=True)
 class Star:
-    """One fact and its dimensions."""
+    """One fact and its dimensions. `stored`: the fact holds parts of measures (`partials`)
+    that were summed before, in place of its rows."""
 
     fact_name: str
     fact: DataFrame
     dims: Mapping[str, DataFrame]
+    stored: bool = False
 
     def keys(self, dim: str) -> tuple[str, str]:
         return RELATIONSHIPS[self.fact_name][dim]
@@ -132,7 +134,7 @@ def restrict(star: Star, where: Mapping[str, Condition]) -> Star:
         key, dim_key = star.keys(dim)
         kept = dims[dim].select(F.col(dim_key).alias("_kept"))
         fact = fact.join(kept, F.col(key) == F.col("_kept"), "left_semi")
-    return Star(star.fact_name, fact, dims)
+    return Star(star.fact_name, fact, dims, star.stored)
 
 
 def _attach(star: Star, df: DataFrame, refs: Iterable[str]) -> DataFrame:
@@ -180,7 +182,8 @@ def evaluate(
     # The fact is reduced on its own keys first; only that result meets the dimensions.
     refs = [*by, *overs]
     grain = dict.fromkeys(star.keys(d)[0] if d else col for d, col in map(_split, refs))
-    reduced = star.fact.groupBy(*grain).agg(*_partials(specs.values()))
+    parts = _combined if star.stored else partials
+    reduced = star.fact.groupBy(*grain).agg(*parts(specs.values()))
     placed = _attach(star, reduced, refs)
 
     values = (
@@ -206,7 +209,8 @@ def _states(specs: Iterable[Measure]) -> dict[str, tuple[str, str]]:
 _AGGREGATES = {"sum": F.sum, "count": F.count}
 
 
-def _partials(specs: Iterable[Measure]) -> list[Column]:
+def partials(specs: Iterable[Measure]) -> list[Column]:
+    """The parts as aggregates of fact rows; they add up over any division of the rows."""
     return [_AGGREGATES[how](col).alias(name) for name, (how, col) in _states(specs).items()]
 
 
@@ -257,6 +261,12 @@ def metric_table(spark: SparkSession, metrics: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(m,) for m in metrics], "Metric string")
 
 
+def sliced_metrics(chosen: DataFrame, values: DataFrame, value: str = "Metric Value") -> DataFrame:
+    """The rows of a metric table with the value of each metric, blank ones too: what a report
+    shows for a selection of its slicer."""
+    return chosen.join(values.select("Metric", value), "Metric", "left")
+
+
 def metric_value(
     star: Star,
     metrics: Sequence[str] = METRICS,

@@ -9,7 +9,7 @@ from cityflow.functions import columns as c, parse
 from cityflow.operators.dedupe import dedupe, first_unseen
 from cityflow.operators.joins import attach_geocodes
 from cityflow.plans import bronze
-from cityflow.sources import loads, tables
+from cityflow.sources import loads, quarantine, tables
 
 TRIPS = "silver_taxi_trips"
 LOCATIONS = "silver_openaq_locations"
@@ -221,7 +221,22 @@ def load_trips(spark: SparkSession) -> None:
     tables.append(spark.createDataFrame([(name,) for name in pending], known.schema), REFINED_FILES)
 
 
+def location_letters(parsed: DataFrame) -> DataFrame:
+    """Documents that cannot be used, as rows of the table of letters."""
+    return parsed.where("reject_reason IS NOT NULL").select(
+        F.lit(bronze.LOCATIONS).alias("source"),
+        F.col("reject_reason").alias("reason"),
+        F.col("raw_json").alias("text"),
+        F.lit("locations").alias("kind"),
+    )
+
+
 def load_locations(spark: SparkSession, strict: bool = False) -> None:
+    """Append new locations and sensors of the city; documents that cannot be used are set
+    aside once each."""
+    raw = parsed_locations(tables.scan(spark, bronze.LOCATIONS))
+    tables.create_if_missing(spark, bronze.LETTERS, quarantine.LETTERS)
+    tables.append_new(location_letters(raw), bronze.LETTERS, ["source", "text", "kind"])
     tables.create_if_missing(spark, LOCATIONS, schemas.LOCATIONS)
     tables.create_if_missing(spark, SENSORS, schemas.SENSORS)
     documents = city_documents(

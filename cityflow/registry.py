@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cityflow import bindings as b, schemas
 from cityflow.functions import columns as c, parse
 from cityflow.operators import dedupe as keep, joins
-from cityflow.plans import bronze, dims, gold, model, silver
+from cityflow.operators.keys import unregistered
+from cityflow.plans import bronze, dims, gold, model, silver, states
 from cityflow.session import configure, shared_folder
-from cityflow.sources import files, loads, requests, tables
+from cityflow.sources import files, loads, quarantine, requests, tables
 from cityflow.streaming import feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,6 +196,32 @@ def q_metric_selector_2(spark, sf_dir):
     )
 
 
+@query
+def q_metric_table(spark, sf_dir):
+    """Every metric of the slicer's table with its value over all trips."""
+    star = _star(spark, sf_dir)
+    chosen = model.metric_table(spark, model.METRICS + model.METRICS_2)
+    both = model.metric_value(star, model.METRICS + model.METRICS_2)
+    return model.sliced_metrics(chosen, both)
+
+
+@query
+def q_measures_from_states(spark, sf_dir):
+    """The revenue measures by borough and year out of stored states, after two loads of
+    trips, each of which renews its own days only."""
+    fact = _new_table(spark, schemas.FACT_TAXI, ["PickupDateKey"])
+    ledger, done = _new_table(spark, loads.RECORD), _new_table(spark, loads.DONE)
+    stored = f"{fact}_states"
+    whole = _star(spark, sf_dir)
+    for load_id, early in (("until 1997", True), ("after 1997", False)):
+        rows = whole.fact.where((F.col("PickupDateKey") < 19980101) == early)
+        watch = loads.Watch(F.col("PickupDateKey"))
+        watch.append(watch.reading(rows), fact, ledger, load_id, ["PickupDateKey"])
+        states.load_states(spark, fact, stored, ledger, fact, done)
+    out = model.evaluate(states.star(spark, whole.dims, stored), model.METRICS, BY_BOROUGH_YEAR)
+    return _doubles(out, *model.METRICS)
+
+
 @query
 def q_metric_switch(spark, sf_dir):
     """One selected metric per borough, chosen by a value; an unknown choice is blank."""
@@ -287,6 +314,18 @@ def q_dim_borough(spark, sf_dir):
     return dims.dim_borough(b.zones(spark, sf_dir))
 
 
+@query
+def q_stable_keys(spark, sf_dir):
+    """Numbers of zone names from two loads, nations of even number first: those given by the
+    first stay when the second adds names between them."""
+    registry = _new_table(spark, {"ZoneID": "int", "Zone": "string"})
+    zones = b.zones(spark, sf_dir)
+    for arrived in (zones.where(F.col("LocationID") % 2 == 0), zones, zones):
+        new = unregistered(arrived, tables.scan(spark, registry), "Zone", "ZoneID")
+        tables.append(new, registry)
+    return tables.scan(spark, registry)
+
+
 @query
 def q_hour_key(spark, sf_dir):
     """Every hour of the day with its number of events, hours without any included."""
@@ -693,6 +732,71 @@ def q_json_records(spark, sf_dir):
     return files.record_rows(landed, files.records_of_field("body"), ["location_id"])
 
 
+def _envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One response per customer. Indebted ones lack the closing brace, the machinery segment
+    the request key, furniture the record list."""
+    segment = F.col("c_mktsegment")
+    results = F.array(F.struct(F.col("c_custkey").alias("id")))
+    body = F.to_json(F.struct(F.when(segment != "FURNITURE", results).alias("results")))
+    key = F.when(segment != "MACHINERY", F.col("c_custkey")).alias("location_id")
+    text = F.to_json(F.struct(key, body.alias("body")))
+    whole = F.col("c_acctbal") >= 0
+    return b.table(spark, sf_dir, "customer").select(
+        F.when(whole, text).otherwise(F.regexp_replace(text, r"\}$", "")).alias("value")
+    )
+
+
+@query
+def q_quarantine(spark, sf_dir):
+    """Landed responses as they end: loaded at once, loaded by the replay that closes braces,
+    or still set aside with reason and text."""
+    raw = _new_table(spark, {"location_id": "bigint", "raw_json": "string", "state": "string"})
+    letters, replayed = _new_table(spark, quarantine.LETTERS), _new_table(spark, quarantine.REPLAYED)
+    folder = _written_text(_envelopes(spark, sf_dir), "responses")
+
+    def read(lines):
+        return quarantine.envelopes(lines, {"location_id": "bigint"}, "results")
+
+    def store(state):
+        def append(good):
+            rows = files.record_rows(good, files.records_of_field("body"), ["location_id"])
+            tables.append_new(rows.withColumn("state", F.lit(state)), raw, ["location_id"])
+
+        return append
+
+    for _ in range(2):
+        landed = quarantine.Divided(read(quarantine.lines_of(spark, folder)), "responses")
+        store("loaded")(landed.good)
+        landed.set_aside(letters)
+        closing = lambda text: F.concat(text, F.lit("}"))
+        quarantine.replay(
+            spark, letters, replayed, "responses", closing, read, store("replayed")
+        )
+    open_letters = quarantine.waiting(spark, letters, replayed, "responses")
+    return (
+        tables.scan(spark, raw)
+        .select("state", F.col("raw_json").alias("text"))
+        .unionByName(open_letters.select(F.col("reason").alias("state"), "text"))
+    )
+
+
+@query
+def q_keyed_bronze(spark, sf_dir):
+    """Latest-feed rows by location, hour and sensor: an hour that is landed again, and one
+    that lands late, add what is new only."""
+    columns = {**schemas.RAW_LATEST, "sensor": "bigint"}
+    target = _new_table(spark, columns, ["ingestion_day"])
+    hour = F.col("ingestion_hour")
+    rows = b.raw_latest(spark, sf_dir).withColumns(
+        {"ingestion_day": bronze.day_of(hour), "sensor": bronze.sensor_of("raw_json")}
+    )
+    keys = ["location_id", "ingestion_hour", "sensor"]
+    even = hour % 2 == 0
+    for landed in (rows.where(even), rows, rows.where(even)):
+        tables.append_new(landed, target, keys, spread_by=["ingestion_day"])
+    return tables.scan(spark, target).select(*keys, "raw_json")
+
+
 @query
 def q_json_root_list(spark, sf_dir):
     """The second element of a root array is the record list."""
@@ -735,6 +839,23 @@ def q_backfill_plan(spark, sf_dir):
     return requests.backfill_windows(sensors, datetime(2024, 1, 1), datetime(2024, 12, 31))
 
 
+@query
+def q_backfill_gaps(spark, sf_dir):
+    """What of the 31-day windows of the first quarter is not covered by the days on which a
+    user has events."""
+    events = b.table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("sensor_id"), F.date_trunc("day", F.col("ts").cast("timestamp")).alias("day")
+    )
+    sensors = keep.distinct_keys(events, ["sensor_id"])
+    planned = requests.backfill_windows(sensors, datetime(2024, 1, 1), datetime(2024, 4, 1))
+    spans = events.select(
+        "sensor_id",
+        F.col("day").alias("span_start"),
+        (F.col("day") + F.expr("INTERVAL 1 DAY")).alias("span_end"),
+    )
+    return requests.remaining_windows(planned, spans)
+
+
 @query
 def q_typed_cast(spark, sf_dir):
     """Tolerant conversion: what does not fit becomes null, a boolean is no number."""

@@ -84,7 +84,9 @@ def conform(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 # --- CSV ---
 
 
-def scan_csv(spark: SparkSession, path: str, columns: Mapping[str, str]) -> DataFrame:
+def scan_csv(
+    spark: SparkSession, path: str, columns: Mapping[str, str], prune: bool = True
+) -> DataFrame:
     """Comma-separated text with a header line and a fixed column list. A line break
     always ends the row, so large files stay splittable."""
     return (
@@ -96,6 +98,7 @@ def scan_csv(spark: SparkSession, path: str, columns: Mapping[str, str]) -> Data
         .option("multiLine", "false")
         .option("mode", "PERMISSIVE")
         .option("dateFormat", "yyyy[-MM[-dd]]")
+        .option("columnPruning", str(prune).lower())
         .csv(path)
     )
 

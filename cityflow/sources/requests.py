@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cityflow.functions.columns import iso_utc
 from cityflow.operators import positions
@@ -38,6 +38,50 @@ def backfill_windows(
     )
 
 
+def remaining_windows(
+    planned: DataFrame, stored: DataFrame, key: str = "sensor_id"
+) -> DataFrame:
+    """What is left of planned windows when the spans already stored are taken away.
+
+    `planned` has `window_start` and `window_end`, `stored` has `span_start` and `span_end`,
+    both half-open and by `key`; spans may overlap, touch, repeat or reach over windows. A
+    window keeps its gaps, in one row each, and none if it is covered.
+
+    Spans meet the windows of their key in an equi-join, are clipped, and of those with one
+    beginning only the longest stays before they are sorted within their window, so a task
+    never holds more than the different beginnings of one window.
+    """
+    windows = planned.select(key, "window_start", "window_end").distinct()
+    spans = stored.select(key, "span_start", "span_end").where("span_start < span_end")
+    spans = spans.groupBy(key, "span_start").agg(F.max("span_end").alias("span_end"))
+    clipped = windows.join(spans, key).where(
+        "span_start < window_end AND span_end > window_start"
+    ).select(
+        key,
+        "window_start",
+        "window_end",
+        F.greatest("span_start", "window_start").alias("begin"),
+        F.least("span_end", "window_end").alias("end"),
+    )
+    # a mark at the end of each window closes its last gap
+    marks = windows.select(
+        "*", F.col("window_end").alias("begin"), F.col("window_end").alias("end")
+    )
+    points = clipped.unionByName(marks).groupBy(key, "window_start", "window_end", "begin").agg(
+        F.max("end").alias("end")
+    )
+    before = Window.partitionBy(key, "window_start", "window_end").orderBy("begin")
+    covered = F.max("end").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    gaps = points.select(
+        key,
+        F.coalesce(covered, "window_start").alias("window_start"),
+        F.col("begin").alias("window_end"),
+    )
+    return gaps.where("window_start < window_end").withColumns(
+        {"date_from": iso_utc("window_start"), "date_to": iso_utc("window_end")}
+    )
+
+
 def within_box(
     df: DataFrame, lon: str, lat: str, box: tuple[float, float, float, float]
 ) -> DataFrame:
