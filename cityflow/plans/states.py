@@ -1,15 +1,16 @@
 """Measures from stored states: additive parts of the trip fact by date and borough.
 
 The parts of one date and borough, sums and counts, merge by addition into those of any
-slice, so reports read these few rows and never the fact. Only dates that new loads of trips
-have touched are computed again.
+slice, so reports read these few rows and never the fact. They are stored by month, since
+a date has only a handful of them, and only months that new loads of trips have touched are
+computed again, from the dates of the fact in them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cityflow.plans import gold, model, silver
 from cityflow.sources import loads, tables
@@ -17,6 +18,12 @@ from cityflow.sources import loads, tables
 STATES = "FactTaxiStates"
 APPLIED = "gold_applied_state_loads"
 GRAIN = ("PickupDateKey", "PUBoroughID")
+MONTH = "month"
+
+
+def month_of(date_key: Column) -> Column:
+    """YYYYMM of a date key, 0 for none."""
+    return F.coalesce(F.floor(date_key / 100).cast("int"), F.lit(loads.NO_PART))
 
 
 def states_of(fact: DataFrame, measures: Mapping[str, model.Measure] = model.MEASURES) -> DataFrame:
@@ -32,18 +39,18 @@ def load_states(
     source: str = silver.TRIPS,
     done: str = APPLIED,
 ) -> None:
-    """Renew the states of dates that loads have touched since the last run, from those
-    partitions of the fact; run it after `gold.load_fact_taxi`. A failure before the loads are
-    marked makes the next run write the same states again."""
+    """Renew the states of the months that loads have touched since the last run; run it
+    after `gold.load_fact_taxi`. Other months of the fact are not read. A failure before the
+    loads are marked makes the next run write the same states again."""
+    month = month_of(F.col(GRAIN[0]))
     rows = tables.scan(spark, fact)
-    empty = states_of(rows)
-    columns = {f.name: f.dataType.simpleString() for f in empty.schema.fields}
-    ordered = {n: columns[n] for n in [*(c for c in columns if c != GRAIN[0]), GRAIN[0]]}
-    tables.create_if_missing(spark, states, ordered, [GRAIN[0]])
+    kinds = {f.name: f.dataType.simpleString() for f in states_of(rows).schema.fields}
+    tables.create_if_missing(spark, states, {**kinds, MONTH: "int"}, [MONTH])
     records = loads.pending(spark, ledger, source, done)
     if records:
-        touched = loads.in_parts(F.col(GRAIN[0]), loads.parts_of(records))
-        tables.replace_partitions(states_of(rows.where(touched)), states, [GRAIN[0]])
+        months = sorted({part // 100 for part in loads.parts_of(records)})
+        fresh = states_of(rows.where(month.isin(months))).withColumn(MONTH, month)
+        tables.replace_partitions(fresh, states, [MONTH])
         loads.mark_done(spark, records, done)
 
 

@@ -208,15 +208,15 @@ def q_metric_table(spark, sf_dir):
 @query
 def q_measures_from_states(spark, sf_dir):
     """The revenue measures by borough and year out of stored states, after two loads of
-    trips, each of which renews its own days only."""
-    fact = _new_table(spark, schemas.FACT_TAXI, ["PickupDateKey"])
+    trips, each of which renews its own months only."""
+    fact = _new_table(spark, schemas.FACT_TAXI)
     ledger, done = _new_table(spark, loads.RECORD), _new_table(spark, loads.DONE)
     stored = f"{fact}_states"
     whole = _star(spark, sf_dir)
     for load_id, early in (("until 1997", True), ("after 1997", False)):
         rows = whole.fact.where((F.col("PickupDateKey") < 19980101) == early)
         watch = loads.Watch(F.col("PickupDateKey"))
-        watch.append(watch.reading(rows), fact, ledger, load_id, ["PickupDateKey"])
+        watch.append(watch.reading(rows), fact, ledger, load_id)
         states.load_states(spark, fact, stored, ledger, fact, done)
     out = model.evaluate(states.star(spark, whole.dims, stored), model.METRICS, BY_BOROUGH_YEAR)
     return _doubles(out, *model.METRICS)

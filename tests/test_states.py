@@ -120,11 +120,11 @@ def spoil(spark, name, keep=()):
             Path(path.removeprefix("file:").replace("///", "/")).write_bytes(b"not parquet")
 
 
-def test_measures_and_renewal_read_no_closed_date_of_the_fact(spark, loaded):
-    loaded([(20240101, 1, 5.0), (20240102, 1, 7.0)], "a")
+def test_measures_and_renewal_read_no_closed_month_of_the_fact(spark, loaded):
+    loaded([(20240101, 1, 5.0), (20240202, 1, 7.0)], "a")
     renew(spark)
-    loaded([(20240102, 2, 1.0), (20240103, 1, 2.0)], "b")
-    spoil(spark, "fact", ["PickupDateKey=20240102", "PickupDateKey=20240103"])
+    loaded([(20240202, 2, 1.0), (20240203, 1, 2.0)], "b")
+    spoil(spark, "fact", ["PickupDateKey=202402"])
     renew(spark)
     spoil(spark, "fact")
     total = answers(spark, True)[0][0][0]
