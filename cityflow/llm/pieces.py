@@ -99,6 +99,19 @@ def stands_alone(words: list[str]) -> np.ndarray:
     return ~unsafe.to_numpy(zero_copy_only=False)
 
 
+# Visible or blank characters in a row from which on tiktoken, whose time grows with the
+# square of a run, is not used.
+LONG_RUN = 2_000
+
+
+def long_runs(text: str) -> bool:
+    if len(text) < LONG_RUN:
+        return False
+    sizes = list(map(len, text.split()))
+    blank = len(text) - sum(sizes)
+    return max(sizes, default=0) >= LONG_RUN or blank >= len(sizes) + LONG_RUN
+
+
 # Where a byte-level tokenizer parts words before merging. Fixed value.
 _WORDS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -117,7 +130,7 @@ class ByteLevel:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.tokenizer.encode_special_tokens = plain
-        self._ranked = None
+        self._ranked = False
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.cuts = (
             self.tokenizer.normalizer is None
@@ -140,17 +153,27 @@ class ByteLevel:
         return self.counts(list(map(full, pieces)))
 
     def joined(self, texts: list[str]) -> list[list[int]]:
-        """As `whole`, by the faster merging of tiktoken where its rule, lowest id first, is
-        that of the file: ids of merged entries in the order of the merges."""
-        if self._ranked is None:
-            self._ranked = self._by_rank() or self.whole
-        return self._ranked(texts)
+        """As `whole`, by the faster merging of tiktoken where that is the file's rule; strings
+        of special tokens are plain text."""
+        if (fast := self.ranked()) is None:
+            return self.whole(texts)
+        return [
+            self.whole([t])[0] if long_runs(t) else fast.encode_ordinary(t) for t in texts
+        ]
+
+    def ranked(self):
+        """The vocabulary in tiktoken, which merges the pair of the lowest id first, if that is
+        the order of the file's merges and nothing else bears on them; else None."""
+        if self._ranked is False:
+            self._ranked = self._by_rank()
+        return self._ranked
 
     def _by_rank(self):
         model = json.loads(self.tokenizer.to_str())["model"]
         if not self.cuts or model["type"] != "BPE" or model.get("ignore_merges"):
             return None
-        merged = [model["vocab"]["".join(m)] for m in model["merges"]]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        merged = [model["vocab"]["".join(m)] for m in pairs]
         entries = self.token_bytes()
         single = {i for i, x in enumerate(entries) if len(x) == 1}
         if merged != sorted(merged) or len(merged) + len(single) < sum(map(bool, entries)):
@@ -158,10 +181,7 @@ class ByteLevel:
         import tiktoken
 
         ranks = {x: i for i, x in enumerate(entries) if x}
-        encoding = tiktoken.Encoding(
-            "ranks", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={}
-        )
-        return lambda texts: list(map(encoding.encode_ordinary, texts))
+        return tiktoken.Encoding("ranks", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={})
 
     def token_bytes(self) -> list[bytes]:
         """What each id stands for: the entry's characters by the byte-level alphabet, in

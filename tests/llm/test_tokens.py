@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from cityflow.llm import packing, token_files, tokens
+from cityflow.llm import packing, pieces, token_files, tokens
 from cityflow.llm.queries import QUERIES
 from tests.llm.conftest import ODD, SF
 
@@ -36,13 +36,29 @@ def test_ids_of_any_text(library, text):
     assert np.frombuffer(got, "<u4").tolist() == library(text)
 
 
-def test_full_memory_forgets(library, monkeypatch):
-    monkeypatch.setattr(tokens, "PIECES_KEPT", 3)
-    texts = ["a b c", "d e f g h", "a b", "h g"]
-    got = tokens.Encoder(tokens.default_tokenizer()).encode(texts)
+def test_long_runs_go_to_the_library(library, monkeypatch):
+    """Nothing is remembered any more; what depends on the text is which of two mergers runs."""
+    monkeypatch.setattr(pieces, "LONG_RUN", 12)
+    texts = [
+        "a" * 40, "ab " * 40, "x" + " " * 30 + "y", "é" * 12, "a" * 11, "abc\n" * 9, "王" * 50 + " 先生",
+        "a <|endoftext|> b " * 3, "\t" * 13, "no 1234567890123 yes",
+    ]
+    assert [pieces.long_runs(t) for t in texts[:5]] == [True, False, True, True, False]
+    encoder = tokens.Encoder(tokens.default_tokenizer())
+    assert encoder.library.ranked() is not None
+    got = encoder.encode(texts)
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [library(t) for t in texts]
 
 
+def test_other_files_go_to_the_library():
+    import public_tokenizers
+
+    encoder = tokens.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert encoder.library.ranked() is None
+    want = encoder.library.tokenizer.encode("Hello  there", add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode(["Hello  there"])[0], "<u4").tolist() == want
+
+
 @given(st.lists(st.integers(0, 2**32 - 1)))
 def test_blocks_round_trip(values):
     values = np.array(values, np.uint32)
