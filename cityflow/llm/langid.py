@@ -16,11 +16,12 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cityflow.llm.common import broadcast_small, map_batches
+from cityflow.llm.common import broadcast_small, map_batches, saved
 
 FEATURES = 2048
 # Labelled documents used for fitting: of each language, those with the smallest id hashes.
 ROWS_PER_LANGUAGE = 1_500
+TRAIN_ROWS = 9_000
 SALTS = 64
 STEPS, PENALTY = 150, 1e-4
 UNKNOWN = "und"
@@ -107,22 +108,35 @@ def fit(
     docs: DataFrame, label: str = "lang", id_col: str = "doc_id", text_col: str = "text"
 ) -> Model:
     """Fit on the rows with a label and a letter in the text, ROWS_PER_LANGUAGE of each at
-    most. No such row: everything is unknown. One language: it is always predicted."""
+    most and TRAIN_ROWS in all, which many labels share; of more labels than that the most
+    frequent are learned. Rows that share id and label count as one, with the smallest text.
+    No such row: everything is unknown. One language: it is always predicted."""
     known = docs.where(F.col(label).isNotNull() & F.col(id_col).isNotNull())
+    labelled = known.select(F.col(id_col).alias("id"), F.col(label).alias("label"))
+    often = labelled.groupBy("label").count().orderBy(F.desc("count"), "label")
+    often = saved(often.select("label").limit(TRAIN_ROWS), "op9-labels")
+    each = max(1, min(ROWS_PER_LANGUAGE, TRAIN_ROWS // max(1, often.count())))
     # a language may hold most rows, so each is cut down in SALTS parts before it meets
-    first = [F.xxhash64(id_col), F.col(id_col)]
-    salted = Window.partitionBy(label, F.pmod(F.xxhash64(id_col), F.lit(SALTS))).orderBy(*first)
-    whole = Window.partitionBy(label).orderBy(*first)
+    first = [F.xxhash64("id"), F.col("id")]
+    salted = Window.partitionBy("label", F.pmod(F.xxhash64("id"), F.lit(SALTS))).orderBy(*first)
+    whole = Window.partitionBy("label").orderBy(*first)
     chosen = (
-        known.select(id_col, label)
+        labelled.join(often, "label", "left_semi")
+        .distinct()
         .withColumn("n", F.row_number().over(salted))
-        .where(F.col("n") <= ROWS_PER_LANGUAGE)
+        .where(F.col("n") <= each)
         .withColumn("n", F.row_number().over(whole))
-        .where(F.col("n") <= ROWS_PER_LANGUAGE)
-        .select(F.col(id_col).alias("id"), F.col(label).alias("label"))
+        .where(F.col("n") <= each)
+        .select("id", "label")
+    )
+    texts = known.select(
+        F.col(id_col).alias("id"), F.col(label).alias("label"), F.col(text_col).alias("text")
+    ).where("text IS NOT NULL")
+    picked = (
+        texts.join(broadcast_small(chosen, "op9-chosen"), ["id", "label"])
+        .groupBy("id", "label")
+        .agg(F.min("text").alias("text"))
     )
-    texts = known.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    picked = texts.join(broadcast_small(chosen, "op9-chosen"), "id").where("text IS NOT NULL")
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:

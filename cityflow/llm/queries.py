@@ -164,7 +164,8 @@ best AS (
 )
 SELECT page_id, host, path, rule,
   CASE WHEN rule IS NOT NULL THEN verdict
-    WHEN regexp_matches(host || path, '(^|[^A-Za-z0-9])(?i:{_WORDS})([^A-Za-z0-9]|$)')
+    WHEN regexp_matches(translate(host || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '(^|[^a-z0-9])({_WORDS})([^a-z0-9]|$)')
       THEN 'block'
     ELSE 'allow' END AS verdict
 FROM parts LEFT JOIN best USING (page_id)

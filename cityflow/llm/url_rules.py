@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import cache
+from string import ascii_lowercase, ascii_uppercase
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,6 +28,9 @@ BLOCKED_WORDS = (
 ).split()
 
 
+_FOLD = str.maketrans(ascii_uppercase, ascii_lowercase)
+
+
 @dataclass(frozen=True)
 class Rule:
     """`pattern` is searched in host + path; `tokens` are literals that every match contains
@@ -41,7 +46,7 @@ class Rule:
 def host_rule(host: str, path: str, verdict: str) -> Rule:
     """Fits the host and its subdomains if the path begins with `path`."""
     literal = f"{host}{path}"
-    whole = TOKEN.findall(literal.lower())
+    whole = TOKEN.findall(literal.translate(_FOLD))
     if literal and literal[-1].isalnum():
         whole = whole[:-1]  # may continue in the url
     return Rule(
@@ -51,18 +56,24 @@ def host_rule(host: str, path: str, verdict: str) -> Rule:
 
 
 def word_rule(word: str) -> Rule:
-    return Rule(word, "block", rf"(?:^|[^A-Za-z0-9])(?i:{re.escape(word)})(?:[^A-Za-z0-9]|$)", (word,))
+    """Contains the word between characters that are no ASCII letter or digit. Only A-Z and
+    a-z are the same; other letters, such as the long s or the Kelvin sign, stand for
+    themselves and end a word."""
+    pattern = rf"(?:^|[^A-Za-z0-9])(?ai:{re.escape(word)})(?:[^A-Za-z0-9]|$)"
+    return Rule(word, "block", pattern, (word.translate(_FOLD),))
 
 
 WORD_RULES = tuple(map(word_rule, BLOCKED_WORDS))
 
 
+def _lower(text: Column) -> Column:
+    return F.translate(text, ascii_uppercase, ascii_lowercase)
+
+
 def host_of(url: Column) -> Column:
     """After the first `://` up to `/`, `?`, `#` or the end, A-Z lower-cased; else empty."""
     found = F.regexp_extract(_rest(url), "^([^/?#]*)", 1)
-    return F.coalesce(
-        F.translate(found, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit("")
-    )
+    return F.coalesce(_lower(found), F.lit(""))
 
 
 def path_of(url: Column) -> Column:
@@ -76,7 +87,7 @@ def _rest(url: Column) -> Column:
 
 
 def _tokens(where: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(where), F.lit("[a-z0-9]+"), F.lit(0)))
+    return F.array_distinct(F.regexp_extract_all(_lower(where), F.lit("[a-z0-9]+"), F.lit(0)))
 
 
 def judge(urls: DataFrame, rules: list[Rule], url_col: str = "url") -> DataFrame:
@@ -117,6 +128,12 @@ def judge(urls: DataFrame, rules: list[Rule], url_col: str = "url") -> DataFrame
     )
 
 
+@cache
+def _compiled(pattern: str) -> re.Pattern:
+    """Once in each worker; as many as there are rules."""
+    return re.compile(pattern)
+
+
 def _matcher(index: dict[str | None, list[Rule]]):
     kind = T.StructType(
         [T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType())]
@@ -130,7 +147,7 @@ def _matcher(index: dict[str | None, list[Rule]]):
                 r
                 for token in (None, *own)
                 for r in index.get(token, ())
-                if re.search(r.pattern, text)
+                if _compiled(r.pattern).search(text)
             ]
             ranked = min((r for r in hits if r.rank), key=lambda r: (-r.rank, r.name), default=None)
             rules.append(ranked.name if ranked else None)

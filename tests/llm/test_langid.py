@@ -39,3 +39,20 @@ def test_poor_labels(spark, docs):
     one = spark.createDataFrame([(1, "a b", "xx"), (1, "a b", "xx")], none.schema)
     got = langid.predict(docs([(1, "words"), (2, None)]), langid.fit(one)).collect()
     assert sorted((r.doc_id, r.lang_pred) for r in got) == [(1, "xx"), (2, "und")]
+
+
+def test_training_rows_are_bounded(spark, monkeypatch):
+    """Repeated ids count once, and many labels share what one may have in all."""
+    seen = []
+    features = langid.features
+    monkeypatch.setattr(langid, "svm", lambda x, y: seen.append(len(y)) or features("a b"))
+    rows = [(1, f"word {k}", "xx") for k in range(50)] + [(k, f"word {k}", "yy") for k in range(2, 7)]
+    schema = "doc_id bigint, text string, lang string"
+    langid.fit(spark.createDataFrame(rows, schema))
+    assert max(seen) == 6
+    monkeypatch.setattr(langid, "TRAIN_ROWS", 8)
+    seen.clear()
+    rows = [(k, f"word {k}", f"l{k % 4}") for k in range(100)] + [(200 + k, "x", f"n{k:02d}") for k in range(20)]
+    model = langid.fit(spark.createDataFrame(rows, schema))
+    assert max(seen) == 8 and len(model.languages) == 8
+    assert {"l0", "l1", "l2", "l3"} <= {x for own in model.languages.values() for x in own}

@@ -23,6 +23,9 @@ CASES = [
     ("x://a.org/casinos", "a.org", "/casinos", None, "allow"),
     ("x://h?://com/", "h", "", None, "allow"),
     ("x://ÀB.net/é\n/login", "Àb.net", "/é\n/login", None, "block"),
+    ("x://a.org/ad\u017f/", "a.org", "/ad\u017f/", None, "allow"),
+    ("x://a.org/\u212aads/x", "a.org", "/\u212aads/x", None, "block"),
+    ("x://a.org/CaSiNo\u017f", "a.org", "/CaSiNo\u017f", None, "block"),
     ("com/en/", "", "", None, "allow"), ("", "", "", None, "allow"), (None, "", "", None, "allow"),
     ("http://x.com/" + "a/" * 50_000, "x.com", "/" + "a/" * 50_000, "com/", "allow"),
 ]
