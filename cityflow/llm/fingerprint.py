@@ -13,8 +13,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
-from itertools import repeat
+from collections.abc import Iterable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -102,23 +102,46 @@ class Sampler:
     def signature(self, text: str) -> np.ndarray:
         """SAMPLES hashes of 16 bits (term and step); the same value for all empty texts."""
         counts = terms(text)
-        words, weights = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+        words = list(counts)
+        blocks = ((low, self._rows(words[low : low + BLOCK])) for low in range(0, len(words), BLOCK))
+        return self._sampled(counts, blocks)
+
+    def signatures(self, text: str, other: str) -> list[np.ndarray]:
+        """The signatures of two texts with many words in common, whose variables are gathered
+        once."""
+        both = [terms(text), terms(other)]
+        words = list(dict.fromkeys(chain(*both)))
+        if len(words) > BLOCK:
+            return [self.signature(text), self.signature(other)]
+        rows = self._rows(words)
+        place = dict(zip(words, rows.tolist()))
+        return [
+            self._sampled(c, [(0, np.fromiter(map(place.get, c), np.int64, len(c)))] if c else [])
+            for c in both
+        ]
+
+    def _sampled(
+        self, counts: Counter[str], blocks: Iterable[tuple[int, np.ndarray]]
+    ) -> np.ndarray:
+        """The samples of terms whose rows come in blocks, each with the number of its first."""
+        weights = np.fromiter(counts.values(), np.int64, len(counts))
         least = np.full(SAMPLES, np.inf, np.float32)
         chosen, draws = np.zeros(SAMPLES, np.uint64), np.arange(SAMPLES)
-        for low in range(0, len(words), BLOCK):
-            rows = self._rows(words[low : low + BLOCK])
+        for low, rows in blocks:
             value = self.once[rows]
-            step = np.zeros(value.shape, np.int64)
-            more = np.flatnonzero(weights[low : low + BLOCK] > 1)
+            more = np.flatnonzero(weights[low : low + len(rows)] > 1)
+            t = np.zeros((0, SAMPLES))
             if len(more):
                 own, log_w = rows[more], np.log(weights[low + more])[:, None]
                 t = np.floor(log_w / self.r[own] + self.beta[own])
-                step[more] = t
                 value[more] = self.log_c[own] - self.r[own] * (t - self.beta[own]) - self.r[own]
             best = value.argmin(0)
             less = value[best, draws] < least
             least[less] = value[best, draws][less]
-            steps = mix(step[best, draws].view(np.uint64) + np.uint64(1))
+            # the step of a term of weight 1 is 0
+            steps, repeated = np.zeros(SAMPLES, np.int64), np.isin(best, more)
+            steps[repeated] = t[np.searchsorted(more, best[repeated]), draws[repeated]]
+            steps = mix(steps.view(np.uint64) + np.uint64(1))
             chosen[less] = mix(self.hashes[rows[best]] ^ steps)[less]
         return (chosen >> np.uint64(48)).astype(np.uint16)
 
@@ -205,29 +228,43 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each row with the next one of its range; the last row of a range meets the first row
-    after it, marked `after`, of which only the first of several counts."""
-    sample, last, out = sampler(), None, []
-
-    def row(own, following, signature, next_signature):
-        new = edited(own[1], following)
-        changed = sample.signature(new)
-        return (
-            own[0], len(own[1]),
-            hashlib.sha256(new.encode("utf-8", "replace")).hexdigest(),
-            signature.astype(">u2").tobytes().hex(), changed.astype(">u2").tobytes().hex(),
-            likeness(signature, changed), likeness(signature, next_signature),
-        )
+    after it, marked `after`, of which only the first of several counts. A row is signed
+    together with its edited text, and given out when the next one is signed."""
+    sample, out = sampler(), []
+    signed = None  # all of the row before the last but its likeness to the last
+    last = None  # range, id and text of the last row
+
+    def give(signature: np.ndarray) -> None:
+        fields, own = signed
+        out.append((*fields, likeness(own, signature)))
 
     for batch in batches:
         columns = [batch.column(n).to_pylist() for n in ("id", "text", "at", "after")]
         for doc, text, at, after in zip(*columns):
-            signature = sample.signature(text)
-            if last is not None and last[0] == at:
-                out.append(row(last[1], text, last[2], signature))
-            last = None if after else (at, (doc, text), signature)
+            if last is None or last[0] != at:
+                if signed is not None:
+                    give(sample.signature(last[2]))
+                signed, last = None, None if after else (at, doc, text)
+                continue
+            _, own, before = last
+            new = edited(before, text)
+            signature, changed = sample.signatures(before, new)
+            if signed is not None:
+                give(signature)
+            fields = (
+                own, len(before), hashlib.sha256(new.encode("utf-8", "replace")).hexdigest(),
+                signature.astype(">u2").tobytes().hex(), changed.astype(">u2").tobytes().hex(),
+                likeness(signature, changed),
+            )
+            signed, last = (fields, signature), (at, doc, text)
+            if after:
+                give(sample.signature(text))
+                signed = last = None
         if len(out) >= 256:
             yield _batch(out)
-            out = []
+            out.clear()
+    if signed is not None:
+        give(sample.signature(last[2]))
     yield _batch(out)
 
 
