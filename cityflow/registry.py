@@ -945,10 +945,15 @@ def q_csv_exchange_rates(spark, sf_dir):
 BATCHES = 6
 
 
+def _landing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with their sensor, which is so looked up once and not in every batch."""
+    return b.table(spark, sf_dir, "events").withColumn("sensor_id", b.sensor_id(spark, sf_dir))
+
+
 def _landed_in_turn(spark: SparkSession, sf_dir: str, place: Column) -> str:
     """The events in six files one after the other, by the number `place` gives each."""
     path = shared_folder(spark, "in-turn")
-    events = b.table(spark, sf_dir, "events").withColumn("_place", place)
+    events = _landing_events(spark, sf_dir).withColumn("_place", place)
     for k in range(BATCHES):
         part = events.where(F.col("_place") == k).drop("_place")
         part.coalesce(1).write.mode("append").parquet(path)
@@ -963,34 +968,45 @@ def _event_stream(
     batches = shuffled or bool(path)
     if shuffled:
         path = shared_folder(spark, "shuffled")
-        events = b.table(spark, sf_dir, "events")
+        events = _landing_events(spark, sf_dir)
         events.repartition(BATCHES, F.xxhash64("event_id")).write.parquet(path)
     elif not path:
         # a pattern instead of a plain name lets the source be one file or a folder of parts
         path = b.table_path(sf_dir, "events").removesuffix("t") + "[t]"
+    schema = b.TABLES["events"] + (", sensor_id bigint" if batches else "")
     landed = feed.land(
-        spark, path, b.TABLES["events"], fmt="parquet", files_per_batch=1 if batches else None
+        spark, path, schema, fmt="parquet", files_per_batch=1 if batches else None
     )
+    sensor = F.col("sensor_id") if batches else b.sensor_id(spark, sf_dir)
     instant = F.col("ts").cast("timestamp")
     return landed.select(
         "event_id",
         "user_id",
         "event_type",
-        b.sensor_id(spark, sf_dir).alias("sensor_id"),
+        sensor.alias("sensor_id"),
         instant.alias("datetime_utc"),
         c.to_local(instant).alias("datetime_local"),
         "value",
     )
 
 
-def _placed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stored_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream needs to know of each sensor, written once: a static side that is derived
+    would be derived again in every batch."""
     _, sensors, locations, boroughs = _air_inputs(spark, sf_dir)
+    lookup = gold.sensor_boroughs(sensors, locations, boroughs)
+    folder = shared_folder(spark, "sensor-boroughs")
+    lookup.write.parquet(folder)
+    return spark.read.schema(lookup.schema).parquet(folder)
+
+
+def _placed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = feed.dedupe_stream(
         _event_stream(spark, sf_dir).select(
             "sensor_id", "datetime_utc", "datetime_local", "value"
         )
     )
-    return feed.place(readings, gold.sensor_boroughs(sensors, locations, boroughs))
+    return feed.place(readings, _stored_lookup(spark, sf_dir))
 
 
 @query
@@ -1025,8 +1041,7 @@ def q_stream_latest(spark, sf_dir):
         "value": "double", "datetime_utc": "timestamp", "sensor_id": "bigint", "day": "date",
     }
     target = _new_table(spark, columns, ["day"])
-    _, sensors, locations, boroughs = _air_inputs(spark, sf_dir)
-    lookup = gold.sensor_boroughs(sensors, locations, boroughs)
+    lookup = _stored_lookup(spark, sf_dir)
     placed = feed.place(_event_stream(spark, sf_dir, shuffled=True), lookup).withColumns(
         {"hour_start": F.date_trunc("hour", "datetime_utc"), "day": F.to_date("datetime_utc")}
     )
@@ -1064,8 +1079,7 @@ def q_stream_late(spark, sf_dir):
 def q_stream_window(spark, sf_dir):
     """The latest value per borough, parameter and event-time hour out of the state store,
     from six batches in order of time; hours a day behind leave the state."""
-    _, sensors, locations, boroughs = _air_inputs(spark, sf_dir)
-    lookup = gold.sensor_boroughs(sensors, locations, boroughs)
+    lookup = _stored_lookup(spark, sf_dir)
     fifth = F.floor(F.dayofmonth("ts") / 6).cast("int")  # days 0-5, 6-11, ... 30-31
     path = _landed_in_turn(spark, sf_dir, fifth)
     events = _event_stream(spark, sf_dir, path=path).withWatermark("datetime_utc", "1 day")
