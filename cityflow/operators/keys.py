@@ -11,7 +11,8 @@ from cityflow.operators.joins import unmatched
 def unregistered(names: DataFrame, registry: DataFrame, key: str, number: str) -> DataFrame:
     """The distinct natural keys that the registry lacks, with the numbers they get: on from
     the largest given so far, in order of the key. Numbers that were given never change, and
-    a second call after the rows were appended finds none. Null keys get no number.
+    a second call after the rows were appended finds none. Null keys get no number. One load
+    at a time may number keys.
 
     New keys are numbered by their position in a distributed sort, so a registry of very many
     keys needs no single task.

@@ -31,6 +31,12 @@ def states_of(fact: DataFrame, measures: Mapping[str, model.Measure] = model.MEA
     return fact.groupBy(*GRAIN).agg(*model.partials(measures.values()))
 
 
+def columns(fact: DataFrame) -> dict[str, str]:
+    """The columns of the table of states of a fact, the month as its partition."""
+    kinds = {f.name: f.dataType.simpleString() for f in states_of(fact).schema.fields}
+    return {**kinds, MONTH: "int"}
+
+
 def load_states(
     spark: SparkSession,
     fact: str = gold.FACT_TAXI,
@@ -44,8 +50,7 @@ def load_states(
     loads are marked makes the next run write the same states again."""
     month = month_of(F.col(GRAIN[0]))
     rows = tables.scan(spark, fact)
-    kinds = {f.name: f.dataType.simpleString() for f in states_of(rows).schema.fields}
-    tables.create_if_missing(spark, states, {**kinds, MONTH: "int"}, [MONTH])
+    tables.create_if_missing(spark, states, columns(rows), [MONTH])
     records = loads.pending(spark, ledger, source, done)
     if records:
         months = sorted({part // 100 for part in loads.parts_of(records)})

@@ -211,8 +211,8 @@ def q_measures_from_states(spark, sf_dir):
     trips, each of which renews its own months only."""
     fact = _new_table(spark, schemas.FACT_TAXI)
     ledger, done = _new_table(spark, loads.RECORD), _new_table(spark, loads.DONE)
-    stored = f"{fact}_states"
     whole = _star(spark, sf_dir)
+    stored = _new_table(spark, states.columns(whole.fact), [states.MONTH])
     for load_id, early in (("until 1997", True), ("after 1997", False)):
         rows = whole.fact.where((F.col("PickupDateKey") < 19980101) == early)
         watch = loads.Watch(F.col("PickupDateKey"))
