@@ -990,11 +990,15 @@ def _event_stream(
     )
 
 
-def _stored_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a stream needs to know of each sensor, written once: a static side that is derived
-    would be derived again in every batch."""
+def _sensor_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, sensors, locations, boroughs = _air_inputs(spark, sf_dir)
-    lookup = gold.sensor_boroughs(sensors, locations, boroughs)
+    return gold.sensor_boroughs(sensors, locations, boroughs)
+
+
+def _stored_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream of many batches needs to know of each sensor, written once: a static side
+    that is derived would be derived again in every batch."""
+    lookup = _sensor_lookup(spark, sf_dir)
     folder = shared_folder(spark, "sensor-boroughs")
     lookup.write.parquet(folder)
     return spark.read.schema(lookup.schema).parquet(folder)
@@ -1006,7 +1010,7 @@ def _placed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             "sensor_id", "datetime_utc", "datetime_local", "value"
         )
     )
-    return feed.place(readings, _stored_lookup(spark, sf_dir))
+    return feed.place(readings, _sensor_lookup(spark, sf_dir))
 
 
 @query
