@@ -53,14 +53,17 @@ def terms(text: str) -> Counter[str]:
 
 
 class Sampler:
-    """Gamma variables of terms; the same in every process. Those of CACHED terms are kept,
-    the rows behind them are for the terms of one block that are not."""
+    """Gamma variables of terms; the same in every process. Those of CACHED terms are kept, the
+    rows behind them are, by turns, for the terms of one block that are not: a text mostly finds
+    those of its start where the block before, which had its edited neighbour, left them."""
 
     def __init__(self) -> None:
-        shape = (CACHED + BLOCK, SAMPLES)
+        shape = (CACHED + 2 * BLOCK, SAMPLES)
         self.r, self.log_c, self.beta, self.once = (np.zeros(shape, np.float32) for _ in range(4))
         self.hashes = np.zeros(len(self.r), np.uint64)
         self.rows: dict[str, int] = {}
+        self.before: dict[str, int] = {}
+        self.spare = CACHED
         self.missed = 0
         # three numbers of 64 bits for each draw
         self.counters = mix(np.arange(1, 3 * SAMPLES + 1, dtype=np.uint64) + np.uint64(SEED << 32))
@@ -76,10 +79,18 @@ class Sampler:
         if len(new):
             kept = min(len(new), CACHED - len(self.rows))
             rows[new[:kept]] = np.arange(len(self.rows), len(self.rows) + kept)
-            rows[new[kept:]] = np.arange(CACHED, CACHED + len(new) - kept)
-            self.missed += len(new) - kept
             for k in new[:kept].tolist():
                 self.rows[words[k]] = int(rows[k])
+            over = [words[k] for k in new[kept:].tolist()]
+            self.missed += len(over)
+            old = np.fromiter(map(self.before.get, over, repeat(-1)), np.int64, len(over))
+            drawn = np.flatnonzero(old < 0)
+            old[drawn] = np.arange(self.spare, self.spare + len(drawn))
+            rows[new[kept:]] = old
+            if over:
+                self.before = {over[k]: int(old[k]) for k in drawn.tolist()}
+                self.spare = 2 * CACHED + BLOCK - self.spare
+            new = np.concatenate([new[:kept], new[kept:][drawn]])
             self._draw([words[k] for k in new.tolist()], rows[new])
         return rows
 
@@ -92,8 +103,8 @@ class Sampler:
             at = rows[low : low + DRAWN]
             x = mix(hashes[low : low + DRAWN, None] + self.counters)
             high = ((x >> np.uint64(32)).astype(np.float64) + 0.5) * 2.0**-32
-            lower = ((x & np.uint64(0xFFFFFFFF)).astype(np.float64) + 0.5) * 2.0**-32
-            gamma = -np.log(high[:, : 2 * SAMPLES] * lower[:, : 2 * SAMPLES])
+            x = x[:, : 2 * SAMPLES] & np.uint64(0xFFFFFFFF)
+            gamma = -np.log(high[:, : 2 * SAMPLES] * ((x.astype(np.float64) + 0.5) * 2.0**-32))
             r, log_c, beta = gamma[:, :SAMPLES], np.log(gamma[:, SAMPLES:]), high[:, 2 * SAMPLES :]
             self.r[at], self.log_c[at], self.beta[at] = r, log_c, beta
             # at weight 1 the step is 0
@@ -103,8 +114,8 @@ class Sampler:
         """SAMPLES hashes of 16 bits (term and step); the same value for all empty texts."""
         counts = terms(text)
         words = list(counts)
-        blocks = ((low, self._rows(words[low : low + BLOCK])) for low in range(0, len(words), BLOCK))
-        return self._sampled(counts, blocks)
+        rows = ((low, self._rows(words[low : low + BLOCK])) for low in range(0, len(words), BLOCK))
+        return self._sampled(counts, ((low, at, self.once[at]) for low, at in rows))
 
     def signatures(self, text: str, other: str) -> list[np.ndarray]:
         """The signatures of two texts with many words in common, whose variables are gathered
@@ -114,21 +125,22 @@ class Sampler:
         if len(words) > BLOCK:
             return [self.signature(text), self.signature(other)]
         rows = self._rows(words)
-        place = dict(zip(words, rows.tolist()))
-        return [
-            self._sampled(c, [(0, np.fromiter(map(place.get, c), np.int64, len(c)))] if c else [])
-            for c in both
-        ]
+        once = self.once[rows]
+        place = dict(zip(words, range(len(words))))
+        # the words of the first text come first
+        at = [slice(len(both[0])), np.fromiter(map(place.get, both[1]), np.int64, len(both[1]))]
+        blocks = [[(0, rows[k], np.array(once[k]))] for k in at]
+        return [self._sampled(c, block if c else []) for c, block in zip(both, blocks)]
 
     def _sampled(
-        self, counts: Counter[str], blocks: Iterable[tuple[int, np.ndarray]]
+        self, counts: Counter[str], blocks: Iterable[tuple[int, np.ndarray, np.ndarray]]
     ) -> np.ndarray:
-        """The samples of terms whose rows come in blocks, each with the number of its first."""
+        """The samples of terms whose rows come in blocks, each with the number of its first
+        and the values at weight 1, which are overwritten."""
         weights = np.fromiter(counts.values(), np.int64, len(counts))
         least = np.full(SAMPLES, np.inf, np.float32)
         chosen, draws = np.zeros(SAMPLES, np.uint64), np.arange(SAMPLES)
-        for low, rows in blocks:
-            value = self.once[rows]
+        for low, rows, value in blocks:
             more = np.flatnonzero(weights[low : low + len(rows)] > 1)
             t = np.zeros((0, SAMPLES))
             if len(more):
@@ -136,10 +148,11 @@ class Sampler:
                 t = np.floor(log_w / self.r[own] + self.beta[own])
                 value[more] = self.log_c[own] - self.r[own] * (t - self.beta[own]) - self.r[own]
             best = value.argmin(0)
-            less = value[best, draws] < least
-            least[less] = value[best, draws][less]
+            found = value[best, draws]
+            less = found < least
+            least[less] = found[less]
             # the step of a term of weight 1 is 0
-            steps, repeated = np.zeros(SAMPLES, np.int64), np.isin(best, more)
+            steps, repeated = np.zeros(SAMPLES, np.int64), weights[low + best] > 1
             steps[repeated] = t[np.searchsorted(more, best[repeated]), draws[repeated]]
             steps = mix(steps.view(np.uint64) + np.uint64(1))
             chosen[less] = mix(self.hashes[rows[best]] ^ steps)[less]

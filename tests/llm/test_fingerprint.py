@@ -77,6 +77,21 @@ def test_long_texts_are_as_alike_as_their_words():
     assert (fingerprint.Sampler().signature(" ".join(reversed(a))) == first).all()
 
 
+def test_terms_beyond_the_cache_are_drawn_once_for_neighbours(monkeypatch):
+    """A text finds the terms of its start that its neighbour's edited text has drawn."""
+    monkeypatch.setattr(fingerprint, "CACHED", 64)
+    texts = [" ".join(f"w{i}x{k % 90}" for k in range(120)) for i in range(5)]
+    sample, drawn, fresh = fingerprint.Sampler(), [], fingerprint.Sampler._draw
+    monkeypatch.setattr(sample, "_draw", lambda w, r: (drawn.extend(w), fresh(sample, w, r)))
+    for a, b in zip(texts, texts[1:]):
+        new = fingerprint.edited(a, b)
+        got = sample.signatures(a, new)
+        for text, signature in zip((a, new), got):
+            assert (fingerprint.Sampler().signature(text) == signature).all()
+    words = {w for a, b in zip(texts, texts[1:]) for t in (a, fingerprint.edited(a, b)) for w in t.split()}
+    assert len(drawn) == len(set(drawn)) and set(drawn) == words
+
+
 def test_runs_without_spaces_count_by_their_parts():
     sample = fingerprint.sampler()
     rng = np.random.default_rng(3)
