@@ -5,10 +5,10 @@ reach the threshold if it shares one of the first columns of both rows in an ord
 rows have in common, frequent columns last, at positions that leave room for the overlap it
 needs (the size-derived bounds). These columns are the blocks of the candidate product.
 
-A block is not multiplied out. Its rows are first tested against the row in which the shared
-column comes earliest; linked rows become one component, and later products pair rows only
-with the first row of every *other* component in the block. When that finds no further link,
-what is left between components (usually nothing) is multiplied out in full. No pair that
+A block is not multiplied out at first. Its rows are tested against its pivot, the row in
+which the shared column comes earliest; linked rows become one component, and a second round
+does the same with the first row outside the pivot's component. Then what is left between
+components is multiplied out, a pair only in the first column that its rows share. No pair that
 could join two components goes untested, so components are exact, and a group of near copies
 costs about as many tests as it has rows.
 """
@@ -39,6 +39,8 @@ from cityflow.llm.shingles import WordHashes, shingle_set
 OFTEN, MOST = 32, 100_000
 LOCAL_ROWS, LOCAL_OFTEN = 4_000_000, 4
 COLUMN_BLOCK = 4_096
+# Pivots of a block, and columns of a row by which pairs are kept to their first shared column.
+PIVOTS, FIRST = 2, 16
 # Bits of every set, and of one with more columns than MANY, where the fewer bits fill up.
 PARITY_BITS, LONG_BITS, MANY = 1_024, 16_384, 1_000
 
@@ -177,8 +179,8 @@ def _parity(columns: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _blocks(heads: DataFrame, classes: DataFrame) -> DataFrame:
-    """(col, place, id, size) of the first columns that two sets share at least. Columns are
-    counted before they are joined, so a frequent one is a single row until the join, whose
+    """(col, place, id, size, text) of the first columns that two sets share at least; `text`
+    tells apart the sets of rows with the same id. Columns are counted before they are joined, so a frequent one is a single row until the join, whose
     large partitions Spark can split."""
     copies = (
         heads.select("id", "digest")
@@ -190,9 +192,11 @@ def _blocks(heads: DataFrame, classes: DataFrame) -> DataFrame:
     reps = heads.where("size > 0 AND id IS NOT NULL").join(
         broadcast_small(copies, "op1-copies"), ["id", "digest"], "left_anti"
     )
-    cells = reps.select("id", "size", F.posexplode("head").alias("place", "col"))
+    cells = reps.select(
+        "id", "size", F.xxhash64("digest").alias("text"), F.posexplode("head").alias("place", "col")
+    )
     shared = cells.groupBy("col").agg(F.count("*").alias("rows")).where("rows > 1")
-    return cells.join(shared.select("col"), "col").select("col", "place", "id", "size")
+    return cells.join(shared.select("col"), "col").select("col", "place", "id", "size", "text")
 
 
 def _room(percent: int, a: str, b: str):
@@ -214,14 +218,16 @@ def _components(
     # A row is the smaller partner only with place <= size * (1 - t) / (1 + t); without such a
     # row a block has no candidate at all.
     low = F.col("place") * (100 + percent) <= F.col("size") * (100 - percent)
+    member = F.xxhash64("id", "text")
     columns = blocks.groupBy("col").agg(
         F.max(low).alias("low"), F.min(F.when(low, F.col("size"))).alias("least"),
-        F.count("*").alias("rows"), F.bit_xor(F.xxhash64("id")).alias("members"),
+        F.count("*").alias("rows"), F.bit_xor(member).alias("members"),
+        F.sum(F.shiftright(member, 32)).alias("weight"),  # repeated rows cancel in the other
         F.min(F.struct("id", "place")).alias("first"),
     )
     # Columns with the same rows find the same pairs; the one that comes first in the common
     # order, and so in each of its rows, is enough.
-    alive = columns.where("low").groupBy("rows", "members", "first.id").agg(
+    alive = columns.where("low").groupBy("rows", "members", "weight", "first.id").agg(
         F.min(F.struct("first.place", "col", "least")).alias("kept")
     )
     blocks = saved(
@@ -234,41 +240,67 @@ def _components(
     links = spark.createDataFrame([], "a bigint, b bigint")
     ids = saved(blocks.select("id").distinct(), "op1-ids")
     comps = ids.select("id", F.col("id").alias("comp"))
-    whole_block = True
 
     def joined(more: DataFrame) -> DataFrame:
         grown = components(links.union(more)).withColumnRenamed("node", "id")
         named = ids.join(grown, "id", "left")
         return named.select("id", F.coalesce("component", "id").alias("comp"))
 
-    while True:
+    pivots = None
+    for _ in range(PIVOTS):
         rows = saved(blocks.join(comps, "id"), "op1-rows")
-        key = ["col"] if whole_block else ["col", "comp"]
-        first = rows.groupBy(*key).agg(
-            F.min(F.struct("place", "id", "size", "comp")).alias("l")
-        )
-        firsts = first.select(
-            "col", F.col("l.place").alias("l_place"), F.col("l.id").alias("l_id"),
-            F.col("l.size").alias("l_size"), F.col("l.comp").alias("l_comp"),
-        )
-        new = test.linked(_candidates(rows, firsts, percent))
-        found = new.limit(1).count()
-        if not found and not whole_block:
+        left = rows
+        if pivots is not None:  # rows outside the component that the pivot has now
+            own = comps.select(F.col("id").alias("l_id"), F.col("comp").alias("own"))
+            own = pivots.select("col", "l_id").join(own, "l_id").select("col", "own")
+            left = rows.join(own, "col").where("comp <> own")
+        pivots = saved(_firsts(left), "op1-pivots")
+        new = test.linked(_candidates(rows, pivots, percent))
+        if not new.limit(1).count():
             break
-        if found:
-            comps, links = joined(new), links.union(new)
-        whole_block = False
+        comps, links = joined(new), links.union(new)
     # what is left between components, row by row
+    rows = _open_rows(blocks, comps)
     others = rows.select(*[F.col(c).alias(f"l_{c}" if c != "col" else c) for c in rows.columns])
-    rest = test.linked(_candidates(rows, others, percent))
+    # The first column that two rows share decides: there the bounds hold for a linked pair.
+    # Where both lists end before it, the pair is made in every column that passes the bounds.
+    both = F.array_intersect("heads", "l_heads")
+    once = (F.col("id") < F.col("l_id")) & (
+        (F.size(both) == 0) | (F.get(both, F.lit(0)) == rows["col"])
+    )
+    rest = test.linked(_candidates(rows, others, percent, once))
     return joined(rest) if rest.limit(1).count() else comps
 
 
-def _candidates(rows: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
-    pairs = rows.join(
-        firsts, (rows["col"] == firsts["col"]) & (F.col("comp") != F.col("l_comp"))
-        & _room(percent, "", "l_"),
+def _firsts(rows: DataFrame) -> DataFrame:
+    """The row of each block in which the column comes earliest."""
+    first = rows.groupBy("col").agg(F.min(F.struct("place", "id", "size", "comp")).alias("l"))
+    return first.select(
+        "col", F.col("l.place").alias("l_place"), F.col("l.id").alias("l_id"),
+        F.col("l.size").alias("l_size"), F.col("l.comp").alias("l_comp"),
+    )
+
+
+def _open_rows(blocks: DataFrame, comps: DataFrame) -> DataFrame:
+    """The rows of blocks that hold several components, each with the FIRST columns of its set
+    among all blocks, in the common order."""
+    cell = F.struct("place", "col")
+    heads = blocks.groupBy("text").agg(
+        F.slice(F.transform(F.array_sort(F.collect_set(cell)), lambda x: x["col"]), 1, FIRST)
+        .alias("heads")
+    )
+    rows = saved(blocks.join(comps, "id"), "op1-rows")
+    several = rows.groupBy("col").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
+    several = several.where("x <> y").select("col")
+    return saved(rows.join(several, "col").join(heads, "text"), "op1-open")
+
+
+def _candidates(rows: DataFrame, others: DataFrame, percent: int, once=None) -> DataFrame:
+    on = (
+        (rows["col"] == others["col"]) & (F.col("comp") != F.col("l_comp"))
+        & _room(percent, "", "l_")
     )
+    pairs = rows.join(others, on if once is None else on & once)
     return pairs.select(
         F.least("id", "l_id").alias("a"), F.greatest("id", "l_id").alias("b")
     ).distinct()

@@ -62,6 +62,28 @@ def test_chains_of_edits_and_frequent_passages(docs, percent):
     )
 
 
+def test_a_pair_that_does_not_link_is_made_once(docs, monkeypatch):
+    """Not in every column that its rows share, nor in both directions."""
+    rows = []
+    for i in range(24):
+        w = [f"b{k}" for k in range(200)]
+        for k in range(4):
+            w[10 + 50 * k + i] = f"e{i}x{k}"
+        rows.append((i, " ".join(w)))
+    made, candidates = [], ngram_join._candidates
+
+    def counted(*args):
+        with monkeypatch.context() as m:
+            m.setattr(type(args[0]), "distinct", lambda self: self)
+            made.append(candidates(*args).count())
+        return candidates(*args)
+
+    monkeypatch.setattr(ngram_join, "_candidates", counted)
+    got = result(ngram_join.jaccard_components(docs(rows)))
+    assert got == brute(rows) == {i: (196, i) for i in range(24)}
+    assert made[-1] == 24 * 23 // 2
+
+
 def test_odd_rows(docs):
     got = sorted(map(tuple, ngram_join.jaccard_components(docs(ODD)).collect()), key=repr)
     n = len(LONG.split()) - 4
